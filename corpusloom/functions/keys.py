@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def fold_key(value: str | None) -> str | None:
@@ -22,7 +23,7 @@ def fold_key(value: str | None) -> str | None:
     return "".join(filter(str.isalnum, unicodedata.normalize("NFC", value).casefold()))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _fold_keys(values: pd.Series) -> pd.Series:
     return pd.Series([fold_key(v) if isinstance(v, str) else None for v in values], dtype=object)
 

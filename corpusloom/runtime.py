@@ -53,7 +53,8 @@ def prefix_sums(
     the small table of totals gives the cells' offsets, and the rows need one
     window within their cell.
 
-    NULLs count as 0; an empty input gives an empty result.
+    ``group`` and ``cell`` must not be NULL (such rows are not returned);
+    NULL values count as 0; an empty input gives an empty result.
     """
     group = list(group)
     rows = df.withColumn("__cell", cell)
@@ -63,15 +64,10 @@ def prefix_sums(
     over = Window.partitionBy(*([] if whole_order else group)).orderBy(*(group if whole_order else []), "__cell")
     over = over.rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *[F.col(g).alias(f"__g_{g}") for g in group],
-        F.col("__cell").alias("__g_cell"),
-        *[F.coalesce(F.sum(f"__t_{n}").over(over), F.lit(0)).alias(f"__o_{n}") for n in sums],
+        *group, "__cell", *[F.coalesce(F.sum(f"__t_{n}").over(over), F.lit(0)).alias(f"__o_{n}") for n in sums]
     )
     inside = Window.partitionBy(*group, "__cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    match = F.col("__cell").eqNullSafe(F.col("__g_cell"))
-    for g in group:
-        match = match & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
-    joined = rows.join(offsets, match)
+    joined = rows.join(offsets, [*group, "__cell"])
     return joined.select(
         *df.columns,
         *[(F.coalesce(F.sum(f"__v_{n}").over(inside), F.lit(0)) + F.col(f"__o_{n}")).alias(n) for n in sums],
