@@ -10,9 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import consolidate, quota_sample, splits, stable_sample
+from . import consolidate, mixing, quota_sample, splits, stable_sample, survivors
 
-MODULES = (splits, stable_sample, quota_sample, consolidate)
+MODULES = (splits, stable_sample, survivors, quota_sample, consolidate, mixing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
