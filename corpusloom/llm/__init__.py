@@ -10,9 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import consolidate, mixing, quota_sample, splits, stable_sample, survivors
+from . import consolidate, language, mixing, quota_sample, splits, stable_sample, survivors
 
-MODULES = (splits, stable_sample, survivors, quota_sample, consolidate, mixing)
+MODULES = (splits, stable_sample, survivors, quota_sample, consolidate, mixing, language)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
