@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,6 +32,36 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Workspace:
+    """Tables that one run of an iterative operator writes into the shared checkpoint folder.
+
+    A round's table is read back from storage, so lineage stays short and a
+    lost executor costs one round; :meth:`drop` removes a table as soon as the
+    next one is written, so that only the last rounds take up space. Tables are
+    Parquet: columnar and compressed, where a checkpoint holds plain rows.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._root = f"{checkpoint_folder(spark)}/run-{uuid.uuid4().hex}"
+        self._written = 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = f"{self._root}/{self._written:04d}"
+        self._written += 1
+        df.write.parquet(path)
+        table = self._spark.read.schema(df.schema).parquet(path)
+        table._written_at = path
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes written tables; nothing lazy may still read them."""
+        sc = self._spark.sparkContext
+        for table in tables:
+            path = sc._jvm.org.apache.hadoop.fs.Path(table._written_at)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it is counted to hold ``max_rows`` rows at most, else as it is."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
