@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import hex_key
-from ..runtime import cut
+from ..operators.graph import number_vertices
+from ..runtime import Workspace
 
 #: Fixed values of an accepted match.
 LEAST_SIMILARITY, MOST_SIMILARITY = 0.8, 1.0
@@ -41,7 +42,9 @@ def hash_to_min(links: DataFrame, max_rounds: int = 64) -> DataFrame:
 
     A round maps the sets C to C' with, for m = min C(v): every member of C(v)
     is put into C'(m), and m into C'(u) for every u in C(v). Sets contain their
-    owner implicitly; rows (v, v) are not kept. It is done when the rows form
+    owner implicitly; rows (v, v) are not kept. Rounds run on numbers in place of
+    ids, as any order of the vertices will do; the smallest id of each set is
+    looked up at the end. It is done when the rows form
     stars: each vertex has either no smaller member, or exactly one and no
     larger one. That test is exact and costs one aggregate, which the next
     round reuses for its minima.
@@ -49,22 +52,33 @@ def hash_to_min(links: DataFrame, max_rounds: int = 64) -> DataFrame:
     Empty input gives an empty result. More than ``max_rounds`` rounds raise an
     error; a chain of n vertices takes about log2 n.
     """
-    sets = cut(links.select(F.col("a").alias("v"), F.col("b").alias("u")).union(links.select("b", "a")).distinct())
+    ws = Workspace(links.sparkSession)
+    links = ws.write(links)
+    names, edges = number_vertices(links, ws)
+    ws.drop(links)
+    sets = ws.write(edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(edges.select("b", "a")).distinct())
+    ws.drop(edges)
     for _ in range(max_rounds):
-        seen = sets.groupBy("v").agg(
-            F.min("u").alias("least"),
-            F.count_if(F.col("u") < F.col("v")).alias("smaller"),
-            F.count_if(F.col("u") > F.col("v")).alias("larger"),
+        seen = ws.write(
+            sets.groupBy("v").agg(
+                F.min("u").alias("least"),
+                F.count_if(F.col("u") < F.col("v")).alias("smaller"),
+                F.count_if(F.col("u") > F.col("v")).alias("larger"),
+            )
         )
-        seen = cut(seen)
-        open_ones = seen.where((F.col("smaller") > 1) | ((F.col("smaller") == 1) & (F.col("larger") > 0)))
-        if open_ones.isEmpty():
-            return seen.select("v", F.least("v", "least").alias("root"))
         minima = seen.select("v", F.least("v", "least").alias("m"))
+        if seen.where((F.col("smaller") > 1) | ((F.col("smaller") == 1) & (F.col("larger") > 0))).isEmpty():
+            ws.drop(sets)
+            named = ws.write(names.join(minima, "v").select("id", "m"))
+            ws.drop(names, seen)
+            roots = named.groupBy("m").agg(F.min("id").alias("root"))
+            return named.join(roots, "m").select(F.col("id").alias("v"), "root")
         known = sets.join(minima, "v")
         # the owner belongs to its own set, so it is sent and told like any other member
         members = known.select("m", "u").union(minima.select("m", F.col("v").alias("u"))).where(F.col("m") != F.col("u"))
-        sets = cut(members.select(F.col("m").alias("v"), "u").union(members.select("u", "m")).distinct())
+        told = ws.write(members.select(F.col("m").alias("v"), "u").union(members.select("u", "m")).distinct())
+        ws.drop(sets, seen)
+        sets = told
     raise RuntimeError(f"not stable after {max_rounds} rounds")
 
 
