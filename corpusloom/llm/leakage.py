@@ -9,14 +9,13 @@ found are reported, and can be removed.
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,26 +29,14 @@ SHARD_TOKENS = 1_500_000
 BLOCK_CHARACTERS = 24_000_000
 
 _TOKEN = re.compile(r"[^\W_]+")
-
-
-@lru_cache(maxsize=1)
-def _marks() -> re.Pattern:
-    """All combining marks, as ranges."""
-    spans: list[list[int]] = []
-    for c in range(0x300, sys.maxunicode + 1):
-        if unicodedata.category(chr(c))[0] == "M":
-            if spans and spans[-1][1] == c - 1:
-                spans[-1][1] = c
-            else:
-                spans.append([c, c])
-    return re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in spans) + "]+")
+_MARKS = regex.compile(r"\p{M}+")
 
 
 def match_tokens(text: str) -> list[str]:
     """Longest runs of letters and digits after case folding, NFD and removal of combining marks."""
     if text.isascii():
         return _TOKEN.findall(text.lower())
-    return _TOKEN.findall(_marks().sub("", unicodedata.normalize("NFD", text.casefold())))
+    return _TOKEN.findall(_MARKS.sub("", unicodedata.normalize("NFD", text.casefold())))
 
 
 class TestTexts:
