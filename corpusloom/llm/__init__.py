@@ -10,9 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import consolidate, language, leakage, mixing, quota_sample, splits, stable_sample, survivors
+from . import consolidate, language, leakage, mixing, near_copies, quota_sample, splits, stable_sample, survivors
 
-MODULES = (splits, stable_sample, survivors, quota_sample, consolidate, leakage, mixing, language)
+MODULES = (splits, stable_sample, near_copies, survivors, quota_sample, consolidate, leakage, mixing, language)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
