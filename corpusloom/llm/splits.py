@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import hex_key, label_key
-from ..runtime import cut, prefix_sums
+from ..operators.graph import number_vertices
+from ..runtime import Workspace, cut, prefix_sums
 
 #: Default proportions in basis points, in the order in which the hash range is dealt out.
 PROPORTIONS = (("test", 100), ("validation", 100), ("train", 9800))
@@ -45,7 +46,7 @@ def _order(column: str):
 
 
 def frontier_components(edges: DataFrame, max_levels: int = 40, max_steps: int = 200) -> DataFrame:
-    """``(v, component)`` for every vertex of ``edges(a, b)``; component is any one vertex of it.
+    """``(v, component)`` for every vertex of ``edges(a, b)``; component is a number.
 
     A level: (1) seeds are the vertices that come before all their neighbours in
     hash order — each component has one at least, and every vertex has one
@@ -55,46 +56,48 @@ def frontier_components(edges: DataFrame, max_levels: int = 40, max_steps: int =
     label graph of the next level. A label graph has at most half the vertices,
     as seeds are never neighbours. It ends when no edge is left.
 
-    Empty input gives an empty result.
+    Vertices are numbered first. Empty input gives an empty result.
     """
-    both = edges.select("a", "b").union(edges.select("b", "a")).where(F.col("a") != F.col("b")).distinct()
-    adjacent = cut(both.select(F.col("a").alias("v"), F.col("b").alias("n")))
+    ws = Workspace(edges.sparkSession)
+    edges = ws.write(edges)
+    names, numbered = number_vertices(edges, ws)
+    both = numbered.select("a", "b").union(numbered.select("b", "a")).where(F.col("a") != F.col("b")).distinct()
+    adjacent = ws.write(both.select(F.col("a").alias("v"), F.col("b").alias("n")))
+    ws.drop(edges, numbered)
     levels: list[DataFrame] = []
     for _ in range(max_levels):
         if adjacent.isEmpty():
             break
-        labels = _expand(adjacent, max_steps)
+        labels = _expand(adjacent, max_steps, ws)
         levels.append(labels)
         ends = adjacent.join(labels, "v").select(F.col("label").alias("x"), F.col("n").alias("v")).join(labels, "v")
-        adjacent = cut(ends.where(F.col("x") != F.col("label")).select(F.col("x").alias("v"), F.col("label").alias("n")).distinct())
+        collided = ws.write(ends.where(F.col("x") != F.col("label")).select(F.col("x").alias("v"), F.col("label").alias("n")).distinct())
+        ws.drop(adjacent)
+        adjacent = collided
     else:
         raise RuntimeError(f"labels left after {max_levels} levels")
-    if not levels:
-        return adjacent.select("v", F.col("n").alias("component"))
-    top = levels[-1].select("v", F.col("label").alias("component"))
-    for lower in reversed(levels[:-1]):
-        up = top.withColumnRenamed("v", "label")
-        top = cut(lower.join(up, "label", "left").select("v", F.coalesce("component", "label").alias("component")))
-    return top
+    found = names.select("id", F.col("v").alias("component"))
+    for labels in levels:
+        up = labels.select(F.col("v").alias("component"), "label")
+        found = found.join(up, "component", "left").select("id", F.coalesce("label", "component").alias("component"))
+    return found.select(F.col("id").alias("v"), "component")
 
 
-def _expand(adjacent: DataFrame, max_steps: int) -> DataFrame:
+def _expand(adjacent: DataFrame, max_steps: int, ws: Workspace) -> DataFrame:
     """Labels all vertices by breadth-first search from all seeds of a level."""
     nearest = adjacent.groupBy("v").agg(F.min(_order("n")).alias("best"))
-    marked = cut(nearest.select("v", (_order("v") < F.col("best")).alias("seed")))
-    frontier = marked.where("seed").select("v", F.col("v").alias("label"))
-    open_ones = marked.where(~F.col("seed")).select("v")
-    labelled = frontier
+    state = ws.write(nearest.select("v", F.when(_order("v") < F.col("best"), F.col("v")).alias("label")))
+    labelled = None
     for _ in range(max_steps):
-        # only vertices without a label are asked for, so each edge is used once in each direction
-        reached = adjacent.join(frontier, "v").select(F.col("n").alias("v"), _order("label").alias("o"))
-        reached = reached.groupBy("v").agg(F.min("o").alias("o")).select("v", F.col("o.id").alias("label"))
-        state = cut(open_ones.join(reached, "v", "left"))
         frontier = state.where(F.col("label").isNotNull())
         open_ones = state.where(F.col("label").isNull()).select("v")
-        labelled = labelled.union(frontier)
+        labelled = frontier if labelled is None else labelled.union(frontier)
         if open_ones.isEmpty():
             return labelled
+        # the frontier alone is expanded, so each edge is followed once in each direction
+        reached = adjacent.join(frontier, "v").select(F.col("n").alias("v"), _order("label").alias("o"))
+        reached = reached.groupBy("v").agg(F.min("o").alias("o")).select("v", F.col("o.id").alias("label"))
+        state = ws.write(open_ones.join(reached, "v", "left"))
     raise RuntimeError(f"vertices left after {max_steps} steps")
 
 
