@@ -284,7 +284,7 @@ def _rows(machine, batch, carried, table, flat, starts, owner) -> pd.DataFrame:
 def identify(documents: DataFrame, model: Discriminator, carry: tuple[str, ...] = ()) -> DataFrame:
     """A row for each document (para_no 0) and each of its paragraphs (from 1).
 
-    Result: ``doc_id``, the columns of ``carry``, ``para_no``, ``lang``,
+    Result: ``doc_id``, the columns of ``carry`` (of simple types), ``para_no``, ``lang``,
     ``confidence`` (0 to 1), ``words``, ``main_lang``. A paragraph's language is
     that of its summed word scores; one of fewer than ``LEAST_WORDS`` words has
     the language of the document's sum. The document's main language is that of
@@ -298,8 +298,10 @@ def identify(documents: DataFrame, model: Discriminator, carry: tuple[str, ...]
     spark = documents.sparkSession
     kinds = dict(documents.dtypes)
     carried = ["doc_id", *carry]
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in carried) + ", para_no int, lang string, confidence double, words long, main_lang string"
-    return documents.select(*carried, "text").mapInPandas(_judge(spark.sparkContext.broadcast(model), carried), schema)
+    # carried values travel as strings: pandas would turn whole numbers with NULLs among them into floats
+    schema = ", ".join(f"`{c}` string" for c in carried) + ", para_no int, lang string, confidence double, words long, main_lang string"
+    rows = documents.select(*[F.col(c).cast("string").alias(c) for c in carried], "text")
+    return rows.mapInPandas(_judge(spark.sparkContext.broadcast(model), carried), schema).withColumns({c: F.col(c).cast(kinds[c]) for c in carried})
 
 
 def labelled(documents: DataFrame, aliases: DataFrame) -> DataFrame:

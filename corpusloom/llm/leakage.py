@@ -283,7 +283,10 @@ def find_leaks(documents: DataFrame, fields: DataFrame) -> DataFrame:
     for b in range(blocks):
         block = used.where(F.pmod(F.xxhash64("example_id", "field_id"), F.lit(blocks)) == b)
         tests = TestTexts([(fold_key(r.example_id), r.field_id, r.original_text) for r in block.toLocalIterator()])
-        part = documents.select("doc_id", "text").mapInPandas(_scan(spark.sparkContext.broadcast(tests), "doc_id"), f"doc_id {kind}, {COLUMNS}")
+        # ids travel as strings: pandas would turn whole numbers with NULLs among them into floats
+        texts = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+        part = texts.mapInPandas(_scan(spark.sparkContext.broadcast(tests), "doc_id"), f"doc_id string, {COLUMNS}")
+        part = part.withColumn("doc_id", F.col("doc_id").cast(kind))
         found = part if found is None else found.union(part)
     return found
 

@@ -66,13 +66,17 @@ def _age(stamp: str) -> Column:
     return F.coalesce(-F.unix_micros(F.col(stamp).cast("timestamp")), F.lit(2**62).cast("long"))
 
 
+#: Columns that are read; whatever else a table holds, under any name, is left aside first.
+READ = tuple(dict.fromkeys(("record_id", "content_sha256", "source", "subset", "subset_tier", "loaded_at", "updated_at", *COMPLETE)))
+
+
 def ranked_records(records: DataFrame, tiers: DataFrame) -> DataFrame:
     """The current row of each record with what its rank needs: ``record_id, content_sha256, loaded_at, tier, complete, age``.
 
     The current row has the latest loaded_at (NULL is oldest; ties: the latest
     updated_at, then the larger content hash, then the better rank).
     """
-    rows = tier_of(tiers, records).select(
+    rows = tier_of(tiers, records.select(*READ)).select(
         hex_key("record_id").alias("record_id"),
         F.struct(
             "loaded_at", "updated_at", F.nullif(hex_key("content_sha256"), F.lit("")).alias("content_sha256"), (-F.col("__tier")).alias("t"), _completeness().alias("complete")
@@ -151,7 +155,7 @@ def survivors(records: DataFrame, tiers: DataFrame, bundles: Bundles = BUNDLES)
     member = cut(ranked.join(groups, "content_sha256").select("record_id", "content_sha256", "loaded_at", "representative_record_id", "copies"))
     every = [f for _, fields in bundles.fields for f in fields]
     # the wide rows of members only: the side is broadcast while it is counted to be small
-    wide = tier_of(tiers, records).select(
+    wide = tier_of(tiers, records.select(*dict.fromkeys([*READ, *every]))).select(
         hex_key("record_id").alias("__id"), "__s", "__tier", F.nullif(hex_key("content_sha256"), F.lit("")).alias("__content"), F.col("loaded_at").alias("__at"), "updated_at", *every
     )
     keys = member.select(F.col("record_id").alias("__m"), "content_sha256", "loaded_at")
