@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ()
+from . import collection, selection
+
+MODULES = (collection, selection)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
