@@ -263,7 +263,7 @@ def p4_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"p4_found": p4_found, "p4_survivors": p4_survivors, "p4_dispositions": p4_dispositions}
 
-_FILLED = " + ".join(f"CAST(coalesce(lower(trim({c}, E' \\t\\n\\r\\u00a0')), '') NOT IN ('', 'none') AS INT)" for c in COMPLETE)
+_FILLED = " + ".join(f"CAST(coalesce(lower(trim({c}, ' ' || chr(9) || chr(10) || chr(13) || chr(160))), '') NOT IN ('', 'none') AS INT)" for c in COMPLETE)
 _RANKED = f"""
 WITH tier AS (
     SELECT lower(regexp_replace(nfc_normalize(source), '[^\\p{{L}}\\p{{N}}]+', '', 'g')) AS s,
