@@ -11,8 +11,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from .text import shingle_words
-
 #: Modulus of the portable MinHash family; products of two residues fit a signed 64-bit number.
 PRIME = 2**31 - 1
 
@@ -22,18 +20,21 @@ def _col(x: Column | str) -> Column:
 
 
 def ngrams(words: Column | str, n: int) -> Column:
-    """All runs of n adjacent words joined by blanks, in order; none for shorter texts."""
+    """All runs of n adjacent words joined by blanks, in order; none for shorter texts.
+
+    Shifted copies of the array are zipped, so the array is read n times and
+    not once for every position. ``words`` should be a column of its own:
+    as an expression it would be evaluated for every copy.
+    """
     words = _col(words)
-    last = F.size(words) - n
-    # the index stays in range where the text is too short, as both branches may be evaluated
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(0)) + 1), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(
-        F.array().cast("array<string>")
-    )
+    count = F.greatest(F.size(words) - (n - 1), F.lit(0))
+    shifted = [F.slice(words, k + 1, count).alias(f"w{k}") for k in range(n)]
+    return F.transform(F.arrays_zip(*shifted), lambda x: F.concat_ws(" ", *[x[f"w{k}"] for k in range(n)]))
 
 
-def shingle_set(text: Column | str, n: int) -> Column:
-    """Distinct word n-grams of a text; a shorter text that has words is one shingle of its own, marked so that it equals no n-gram."""
-    words = shingle_words(text)
+def shingle_set(words: Column | str, n: int) -> Column:
+    """Distinct word n-grams; fewer words than n are one shingle of their own, marked so that it equals no n-gram; no words, no shingle."""
+    words = _col(words)
     whole = F.array(F.concat(F.lit("short\0"), F.array_join(words, " ")))
     return F.when(F.size(words) >= n, F.array_distinct(ngrams(words, n))).when(F.size(words) > 0, whole).otherwise(F.array().cast("array<string>"))
 
@@ -67,11 +68,20 @@ def portable_hash(value: Column) -> Column:
     return F.conv(F.substring(F.sha2(value, 256), 1, 8), 16, 10).cast("long") % PRIME
 
 
-def portable_minhash(shingles: Column | str, permutations: int, label: str = "minhash-v1") -> Column:
-    """Signature in the portable family, computed in the JVM; NULL for empty sets."""
-    hashed = F.transform(_col(shingles), portable_hash)
-    minima = [F.array_min(F.transform(hashed, lambda h, a=a, b=b: (h * a + b) % PRIME)) for a, b in portable_coefficients(permutations, label)]
-    return F.when(F.size(_col(shingles)) > 0, F.array(*minima))
+def portable_hashes(shingles: Column | str) -> Column:
+    """Hashes of a set in the portable family; SQL engines agree on them."""
+    return F.transform(_col(shingles), portable_hash)
+
+
+def portable_minhash(hashes: Column | str, permutations: int, label: str = "minhash-v1") -> Column:
+    """Signature in the portable family from a column of hashes, computed in the JVM; NULL for empty sets."""
+    hashes = _col(hashes)
+
+    def least(a: int, b: int) -> Column:
+        return F.array_min(F.transform(hashes, lambda h: (h * a + b) % PRIME))
+
+    minima = [least(a, b) for a, b in portable_coefficients(permutations, label)]
+    return F.when(F.size(hashes) > 0, F.array(*minima))
 
 
 def fast_minhash(shingles: Column | str, permutations: int = 128, seed: int = 1) -> Column:

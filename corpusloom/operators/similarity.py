@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import bands as B
-from ..functions.shingles import band_keys, containment, jaccard, shingle_set, signature_similarity
+from ..functions.shingles import band_keys, containment, jaccard, portable_hashes, portable_minhash, shingle_set, signature_similarity
+from ..functions.text import shingle_words
 from ..runtime import small_side
 from .graph import connected_components
 
@@ -16,15 +17,30 @@ from .graph import connected_components
 FREQUENT = 50
 
 
+def shingle_sets(documents: DataFrame, n: int, *keep: str) -> DataFrame:
+    """The kept columns with ``shingles``, the set of word n-grams of ``text``.
+
+    In two projections: words are found once a text, not once for every use.
+    """
+    words = documents.select(*keep, shingle_words("text").alias("__words"))
+    return words.select(*keep, shingle_set("__words", n).alias("shingles"))
+
+
 def shingled(documents: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
     """``(key, shingles)`` with distinct n-grams as 64-bit hashes; texts without words are left out."""
-    hashed = F.array_distinct(F.transform(shingle_set("text", n), lambda s: F.xxhash64(s)))
-    return documents.where(F.col(key).isNotNull()).select(key, hashed.alias("shingles")).where(F.size("shingles") > 0)
+    sets = shingle_sets(documents.where(F.col(key).isNotNull()), n, key)
+    return sets.select(key, F.array_distinct(F.transform("shingles", lambda s: F.xxhash64(s))).alias("shingles")).where(F.size("shingles") > 0)
+
+
+def portable_signatures(documents: DataFrame, n: int, permutations: int, key: str = "doc_id") -> DataFrame:
+    """``(key, signature)`` in the portable family; NULL for texts without words."""
+    hashed = shingle_sets(documents, n, key).select(key, portable_hashes("shingles").alias("__h"))
+    return hashed.select(key, portable_minhash("__h", permutations).alias("signature"))
 
 
 def shingle_frequency(documents: DataFrame, n: int, least: int = 1) -> DataFrame:
     """In how many documents each n-gram occurs, from ``least`` on."""
-    counts = documents.select(F.explode(shingle_set("text", n)).alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("documents"))
+    counts = shingle_sets(documents, n).select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("documents"))
     return counts.where(F.col("documents") >= least)
 
 
@@ -126,23 +142,27 @@ def scored_pairs(pairs: DataFrame, documents: DataFrame, n: int, key: str = "doc
     Texts of the pairs' documents only are read into sets.
     """
     wanted = pairs.select(F.col("a").alias(key)).union(pairs.select("b")).distinct()
-    sets = documents.join(wanted, key, "left_semi").select(key, shingle_set("text", n).alias("s"))
+    sets = shingle_sets(documents.join(wanted, key, "left_semi"), n, key).withColumnRenamed("shingles", "s")
     both = pairs.join(sets.select(F.col(key).alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col(key).alias("b"), F.col("s").alias("y")), "b")
     shared, nx, ny = F.size(F.array_intersect("x", "y")), F.size("x"), F.size("y")
+    # the intersection is made once, the scores are made of sizes
+    both = both.select(*pairs.columns, shared.alias("shared"), nx.alias("nx"), ny.alias("ny"))
+    shared, nx, ny = F.col("shared"), F.col("nx"), F.col("ny")
+    whole, low = nx + ny - shared, F.least("nx", "ny")
     rows = both.withColumns(
         {
-            "jaccard": jaccard("x", "y"), "containment": containment("x", "y"), "shared": shared.cast("long"), "only_a": (nx - shared).cast("long"), "only_b": (ny - shared).cast("long"),
+            "jaccard": F.when(whole > 0, shared / whole).otherwise(0.0), "containment": F.when(low > 0, shared / low).otherwise(0.0), "shared": shared.cast("long"), "only_a": (nx - shared).cast("long"), "only_b": (ny - shared).cast("long"),
             "a_in_b": F.when(nx > 0, shared / nx).otherwise(0.0), "b_in_a": F.when(ny > 0, shared / ny).otherwise(0.0), "length_ratio": B.ratio(nx, ny),
         }
     )
-    return rows.drop("x", "y").withColumn("flags", B.containment_flags("containment", "jaccard", "length_ratio", "shared"))
+    return rows.drop("nx", "ny").withColumn("flags", B.containment_flags("containment", "jaccard", "length_ratio", "shared"))
 
 
 def distinctive_scores(pairs: DataFrame, documents: DataFrame, n: int, least: int = 3, key: str = "doc_id") -> DataFrame:
     """Jaccard and containment on n-grams that occur in fewer than ``least`` documents, and the share of frequent ones among all of the pair's."""
     common = shingle_frequency(documents, n, least).select(F.col("shingle").alias("s"))
     wanted = pairs.select(F.col("a").alias(key)).union(pairs.select("b")).distinct()
-    each = documents.join(wanted, key, "left_semi").select(key, F.explode(shingle_set("text", n)).alias("s"))
+    each = shingle_sets(documents.join(wanted, key, "left_semi"), n, key).select(key, F.explode("shingles").alias("s"))
     flagged = each.join(common.withColumn("c", F.lit(True)), "s", "left").groupBy(key).agg(
         F.collect_list(F.when(F.col("c").isNull(), F.col("s"))).alias("rare"), F.count_if("c").alias("common"), F.count(F.lit(1)).alias("all")
     )  # a document's own n-grams

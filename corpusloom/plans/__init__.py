@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import collection, selection
+from . import collection, pairs, selection
 
-MODULES = (collection, selection)
+MODULES = (collection, selection, pairs)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
