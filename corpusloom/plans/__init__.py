@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import collection, pairs, selection
+from . import benchmark, collection, pairs, selection, windows
 
-MODULES = (collection, selection, pairs)
+MODULES = (collection, selection, pairs, benchmark, windows)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
