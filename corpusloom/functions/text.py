@@ -22,7 +22,7 @@ WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u
 SPACE_CLASS = r"\s\p{Z}\x1c-\x1f\x85"
 
 #: Text made of these characters alone is in NFC whatever their order: nothing in them composes or decomposes.
-_INERT = r"^[\x00-\x{2ff}\x{2002}-\x{2125}\x{2190}-\x{2328}]*$"
+_INERT = r"^[\x00-\x{2ff}\x{2002}-\x{20cf}\x{2100}-\x{2125}\x{2190}-\x{2328}]*$"
 
 TOKEN = StructType([StructField("token", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType())])
 _MATCH = regex.compile(r"[\p{L}\p{N}][\p{L}\p{N}\p{M}]*")

@@ -44,10 +44,10 @@ def kth_with_kth(left: DataFrame, right: DataFrame, keys: Sequence[str], order_l
     names = list(keys)
     l = left.withColumn("__k", F.row_number().over(Window.partitionBy(*names).orderBy(*order_left)))
     r = right.withColumn("__k", F.row_number().over(Window.partitionBy(*names).orderBy(*order_right)))
-    r = r.select(*[F.col(n).alias(f"__{n}") for n in names], F.col("__k").alias("__j"), *take)
+    r = r.select(*[F.col(n).alias(f"__key_{n}") for n in names], F.col("__k").alias("__j"), *take)
     match = F.col("__k") == F.col("__j")
     for n in names:
-        match = match & F.col(n).eqNullSafe(F.col(f"__{n}"))
+        match = match & F.col(n).eqNullSafe(F.col(f"__key_{n}"))
     return l.join(r, match).select(*left.columns, *take)
 
 
