@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import match_tokens
-from ..runtime import small_side
+from ..runtime import Workspace, small_side
 
 
 @dataclass(frozen=True)
@@ -242,8 +242,9 @@ def hits_by_rule(documents: DataFrame, fields: DataFrame, policy: OverlapPolicy
     removed from the documents: the result is a diagnosis.
     """
     p = policy or OverlapPolicy()
-    docs = tokenized(documents, "text", "doc_id")
-    used = tokenized(fields.where("matchable"), "original_text", "field_id", "example_id", "field_role")
+    ws = Workspace(documents.sparkSession)  # tokens and hits are read several times, texts once
+    docs = ws.write(tokenized(documents, "text", "doc_id"))
+    used = ws.write(tokenized(fields.where("matchable"), "original_text", "field_id", "example_id", "field_role"))
     exact = exact_fields(docs, used.where(F.col("field_role").isin(*p.whole_roles, "question")), p)
     whole = exact.where(F.col("field_role") != "question").select("doc_id", "example_id", "field_id", F.concat(F.lit("exact_"), "field_role").alias("rule"), "start")
     question = used.where(F.col("field_role") == "question")
@@ -253,7 +254,7 @@ def hits_by_rule(documents: DataFrame, fields: DataFrame, policy: OverlapPolicy
     common = asked.groupBy("field_id").agg(F.count_distinct("doc_id").alias("n")).where(F.col("n") > p.document_frequency)
     asked = asked.join(common, "field_id", "left_anti").select("doc_id", "example_id", "field_id", F.lit("exact_distinctive_question").alias("rule"), "start")
     marks = anchors(used, p)
-    hits = without_frequent(anchor_hits(docs, marks, p), p)
+    hits = ws.write(without_frequent(ws.write(anchor_hits(docs, marks, p)), p))
     long = runs(hits, p).where(F.col("size") >= p.run).groupBy("doc_id", "example_id", "field_id").agg(F.min("start").alias("start"))
     share = coverage(hits, used, distinctive_positions(marks, p), p).where((F.col("share") >= p.coverage) & (F.col("anchors") >= p.least_anchors))
     share = share.join(long.select("doc_id", "field_id"), ["doc_id", "field_id"], "left_anti")

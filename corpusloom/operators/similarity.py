@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import bands as B
 from ..functions.shingles import band_keys, containment, jaccard, portable_hashes, portable_minhash, shingle_set, signature_similarity
 from ..functions.text import shingle_words
-from ..runtime import small_side
+from ..runtime import Workspace, small_side
 from .graph import connected_components
 
 #: Documents from which a shingle counts as frequent in the order of prefixes.
@@ -45,7 +45,7 @@ def shingle_frequency(documents: DataFrame, n: int, least: int = 1) -> DataFrame
 
 
 def similar_pairs(sets: DataFrame, least: float, key: str = "doc_id", frequent: int = FREQUENT) -> DataFrame:
-    """All pairs of sets with Jaccard similarity ``least`` or more: ``a, b, similarity, representative sets only``.
+    """All pairs of sets with Jaccard similarity ``least`` or more: ```a, b, similarity``, representative sets only.
 
     Exact, by prefix filtering: in any common order of elements, two sets that
     alike share an element among the first |s| - ceil(least |s|) + 1 of each.
@@ -53,8 +53,9 @@ def similar_pairs(sets: DataFrame, least: float, key: str = "doc_id", frequent:
     Equal sets are one class: the result has pairs of classes' smallest keys;
     :func:`set_classes` has their members.
     """
-    classes = set_classes(sets, key)
-    reps = classes.where(F.col(key) == F.col("class_id")).select(F.col(key).alias("id"), "shingles")
+    ws = Workspace(sets.sparkSession)  # sets are read five times, texts once
+    classes = set_classes(ws.write(sets.select(key, "shingles")), key)
+    reps = ws.write(classes.where(F.col(key) == F.col("class_id")).select(F.col(key).alias("id"), "shingles"))
     counts = reps.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= frequent)
     ranked = reps.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("s")).join(small_side(counts), "s", "left")
     order = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "s")

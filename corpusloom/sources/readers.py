@@ -91,7 +91,7 @@ def read_partitioned(spark: SparkSession, path: str, known: tuple[str, ...], sou
 
     Rows whose own column ``declared_subset`` names another subset than their folder are rejects.
     """
-    df = spark.read.parquet(path)
+    df = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
     others = sorted(set(df.columns) - set(known) - {"subset", "declared_subset"})
     told = F.to_json(F.struct(*others)) if others else F.lit(None).cast("string")
     wrong = F.col("declared_subset").isNotNull() & (F.col("declared_subset") != F.col("subset").cast("string")) if "declared_subset" in df.columns else F.lit(False)
