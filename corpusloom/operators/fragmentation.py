@@ -44,7 +44,7 @@ def word_pieces(documents: DataFrame, path: str, by: Sequence[str]) -> DataFrame
     Words are counted before they are tokenized, so each distinct word of a
     group is tokenized once.
     """
-    words = documents.select(*by, F.explode(lexical_words("text")).alias("word")).groupBy(*by, "word").agg(F.count(F.lit(1)).alias("occurrences"))
+    words = documents.select(*by, F.explode_outer(lexical_words("text")).alias("word")).where(F.col("word").isNotNull()).groupBy(*by, "word").agg(F.count(F.lit(1)).alias("occurrences"))
     return words.withColumn("pieces", token_count("word", path))
 
 

@@ -72,7 +72,7 @@ def row_errors() -> Column:
 
 def error_counts(documents: DataFrame) -> DataFrame:
     """``(error, rows)`` for every rule that is broken."""
-    return documents.select(F.explode(row_errors()).alias("error")).groupBy("error").agg(F.count(F.lit(1)).alias("rows"))
+    return documents.select(F.explode_outer(row_errors()).alias("error")).where(F.col("error").isNotNull()).groupBy("error").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def long_enough(documents: DataFrame, characters: int) -> DataFrame:

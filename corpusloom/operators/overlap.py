@@ -66,7 +66,8 @@ def runs_of(tokens: Column | str, n: int) -> Column:
 def anchors(fields: DataFrame, policy: OverlapPolicy) -> DataFrame:
     """``(field_id, example_id, position, hash, words)`` of every anchor of the anchored roles; ``fields`` hold tokens."""
     used = fields.where(F.col("field_role").isin(*policy.anchored_roles))
-    made = used.select("field_id", "example_id", "tokens", F.explode(runs_of("tokens", policy.anchor)).alias("r"))
+    made = used.select("field_id", "example_id", "tokens", F.explode_outer(runs_of("tokens", policy.anchor)).alias("r"))
+    made = made.where(F.col("r").isNotNull())
     return made.select("field_id", "example_id", F.col("r.position").alias("position"), F.col("r.hash").alias("hash"), F.slice("tokens", F.col("r.position") + 1, policy.anchor).alias("words"))
 
 
@@ -82,7 +83,8 @@ def anchor_hits(documents: DataFrame, anchors_: DataFrame, policy: OverlapPolicy
     benchmark is broadcast only while it is counted to be small. Only hits
     leave the scan's side of the join, and the tokens decide.
     """
-    runs = documents.select("doc_id", "tokens", F.explode(runs_of("tokens", policy.anchor)).alias("r"))
+    # explode_outer: explode would infer a filter on the runs and make them twice
+    runs = documents.select("doc_id", "tokens", F.explode_outer(runs_of("tokens", policy.anchor)).alias("r")).where(F.col("r").isNotNull())
     runs = runs.select("doc_id", F.col("r.position").alias("doc_position"), F.col("r.hash").alias("hash"), F.slice("tokens", F.col("r.position") + 1, policy.anchor).alias("own"))
     met = runs.join(small_side(anchors_.withColumnRenamed("position", "field_position")), "hash").where(F.col("own") == F.col("words"))
     return met.select("doc_id", "field_id", "example_id", "doc_position", "field_position", "hash")
@@ -108,7 +110,7 @@ def exact_fields(documents: DataFrame, fields: DataFrame, policy: OverlapPolicy)
     used = used.withColumn("hash", F.xxhash64(F.slice("f", F.lit(1), F.col("k"))))
     found = None
     for k in sorted(lengths):
-        runs = documents.select("doc_id", "tokens", F.explode(runs_of("tokens", k)).alias("r"))
+        runs = documents.select("doc_id", "tokens", F.explode_outer(runs_of("tokens", k)).alias("r")).where(F.col("r").isNotNull())
         met = runs.select("doc_id", "tokens", F.col("r.position").alias("start"), F.col("r.hash").alias("hash")).join(small_side(used.where(F.col("k") == k)), "hash")
         same = met.where(F.slice("tokens", F.col("start") + 1, F.greatest(F.size("f"), F.lit(1))) == F.col("f"))
         part = same.groupBy("doc_id", "field_id", "example_id", "field_role").agg(F.min("start").alias("start"), F.first(F.size("f")).alias("size"))

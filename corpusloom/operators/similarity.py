@@ -21,15 +21,28 @@ def shingle_sets(documents: DataFrame, n: int, *keep: str) -> DataFrame:
     """The kept columns with ``shingles``, the set of word n-grams of ``text``.
 
     In two projections: words are found once a text, not once for every use.
+    Sets should be unfolded with explode_outer: with explode a filter for empty
+    sets is inferred and moved below, and every set is made twice.
     """
     words = documents.select(*keep, shingle_words("text").alias("__words"))
     return words.select(*keep, shingle_set("__words", n).alias("shingles"))
 
 
 def shingled(documents: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
-    """``(key, shingles)`` with distinct n-grams as 64-bit hashes; texts without words are left out."""
-    sets = shingle_sets(documents.where(F.col(key).isNotNull()), n, key)
-    return sets.select(key, F.array_distinct(F.transform("shingles", lambda s: F.xxhash64(s))).alias("shingles")).where(F.size("shingles") > 0)
+    """``(key, shingles)`` with distinct n-grams as 64-bit hashes; texts without words are left out.
+
+    Words are hashed once and runs of hashes are hashed again, so no n-gram is
+    ever spelled out. A text of fewer than n words is one marked shingle.
+    """
+    # the raw text is asked for a word: a filter on the result would be moved below and make the whole set twice
+    told = documents.where(F.col(key).isNotNull() & F.col("text").rlike(r"[\p{L}\p{N}_]"))
+    words = told.select(key, shingle_words("text").alias("__words"))
+    hashed = words.select(key, F.transform("__words", lambda w: F.xxhash64(w)).alias("__h"))
+    count = F.greatest(F.size("__h") - (n - 1), F.lit(0))
+    zipped = F.arrays_zip(*[F.slice("__h", k + 1, count).alias(f"w{k}") for k in range(n)])
+    runs = F.array_distinct(F.transform(zipped, lambda x: F.xxhash64(*[x[f"w{k}"] for k in range(n)])))
+    whole = F.array(F.xxhash64(F.lit("short"), F.col("__h")))
+    return hashed.select(key, F.when(F.size("__h") >= n, runs).otherwise(whole).alias("shingles"))
 
 
 def portable_signatures(documents: DataFrame, n: int, permutations: int, key: str = "doc_id") -> DataFrame:
@@ -40,7 +53,7 @@ def portable_signatures(documents: DataFrame, n: int, permutations: int, key: st
 
 def shingle_frequency(documents: DataFrame, n: int, least: int = 1) -> DataFrame:
     """In how many documents each n-gram occurs, from ``least`` on."""
-    counts = shingle_sets(documents, n).select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("documents"))
+    counts = shingle_sets(documents, n).select(F.explode_outer("shingles").alias("shingle")).where(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.count(F.lit(1)).alias("documents"))
     return counts.where(F.col("documents") >= least)
 
 
@@ -163,7 +176,7 @@ def distinctive_scores(pairs: DataFrame, documents: DataFrame, n: int, least: in
     """Jaccard and containment on n-grams that occur in fewer than ``least`` documents, and the share of frequent ones among all of the pair's."""
     common = shingle_frequency(documents, n, least).select(F.col("shingle").alias("s"))
     wanted = pairs.select(F.col("a").alias(key)).union(pairs.select("b")).distinct()
-    each = shingle_sets(documents.join(wanted, key, "left_semi"), n, key).select(key, F.explode("shingles").alias("s"))
+    each = shingle_sets(documents.join(wanted, key, "left_semi"), n, key).select(key, F.explode_outer("shingles").alias("s")).where(F.col("s").isNotNull())
     flagged = each.join(common.withColumn("c", F.lit(True)), "s", "left").groupBy(key).agg(
         F.collect_list(F.when(F.col("c").isNull(), F.col("s"))).alias("rare"), F.count_if("c").alias("common"), F.count(F.lit(1)).alias("all")
     )  # a document's own n-grams
