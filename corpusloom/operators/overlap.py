@@ -55,20 +55,27 @@ def question_answers(fields: DataFrame) -> DataFrame:
     return fields.select(*made.columns).unionByName(made)
 
 
-def runs_of(tokens: Column | str, n: int) -> Column:
-    """``(position, hash)`` of every run of n tokens; none for shorter texts."""
-    tokens = F.col(tokens) if isinstance(tokens, str) else tokens
-    last = F.size(tokens) - n
-    made = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(i.alias("position"), F.xxhash64(F.slice(tokens, i + 1, n)).alias("hash")))
-    return F.when(last >= 0, made).otherwise(F.array().cast("array<struct<position:int,hash:bigint>>"))
+def with_runs(df: DataFrame, n: int, *keep: str) -> DataFrame:
+    """The kept columns with ``position, hash`` of every run of n tokens; texts with fewer have no row.
+
+    Tokens are hashed once and shifted copies of the hashes are zipped, so no
+    run is spelled out. Runs are unfolded with explode_outer: with explode a
+    filter for empty arrays is inferred and moved below, and all are made twice.
+    """
+    hashed = df.select(*keep, F.transform("tokens", lambda w: F.xxhash64(w)).alias("__h"))
+    count = F.greatest(F.size("__h") - (n - 1), F.lit(0))
+    places = F.when(count > 0, F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    zipped = F.arrays_zip(places.alias("position"), *[F.slice("__h", k + 1, count).alias(f"w{k}") for k in range(n)])
+    made = F.transform(zipped, lambda x: F.struct(x["position"].alias("position"), F.xxhash64(*[x[f"w{k}"] for k in range(n)]).alias("hash")))
+    unfolded = hashed.select(*keep, F.explode_outer(made).alias("__r")).where(F.col("__r").isNotNull())
+    return unfolded.select(*keep, "__r.position", "__r.hash")
 
 
 def anchors(fields: DataFrame, policy: OverlapPolicy) -> DataFrame:
     """``(field_id, example_id, position, hash, words)`` of every anchor of the anchored roles; ``fields`` hold tokens."""
     used = fields.where(F.col("field_role").isin(*policy.anchored_roles))
-    made = used.select("field_id", "example_id", "tokens", F.explode_outer(runs_of("tokens", policy.anchor)).alias("r"))
-    made = made.where(F.col("r").isNotNull())
-    return made.select("field_id", "example_id", F.col("r.position").alias("position"), F.col("r.hash").alias("hash"), F.slice("tokens", F.col("r.position") + 1, policy.anchor).alias("words"))
+    made = with_runs(used, policy.anchor, "field_id", "example_id", "tokens")
+    return made.select("field_id", "example_id", "position", "hash", F.slice("tokens", F.col("position") + 1, policy.anchor).alias("words"))
 
 
 def anchor_frequency(anchors_: DataFrame) -> DataFrame:
@@ -83,11 +90,11 @@ def anchor_hits(documents: DataFrame, anchors_: DataFrame, policy: OverlapPolicy
     benchmark is broadcast only while it is counted to be small. Only hits
     leave the scan's side of the join, and the tokens decide.
     """
-    # explode_outer: explode would infer a filter on the runs and make them twice
-    runs = documents.select("doc_id", "tokens", F.explode_outer(runs_of("tokens", policy.anchor)).alias("r")).where(F.col("r").isNotNull())
-    runs = runs.select("doc_id", F.col("r.position").alias("doc_position"), F.col("r.hash").alias("hash"), F.slice("tokens", F.col("r.position") + 1, policy.anchor).alias("own"))
-    met = runs.join(small_side(anchors_.withColumnRenamed("position", "field_position")), "hash").where(F.col("own") == F.col("words"))
-    return met.select("doc_id", "field_id", "example_id", "doc_position", "field_position", "hash")
+    runs = with_runs(documents, policy.anchor, "doc_id").withColumnRenamed("position", "doc_position")
+    met = runs.join(small_side(anchors_.withColumnRenamed("position", "field_position")), "hash")
+    # only documents with a hit are asked for their tokens
+    told = met.join(documents.select("doc_id", "tokens"), "doc_id").where(F.slice("tokens", F.col("doc_position") + 1, policy.anchor) == F.col("words"))
+    return told.select("doc_id", "field_id", "example_id", "doc_position", "field_position", "hash")
 
 
 def without_frequent(hits: DataFrame, policy: OverlapPolicy) -> DataFrame:
@@ -107,11 +114,12 @@ def exact_fields(documents: DataFrame, fields: DataFrame, policy: OverlapPolicy)
     """
     used = fields.where(F.size("tokens") > 0).select("field_id", "example_id", "field_role", F.col("tokens").alias("f"), F.least(F.size("tokens"), F.lit(policy.seed)).alias("k"))
     lengths = [r.k for r in used.select("k").distinct().collect()]  # at most ``seed`` numbers
-    used = used.withColumn("hash", F.xxhash64(F.slice("f", F.lit(1), F.col("k"))))
     found = None
     for k in sorted(lengths):
-        runs = documents.select("doc_id", "tokens", F.explode_outer(runs_of("tokens", k)).alias("r")).where(F.col("r").isNotNull())
-        met = runs.select("doc_id", "tokens", F.col("r.position").alias("start"), F.col("r.hash").alias("hash")).join(small_side(used.where(F.col("k") == k)), "hash")
+        own = used.where(F.col("k") == k)
+        first = with_runs(own.withColumn("tokens", F.slice("f", 1, k)), k, "field_id", "example_id", "field_role", "f").drop("position")
+        runs = with_runs(documents, k, "doc_id").withColumnRenamed("position", "start")
+        met = runs.join(small_side(first), "hash").join(documents.select("doc_id", "tokens"), "doc_id")
         same = met.where(F.slice("tokens", F.col("start") + 1, F.greatest(F.size("f"), F.lit(1))) == F.col("f"))
         part = same.groupBy("doc_id", "field_id", "example_id", "field_role").agg(F.min("start").alias("start"), F.first(F.size("f")).alias("size"))
         found = part if found is None else found.unionByName(part)
