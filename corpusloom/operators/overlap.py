@@ -45,14 +45,15 @@ def tokenized(df: DataFrame, text: str, *keep: str) -> DataFrame:
 
 
 def question_answers(fields: DataFrame) -> DataFrame:
-    """``fields`` with one more role: an item's question and correct answer in one text."""
+    """``fields`` with one more role: an item's question and correct answer in one text; items that bring the role keep their own."""
     q = fields.where(F.col("field_role") == "question").select("benchmark_name", "example_id", F.col("original_text").alias("q"))
     a = fields.where(F.col("field_role") == "correct_answer").select("example_id", F.col("original_text").alias("a"))
     made = q.join(a, "example_id").select(
         "benchmark_name", "example_id", F.concat("example_id", F.lit(":question_plus_answer")).alias("field_id"), F.lit("question_plus_answer").alias("field_role"),
         F.concat_ws(" ", "q", "a").alias("original_text"), F.lit(True).alias("matchable"),
     )
-    return fields.select(*made.columns).unionByName(made)
+    given = fields.where(F.col("field_role") == "question_plus_answer").select("example_id")
+    return fields.select(*made.columns).unionByName(made.join(given, "example_id", "left_anti"))
 
 
 def with_runs(df: DataFrame, n: int, *keep: str) -> DataFrame:
@@ -248,16 +249,24 @@ def hits_by_rule(documents: DataFrame, fields: DataFrame, policy: OverlapPolicy
 
     Rules: ``exact_<role>`` for whole fields, ``exact_distinctive_question``
     for questions of few items and documents, ``contiguous_token_run`` and,
-    where no run is long enough, ``distinctive_anchor_coverage``. Nothing is
-    removed from the documents: the result is a diagnosis.
+    where no run is long enough, ``distinctive_anchor_coverage``. A question of
+    ``question_tokens`` or more with its answer within ``gap`` tokens stands
+    for the field of both; start is where the first of the two begins. Nothing
+    is removed from the documents: the result is a diagnosis.
     """
     p = policy or OverlapPolicy()
     ws = Workspace(documents.sparkSession)  # tokens and hits are read several times, texts once
     docs = ws.write(tokenized(documents, "text", "doc_id"))
-    used = ws.write(tokenized(fields.where("matchable"), "original_text", "field_id", "example_id", "field_role"))
+    used = ws.write(tokenized(question_answers(fields).where("matchable"), "original_text", "field_id", "example_id", "field_role"))
+    answers = tokenized(fields.where(F.col("field_role") == "correct_answer"), "original_text", "field_id", "example_id", "field_role")
     exact = exact_fields(docs, used.where(F.col("field_role").isin(*p.whole_roles, "question")), p)
     whole = exact.where(F.col("field_role") != "question").select("doc_id", "example_id", "field_id", F.concat(F.lit("exact_"), "field_role").alias("rule"), "start")
     question = used.where(F.col("field_role") == "question")
+    long_enough = question.where(F.size("tokens") >= p.question_tokens).select("field_id")
+    near = near_answers(exact.join(small_side(long_enough), "field_id", "left_semi"), exact_fields(docs, answers, p), p)
+    combined = used.where(F.col("field_role") == "question_plus_answer").select("example_id", "field_id")
+    beside = near.join(small_side(combined), "example_id").select("doc_id", "example_id", "field_id", F.lit("exact_question_plus_answer").alias("rule"), F.least("question_start", "answer_start").alias("start"))
+    whole = whole.unionByName(beside).groupBy("doc_id", "example_id", "field_id", "rule").agg(F.min("start").alias("start"))
     rare = question.groupBy("tokens").agg(F.count_distinct("example_id").alias("n")).where((F.col("n") <= p.item_frequency) & (F.size("tokens") >= p.question_tokens))
     rare = question.join(rare, "tokens", "left_semi").select("field_id")
     asked = exact.where(F.col("field_role") == "question").join(small_side(rare), "field_id", "left_semi")

@@ -17,7 +17,7 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
 
 def _fields(spark: SparkSession, d: str, matchable: bool = True) -> DataFrame:
     rows = read(spark, d, "benchmark_field")
-    return O.tokenized(rows.where("matchable") if matchable else rows, "original_text", "field_id", "example_id", "field_role")
+    return O.tokenized(O.question_answers(rows).where("matchable") if matchable else rows, "original_text", "field_id", "example_id", "field_role")
 
 
 def _hits(spark: SparkSession, d: str) -> DataFrame:

@@ -246,6 +246,31 @@ def test_overlap_rules_on_controls(spark):
     assert (table.tp, table.fn, table.fp, table.tn) == (1, 1, 1, 1)
 
 
+FIELDS = "benchmark_name string, example_id string, field_id string, field_role string, original_text string, matchable boolean"
+
+
+def asked(item, question, answer):
+    """The fields of an item with a question and its correct answer."""
+    return [("b", item, f"{item}:question", "question", question, True), ("b", item, f"{item}:answer", "correct_answer", answer, False)]
+
+
+def test_question_and_answer_are_one_field(spark):
+    long, shared = " ".join(f"q{i}" for i in range(12)), " ".join(f"s{i}" for i in range(7))
+    fields = asked("short", "quem foi", "dom pedro") + [f for k in "123" for f in asked(f"shared{k}", shared, f"answer{k}")] + asked("long", long, "um dois três")
+    docs = [
+        ("behind", "x quem foi dom pedro y"), ("short apart", "quem foi x dom pedro"), ("apart", f"z answer2 {'x ' * 128}{shared}"), ("too far", f"answer2 {'x ' * 129}{shared}"),
+        ("border", f"x {long} um y"), ("both", f"{long} um dois três {'x ' * 20}{long} um dois três"),
+    ]
+    hits = overlap.hits_by_rule(spark.createDataFrame(docs, "doc_id string, text string"), spark.createDataFrame(fields, FIELDS)).where("field_id LIKE '%question_plus_answer'").collect()
+    rule = "exact_question_plus_answer"
+    assert {(r.doc_id, r.example_id, r.rule, r.start) for r in hits if r.rule == rule} == {("behind", "short", rule, 1), ("apart", "shared2", rule, 1), ("both", "long", rule, 0)}
+    used = overlap.tokenized(overlap.question_answers(spark.createDataFrame(fields, FIELDS)), "original_text", "field_id", "example_id", "field_role")
+    held = overlap.tokenized(spark.createDataFrame(docs, "doc_id string, text string"), "text", "doc_id")
+    p = overlap.OverlapPolicy()
+    found = overlap.anchor_hits(held, overlap.anchors(used, p), p)
+    assert {(r.doc_id, r.field_position) for r in found.collect()} == {("border", 0), ("both", 0), ("both", 1), ("both", 2)}
+
+
 def test_containing_range_and_kth(spark):
     points = spark.createDataFrame([("s", x) for x in (0, 5, 9, 10, 250, 9999)] + [("t", 1), ("s", None)], "shard string, at long")
     ranges = spark.createDataFrame([("s", 5, "a"), ("s", 10, "b"), ("s", 300, "c")], "shard string, start long, name string")
