@@ -107,11 +107,11 @@ def without_frequent(hits: DataFrame, policy: OverlapPolicy) -> DataFrame:
     return hits.join(often, "hash", "left_anti")
 
 
-def exact_fields(documents: DataFrame, fields: DataFrame, policy: OverlapPolicy) -> DataFrame:
-    """``(doc_id, field_id, example_id, field_role, start, size)``: whole fields that a document holds token by token.
+def exact_places(documents: DataFrame, fields: DataFrame, policy: OverlapPolicy) -> DataFrame:
+    """``(doc_id, field_id, example_id, field_role, start, size)``: every place where a document holds a whole field token by token.
 
     The first ``seed`` tokens of a field (all, if it has fewer) find the
-    places, the whole field is compared there. The first place is reported.
+    places, the whole field is compared there.
     """
     used = fields.where(F.size("tokens") > 0).select("field_id", "example_id", "field_role", F.col("tokens").alias("f"), F.least(F.size("tokens"), F.lit(policy.seed)).alias("k"))
     lengths = [r.k for r in used.select("k").distinct().collect()]  # at most ``seed`` numbers
@@ -122,13 +122,31 @@ def exact_fields(documents: DataFrame, fields: DataFrame, policy: OverlapPolicy)
         runs = with_runs(documents, k, "doc_id").withColumnRenamed("position", "start")
         met = runs.join(small_side(first), "hash").join(documents.select("doc_id", "tokens"), "doc_id")
         same = met.where(F.slice("tokens", F.col("start") + 1, F.greatest(F.size("f"), F.lit(1))) == F.col("f"))
-        part = same.groupBy("doc_id", "field_id", "example_id", "field_role").agg(F.min("start").alias("start"), F.first(F.size("f")).alias("size"))
+        part = same.select("doc_id", "field_id", "example_id", "field_role", "start", F.size("f").alias("size"))
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = documents.select("doc_id", F.lit("").alias("field_id"), F.lit("").alias("example_id"), F.lit("").alias("field_role"), F.lit(0).alias("start"), F.lit(0).alias("size")).limit(0)
     return found
 
 
+def exact_fields(places: DataFrame) -> DataFrame:
+    """The first of each document's places of a field, from :func:`exact_places`."""
+    return places.groupBy("doc_id", "field_id", "example_id", "field_role").agg(F.min("start").alias("start"), F.first("size").alias("size"))
+
+
+def answer_places(documents: DataFrame, questions: DataFrame, answers: DataFrame) -> DataFrame:
+    """``(doc_id, example_id, start, size)``: every place of an item's answer in the documents that hold its question.
+
+    Only these documents are searched, each for the answers of its own items,
+    so an answer of one frequent word costs nothing elsewhere.
+    """
+    told = answers.where(F.size("tokens") > 0).select("example_id", F.col("tokens").alias("f"))
+    met = questions.select("doc_id", "example_id").distinct().join(small_side(told), "example_id").join(documents.select("doc_id", "tokens"), "doc_id")
+    last = F.size("tokens") - F.size("f")
+    starts = F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: (F.element_at("tokens", i + 1) == F.col("f")[0]) & (F.slice("tokens", i + 1, F.size("f")) == F.col("f")))
+    return met.where(last >= 0).select("doc_id", "example_id", F.explode(starts).alias("start"), F.size("f").alias("size"))
+
+
 def runs(hits: DataFrame, policy: OverlapPolicy) -> DataFrame:
     """Anchors that follow one another in both texts, merged: ``doc_id, field_id, example_id, start, field_start, size``.
 
@@ -233,7 +251,7 @@ def distinctive_positions(anchors_: DataFrame, policy: OverlapPolicy) -> DataFra
 def near_answers(exact: DataFrame, answers: DataFrame, policy: OverlapPolicy) -> DataFrame:
     """``(doc_id, example_id, question_start, answer_start, distance)``: an item's answer within ``gap`` tokens of its question; the first answer counts.
 
-    ``exact`` holds questions, ``answers`` all places of answers: ``doc_id, example_id, start, size``.
+    ``exact`` holds all places of questions, ``answers`` all places of answers: ``doc_id, example_id, start, size``.
     """
     q = exact.select("doc_id", "example_id", F.col("start").alias("qs"), (F.col("start") + F.col("size")).alias("qe"))
     a = answers.select("doc_id", "example_id", F.col("start").alias("s"), (F.col("start") + F.col("size")).alias("e"))
@@ -259,11 +277,13 @@ def hits_by_rule(documents: DataFrame, fields: DataFrame, policy: OverlapPolicy
     docs = ws.write(tokenized(documents, "text", "doc_id"))
     used = ws.write(tokenized(question_answers(fields).where("matchable"), "original_text", "field_id", "example_id", "field_role"))
     answers = tokenized(fields.where(F.col("field_role") == "correct_answer"), "original_text", "field_id", "example_id", "field_role")
-    exact = exact_fields(docs, used.where(F.col("field_role").isin(*p.whole_roles, "question")), p)
+    places = ws.write(exact_places(docs, used.where(F.col("field_role").isin(*p.whole_roles, "question")), p))
+    exact = exact_fields(places)
     whole = exact.where(F.col("field_role") != "question").select("doc_id", "example_id", "field_id", F.concat(F.lit("exact_"), "field_role").alias("rule"), "start")
     question = used.where(F.col("field_role") == "question")
     long_enough = question.where(F.size("tokens") >= p.question_tokens).select("field_id")
-    near = near_answers(exact.join(small_side(long_enough), "field_id", "left_semi"), exact_fields(docs, answers, p), p)
+    posed = places.join(small_side(long_enough), "field_id", "left_semi")
+    near = near_answers(posed, answer_places(docs, posed, answers), p)
     combined = used.where(F.col("field_role") == "question_plus_answer").select("example_id", "field_id")
     beside = near.join(small_side(combined), "example_id").select("doc_id", "example_id", "field_id", F.lit("exact_question_plus_answer").alias("rule"), F.least("question_start", "answer_start").alias("start"))
     whole = whole.unionByName(beside).groupBy("doc_id", "example_id", "field_id", "rule").agg(F.min("start").alias("start"))

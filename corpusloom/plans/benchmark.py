@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import overlap as O
+from ..runtime import Workspace
 from .base import read
 
 POLICY = O.OverlapPolicy()
@@ -49,7 +50,7 @@ def anchor_documents(spark: SparkSession, d: str) -> DataFrame:
 
 def exact_items(spark: SparkSession, d: str) -> DataFrame:
     """Whole fields in documents."""
-    return O.exact_fields(_docs(spark, d), _fields(spark, d), POLICY).select("doc_id", "field_id", "field_role", F.col("start").cast("long").alias("start"), F.col("size").cast("long").alias("size"))
+    return O.exact_fields(O.exact_places(_docs(spark, d), _fields(spark, d), POLICY)).select("doc_id", "field_id", "field_role", F.col("start").cast("long").alias("start"), F.col("size").cast("long").alias("size"))
 
 
 def token_runs(spark: SparkSession, d: str) -> DataFrame:
@@ -67,8 +68,8 @@ def near_answers(spark: SparkSession, d: str) -> DataFrame:
     """Answers near their questions."""
     every = _fields(spark, d, matchable=False)
     docs = _docs(spark, d)
-    q = O.exact_fields(docs, every.where("field_role = 'question'"), POLICY)
-    a = O.exact_fields(docs, every.where("field_role = 'correct_answer'"), POLICY)
+    q = Workspace(spark).write(O.exact_places(docs, every.where("field_role = 'question'"), POLICY))  # read twice, searched for once
+    a = O.answer_places(docs, q, every.where("field_role = 'correct_answer'"))
     return O.near_answers(q, a, POLICY).select("doc_id", "example_id", *[F.col(c).cast("long").alias(c) for c in ("question_start", "answer_start", "distance")])
 
 

@@ -23,6 +23,7 @@ from corpusloom.functions.urls import canonical_url, url_host
 from corpusloom.operators import exact_dedup, mixture, normalize, overlap, packing, profile, relate, sampling, similarity, verify
 from corpusloom.operators.current import latest_rows
 from corpusloom.operators.graph import connected_components
+from corpusloom.plans import benchmark
 from corpusloom.runtime import prefix_sums
 from corpusloom.schema import DOCUMENT_SCHEMA, SchemaError, assert_schema
 from corpusloom.sources import readers, writers
@@ -271,6 +272,18 @@ def test_question_and_answer_are_one_field(spark):
     assert {(r.doc_id, r.field_position) for r in found.collect()} == {("border", 0), ("both", 0), ("both", 1), ("both", 2)}
 
 
+def test_answers_at_any_place_of_a_question(spark, tmp_path):
+    question = " ".join(f"q{i}" for i in range(6))
+    far = "x " * 200
+    docs = [("earlier answer", f"sim sim {far}{question} x sim"), ("second question", f"{question} {far}{question} sim"), ("apart", f"sim {far}{question} {far}sim"), ("alone", "sim")]
+    spark.createDataFrame(asked("e", question, "Sim"), FIELDS).write.parquet(f"{tmp_path}/benchmark_field.parquet")
+    spark.createDataFrame(docs, "doc_id string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.question_start, r.answer_start, r.distance) for r in benchmark.near_answers(spark, str(tmp_path)).collect()}
+    assert got == {("earlier answer", 202, 209, 1), ("second question", 206, 212, 0)}
+    hits = benchmark.overlap_hits(spark, str(tmp_path)).where("rule = 'exact_question_plus_answer'").collect()
+    assert {(r.doc_id, r.start) for r in hits} == {("earlier answer", 202), ("second question", 206)}
+
+
 def test_containing_range_and_kth(spark):
     points = spark.createDataFrame([("s", x) for x in (0, 5, 9, 10, 250, 9999)] + [("t", 1), ("s", None)], "shard string, at long")
     ranges = spark.createDataFrame([("s", 5, "a"), ("s", 10, "b"), ("s", 300, "c")], "shard string, start long, name string")
