@@ -148,18 +148,20 @@ def answer_places(documents: DataFrame, questions: DataFrame, answers: DataFrame
 
 
 def runs(hits: DataFrame, policy: OverlapPolicy) -> DataFrame:
-    """Anchors that follow one another in both texts, merged: ``doc_id, field_id, example_id, start, field_start, size``.
+    """Anchors that touch or overlap in both texts, merged: ``doc_id, field_id, example_id, start, field_start, size``.
 
     Hits of one document, field and offset form islands; hits at other offsets
-    in between do not break them.
+    in between do not break them. A new island starts where a hit lies beyond
+    the end of the one before, so missing anchors (frequent ones are taken out)
+    do not cut a passage as long as its tokens are covered by others.
     """
     offset = F.col("doc_position") - F.col("field_position")
-    w = Window.partitionBy("doc_id", "field_id", offset).orderBy("field_position")
-    rows = hits.select("doc_id", "field_id", "example_id", "doc_position", "field_position").distinct()
-    island = rows.withColumn("__o", offset).withColumn("__i", F.col("field_position") - F.row_number().over(w))
-    return island.groupBy("doc_id", "field_id", "example_id", "__o", "__i").agg(
-        F.min("doc_position").alias("start"), F.min("field_position").alias("field_start"), (F.count(F.lit(1)) + policy.anchor - 1).alias("size")
-    ).drop("__o", "__i")
+    rows = hits.select("doc_id", "field_id", "example_id", "doc_position", "field_position").distinct().withColumn("__o", offset)
+    w = Window.partitionBy("doc_id", "field_id", "__o").orderBy("field_position")
+    apart = F.col("field_position") - F.lag("field_position").over(w) > policy.anchor
+    island = rows.withColumn("__new", F.coalesce(apart.cast("long"), F.lit(0))).withColumn("__i", F.sum("__new").over(w))
+    size = F.max("field_position") - F.min("field_position") + policy.anchor
+    return island.groupBy("doc_id", "field_id", "example_id", "__o", "__i").agg(F.min("doc_position").alias("start"), F.min("field_position").alias("field_start"), size.cast("long").alias("size")).drop("__o", "__i")
 
 
 def best_band(hits: Sequence[tuple[int, int]], size: int, anchor: int, drift: int) -> tuple[int, int, int]:

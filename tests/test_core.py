@@ -272,6 +272,20 @@ def test_question_and_answer_are_one_field(spark):
     assert {(r.doc_id, r.field_position) for r in found.collect()} == {("border", 0), ("both", 0), ("both", 1), ("both", 2)}
 
 
+def test_frequent_anchors_do_not_cut_a_passage(spark):
+    p = overlap.OverlapPolicy(document_frequency=2)
+    item = [f"termo{i}" for i in range(80)]
+    held = [("whole", " ".join(item)), *[(f"often{i}", " ".join(item[33:46])) for i in range(3)]]
+    docs = overlap.tokenized(spark.createDataFrame(held, "doc_id string, text string"), "text", "doc_id")
+    fields = spark.createDataFrame([("b", "e", "e:passage", "passage", " ".join(["head"] * 900 + item), True)], FIELDS)
+    used = overlap.tokenized(fields, "original_text", "field_id", "example_id", "field_role")
+    hits = overlap.without_frequent(overlap.anchor_hits(docs, overlap.anchors(used, p), p), p)
+    assert [(r.doc_id, r.start, r.field_start, r["size"]) for r in overlap.runs(hits, p).collect()] == [("whole", 0, 900, 80)]
+    assert {(r.doc_id, r.rule) for r in overlap.hits_by_rule(spark.createDataFrame(held, "doc_id string, text string"), fields, p).collect()} == {("whole", "contiguous_token_run")}
+    ends = spark.createDataFrame([("d", "f", "e", x, x) for x in (0, 13, 27)] + [("d", "f", "e", 5, 4)], "doc_id string, field_id string, example_id string, doc_position int, field_position int")
+    assert {(r.start, r.field_start, r["size"]) for r in overlap.runs(ends, p).collect()} == {(0, 0, 26), (27, 27, 13), (5, 4, 13)}
+
+
 def test_answers_at_any_place_of_a_question(spark, tmp_path):
     question = " ".join(f"q{i}" for i in range(6))
     far = "x " * 200
