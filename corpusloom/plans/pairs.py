@@ -112,11 +112,18 @@ def scored_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pair_labels(spark: SparkSession, d: str) -> DataFrame:
-    """PF11, PF12, PF13: what the scores say about a pair, and why it may be worth a look."""
-    rows = _scored(spark, d)
-    label = B.provisional_label("jaccard", "containment", F.lit(False), "shared")
-    reasons = B.review_categories("jaccard", "containment", "length_ratio", F.lit("within_source"), "shared")
-    return rows.select("a", "b", label.alias("label"), F.array_join(reasons, ";").alias("reasons"), B.short_action("shared", F.col("jaccard") == 1, F.lit(False)).alias("action"))
+    """PF10, PF11, PF12, PF13: what the scores and both records say about a pair, and why it may be worth a look."""
+    told = documents(spark, d, "title", F.substring("text", 1, 300).alias("head"))
+    rows = S.with_endpoints(_scored(spark, d).withColumnsRenamed({"a": "id_a", "b": "id_b"}), told, ("source", "words", "title", "head"))
+    rows = rows.withColumns({"title_a": F.nullif("title_a", F.lit("")), "title_b": F.nullif("title_b", F.lit("")), "t_a": title_tokens("title_a"), "t_b": title_tokens("title_b")})
+    # records without a title say nothing about their titles
+    titles = F.when(F.col("title_a").isNotNull() & F.col("title_b").isNotNull(), F.when(F.size("t_a") + F.size("t_b") == 0, 1.0).otherwise(jaccard("t_a", "t_b")))
+    words = F.least("words_a", "words_b")
+    preserved = F.coalesce(F.col("source_a").isin(*RULE.preserved), F.lit(False)) | F.coalesce(F.col("source_b").isin(*RULE.preserved), F.lit(False))
+    label = B.provisional_label("jaccard", "containment", B.boilerplate_suspect("jaccard", titles, "head_a", "head_b"), words)
+    reasons = B.review_categories("jaccard", "containment", "length_ratio", B.relation("source_a", "source_b"), words)
+    action = B.short_action(words, F.col("jaccard") == 1, preserved)
+    return rows.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), label.alias("label"), F.array_join(reasons, ";").alias("reasons"), action.alias("action"))
 
 
 def distinctive_scores(spark: SparkSession, d: str) -> DataFrame:

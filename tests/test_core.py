@@ -24,6 +24,7 @@ from corpusloom.operators import exact_dedup, mixture, normalize, overlap, packi
 from corpusloom.operators.current import latest_rows
 from corpusloom.operators.graph import connected_components
 from corpusloom.plans import benchmark
+from corpusloom.plans import pairs as plan_pairs
 from corpusloom.runtime import prefix_sums
 from corpusloom.schema import DOCUMENT_SCHEMA, SchemaError, assert_schema
 from corpusloom.sources import readers, writers
@@ -232,6 +233,27 @@ def test_similar_pairs_equal_brute_force(spark):
         assert got == {(a, b) for a in reps for b in reps if a < b and len(reps[a] & reps[b]) / len(reps[a] | reps[b]) >= least}
 
 
+def normalized(spark, folder, rows):
+    """Rows ``(record_id, source, title, text)`` as the table normalized_document."""
+    rows = [(*r, "s", None, dt.datetime(2026, 1, 1)) for r in rows]
+    spark.createDataFrame(rows, "record_id string, source string, title string, text string, subset string, content_sha256 string, loaded_at timestamp").write.parquet(f"{folder}/normalized_document.parquet")
+
+
+def test_pair_labels_read_both_records(spark, tmp_path):
+    def pair(name, n, source_a="web", source_b="web", title_a=None, title_b=None, at=50):
+        words = [f"{name}{i}" for i in range(n)]
+        return [(f"{name}1", source_a, title_a, " ".join(words)), (f"{name}2", source_b, title_b, " ".join([*words[:at], "other", *words[at + 1 :]]))]
+
+    rows = pair("aa", 100) + pair("bb", 120, "web", "Parlamento_PT") + pair("cc", 120, title_a="Um título", title_b="Outra coisa", at=0) + pair("dd", 120, title_a="Um título", at=0)
+    rows += pair("ee", 99) + pair("ff", 120, title_a="!", title_b="?", at=0)
+    normalized(spark, tmp_path, rows)
+    got = {r.a: (r.b, r.label, r.reasons, r.action) for r in plan_pairs.pair_labels(spark, str(tmp_path)).collect()}
+    assert got == {
+        "aa1": ("aa2", "probable_duplicate", "", "normal"), "bb1": ("bb2", "true_duplicate", "cross_source", "preserve"), "cc1": ("cc2", "boilerplate", "", "normal"),
+        "dd1": ("dd2", "true_duplicate", "", "normal"), "ee1": ("ee2", "probable_duplicate", "short", "review_only"), "ff1": ("ff2", "true_duplicate", "", "normal"),
+    }
+
+
 def test_overlap_rules_on_controls(spark):
     rng = random.Random(2)
     item = [f"termo{i}" for i in range(80)]
