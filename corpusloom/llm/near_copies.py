@@ -35,12 +35,13 @@ class Likeness:
     1 - (1 - s**rows)**bands: 0.99985 at 0.7 with the defaults. ``margin`` is
     how far below the threshold an estimate may lie and still be checked
     exactly: with 128 minima of 4 bits its standard deviation is below 0.047,
-    so the default is more than four of them.
+    so the default is more than four of them. Texts of fewer than
+    ``least_words`` words are left out; with 0 every record is in a class.
     """
 
     words: int = 5
     least: Fraction = Fraction(4, 5)
-    least_words: int = 20
+    least_words: int = 1
     bands: int = 32
     rows: int = 4
     bits: int = 4
@@ -57,7 +58,9 @@ class Likeness:
 
 
 #: Fixed values of the project's own statement for this problem.
-RECORDS = Likeness(words=3, least=Fraction(7, 10))
+RECORDS = Likeness(words=3, least=Fraction(7, 10), least_words=20)
+#: For a row of every record.
+EVERY = Likeness(least_words=0)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -77,9 +80,13 @@ class Shingler:
         self._seen: dict[str, int] = {}
         self._factors = [np.uint64(f) for f in np.random.default_rng(words).integers(1, 2**63, words, dtype=np.uint64) * np.uint64(2) + np.uint64(1)]
 
+    @staticmethod
+    def words_of(text: str) -> list[str]:
+        return _WORD.findall(unicodedata.normalize("NFC", text).lower() if not text.isascii() else text.lower())
+
     def __call__(self, text: str) -> tuple[int, np.ndarray]:
         """Number of words, and the sorted distinct hashes of all runs of adjacent words."""
-        words = _WORD.findall(unicodedata.normalize("NFC", text).lower() if not text.isascii() else text.lower())
+        words = self.words_of(text)
         n = len(words) - self.words + 1
         if n < 1:
             return len(words), np.zeros(0, dtype=np.uint64)
@@ -132,11 +139,23 @@ def _band_keys(minima: np.ndarray, like: Likeness) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def _plain_digest(record_id: str, text: str | None) -> str:
+    """What a text without runs is classed by: its words, the text itself where it has none, the record where there is no text.
+
+    Digests sort before those of sets, so of two rows of one time the longer text counts.
+    """
+    if not isinstance(text, str):
+        return f"!{record_id}"
+    words = Shingler.words_of(text)
+    return f"%{xxhash.xxh3_128_hexdigest(' '.join(words))}" if words else f"#{xxhash.xxh3_128_hexdigest(text)}"
+
+
 def fingerprints(rows: DataFrame, like: Likeness) -> DataFrame:
     """``(record_id, loaded_at, text)`` to ``record_id, loaded_at, words, digest, packed, band_keys``.
 
-    ``digest`` identifies the set of word runs; it is NULL, with the rest, for
-    texts that are NULL or of fewer than ``least_words`` words.
+    ``digest`` identifies the set of word runs, and texts too short for a run by
+    their words; it is NULL for texts of fewer than ``least_words`` words (NULL
+    has none). ``packed`` and ``band_keys`` are NULL where there is no run.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,6 +166,9 @@ def fingerprints(rows: DataFrame, like: Likeness) -> DataFrame:
             digest: list = [None] * len(batch)
             packed: list = [None] * len(batch)
             keys: list = [None] * len(batch)
+            for i, (n, s) in enumerate(found):
+                if n >= like.least_words and not len(s):
+                    digest[i] = _plain_digest(batch["record_id"].iloc[i], batch["text"].iloc[i])
             if full:
                 minima = _signatures([found[i][1] for i in full], like)
                 for i, p, k in zip(full, _pack(minima, like), _band_keys(minima, like), strict=True):
@@ -193,7 +215,8 @@ def near_copies(documents: DataFrame, like: Likeness = Likeness()) -> Copies:
     the texts of the classes that are left.
 
     * Of a record delivered repeatedly the row with the latest loaded_at counts (NULL is oldest; ties: the larger digest).
-    * NULL, empty and short texts (below ``least_words``), NULL or empty record_id: in no class.
+    * Texts too short for a run of words are one class by equal words, without words by equal text; they are in no pair.
+    * Texts below ``least_words`` (NULL and empty have none), NULL or empty record_id: in no class. NULL texts are never equal.
     * Very long texts are taken whole. Empty input: empty results. Other columns are ignored.
     """
     ws = Workspace(documents.sparkSession)
@@ -277,8 +300,8 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classes and groups of records with a similarity of 0.8 or more on runs of five words."""
-    return groups(near_copies(_documents(spark, sf_dir)))
+    """Classes and groups of all records, short ones included, with a similarity of 0.8 or more on runs of five words."""
+    return groups(near_copies(_documents(spark, sf_dir), EVERY))
 
 
 def p3_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,6 +92,22 @@ def test_near_copies_of_nothing(spark):
     assert near_copies.groups(only).count() == 0
 
 
+def test_every_record_has_a_group(spark, tmp_path):
+    ten = [f"w{i}" for i in range(10)]
+    texts = {
+        "a1": "Muito obrigado!", "a2": "muito  OBRIGADO", "a3": "obrigado muito", "b1": " ".join(ten), "b2": " ".join(ten).upper(), "b3": " ".join([*ten, "w10"]), "b4": " ".join(["x", "y", *ten[2:]]),
+        "c1": None, "c2": None, "d1": "", "d2": "", "e1": "***", "f1": text(random.Random(3), 25),
+    }
+    rows = [(k, t, T0, 1, "x", 2, 3, 4) for k, t in texts.items()] + [("A-1", None, T0 - dt.timedelta(1), 1, "x", 2, 3, 4), ("d2", "x y", T0 - dt.timedelta(1), 1, "x", 2, 3, 4)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/normalized_document.parquet")
+    out = near_copies.p3_groups(spark, str(tmp_path)).collect()
+    first = {k: k for k in texts} | {"a2": "a1", "b2": "b1", "d2": "d1"}
+    assert {r.record_id: r.class_id for r in out} == first and len(out) == len(texts)
+    assert {r.record_id: r.group_id for r in out} == first | {"b3": "b1"}
+    assert {r.record_id for r in out if r.copies == 2} == {"a1", "a2", "b1", "b2", "d1", "d2"} and {r.record_id for r in out if r.links} == {"b1", "b2", "b3"}
+    assert {tuple(r) for r in near_copies.p3_found(spark, str(tmp_path)).collect()} == set()
+
+
 def test_estimate_is_corrected_for_chance(spark):
     like, rng = near_copies.Likeness(), np.random.default_rng(1)
     for share in (0.0, 0.5, 0.9):
