@@ -98,12 +98,12 @@ def sample_check(spark: SparkSession, d: str) -> DataFrame:
 
 
 def frame_groups(spark: SparkSession, d: str) -> DataFrame:
-    """Row groups in rank order until a bucket's words reach twice its target."""
+    """Row groups in rank order until a bucket's words reach ten times its target."""
     rows = _candidates(spark, d).where((F.col("words") > 0) & F.col("bucket").isNotNull())
     rows = rows.withColumn("piece", F.concat_ws(":", "source_shard", F.col("source_row_group").cast("string")))
     groups = rows.groupBy("bucket", "piece").agg(F.sum("words").alias("words")).withColumn("rank", stable_rank("frame-rank-v1", SEED, F.concat_ws("|", "bucket", "piece")))
     groups = groups.join(_targets(spark, d), "bucket")
-    return S.frame(groups, ["bucket"], "rank", "piece", "words", F.col("target_words") * 2).select("bucket", "piece", "words", "words_before")
+    return S.frame(groups, ["bucket"], "rank", "piece", "words", F.col("target_words") * 10).select("bucket", "piece", "words", "words_before")
 
 
 def neighbour_pairs(spark: SparkSession, d: str) -> DataFrame:

@@ -23,7 +23,7 @@ from corpusloom.functions.urls import canonical_url, url_host
 from corpusloom.operators import exact_dedup, mixture, normalize, overlap, packing, profile, relate, sampling, similarity, verify
 from corpusloom.operators.current import latest_rows
 from corpusloom.operators.graph import connected_components
-from corpusloom.plans import benchmark
+from corpusloom.plans import benchmark, selection
 from corpusloom.plans import pairs as plan_pairs
 from corpusloom.runtime import prefix_sums
 from corpusloom.schema import DOCUMENT_SCHEMA, SchemaError, assert_schema
@@ -195,6 +195,15 @@ def test_largest_remainder_and_greedy_fit(spark):
     assert taken == want
 
 
+def test_frame_reaches_ten_times_the_target(spark, tmp_path):
+    rows = [(f"{i:02x}", b, w, "s", "shard", i, i, dt.datetime(2026, 1, 1)) for b, w, ids in (("long", 10, range(25)), ("short", 3, range(100, 112))) for i in ids]
+    kinds = "doc_id string, sample_bucket string, normalized_words long, subset string, source_shard string, source_row_ordinal long, source_row_group int, seen_at timestamp"
+    spark.createDataFrame(rows, kinds).write.parquet(f"{tmp_path}/candidate.parquet")
+    spark.createDataFrame([("long", 15, 1), ("short", 15, 1)], "sample_bucket string, target_words long, share_bp int").write.parquet(f"{tmp_path}/quota_plan.parquet")
+    out = selection.frame_groups(spark, str(tmp_path)).collect()
+    assert sorted(r.words_before for r in out if r.bucket == "long") == list(range(0, 150, 10)) and sum(r.bucket == "short" for r in out) == 12
+
+
 def test_packing(spark):
     docs = [("a", "train", [10, 11]), ("b", "train", [12]), ("c", "train", []), ("d", "test", None)]
     df = spark.createDataFrame(docs, "document_id string, split string, token_ids array<int>")
