@@ -263,6 +263,15 @@ def test_pair_labels_read_both_records(spark, tmp_path):
     }
 
 
+def test_recall_speaks_of_representatives(spark, tmp_path):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(f"a{i}", "web", None, " ".join(words).upper() if i % 2 else " ".join(words)) for i in range(6)]
+    rows += [("b0", "web", None, " ".join([*words[:-1], "other"])), ("b1", "web", None, " ".join([*words[:-1], "other"])), ("c0", "web", None, "um dois"), ("c1", "web", None, "um dois"), ("d0", "web", None, None)]
+    normalized(spark, tmp_path, rows)
+    out = plan_pairs.lsh_recall(spark, str(tmp_path)).collect()
+    assert len(out) == 5 and {(r.positives, r.generated, r.hits, r.recall, r.precision) for r in out} == {(1, 1, 1, 1.0, 1.0)}
+
+
 def test_overlap_rules_on_controls(spark):
     rng = random.Random(2)
     item = [f"termo{i}" for i in range(80)]
