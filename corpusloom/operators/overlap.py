@@ -138,10 +138,12 @@ def answer_places(documents: DataFrame, questions: DataFrame, answers: DataFrame
     """``(doc_id, example_id, start, size)``: every place of an item's answer in the documents that hold its question.
 
     Only these documents are searched, each for the answers of its own items,
-    so an answer of one frequent word costs nothing elsewhere.
+    so an answer of one frequent word costs nothing elsewhere. Tokens are not
+    shuffled while what is asked of them is counted to be small.
     """
     told = answers.where(F.size("tokens") > 0).select("example_id", F.col("tokens").alias("f"))
-    met = questions.select("doc_id", "example_id").distinct().join(small_side(told), "example_id").join(documents.select("doc_id", "tokens"), "doc_id")
+    asked = questions.select("doc_id", "example_id").distinct().join(small_side(told), "example_id")
+    met = documents.select("doc_id", "tokens").join(small_side(asked), "doc_id")
     last = F.size("tokens") - F.size("f")
     starts = F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: (F.element_at("tokens", i + 1) == F.col("f")[0]) & (F.slice("tokens", i + 1, F.size("f")) == F.col("f")))
     return met.where(last >= 0).select("doc_id", "example_id", F.explode(starts).alias("start"), F.size("f").alias("size"))
