@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import stable_id
+from ..runtime import spread_join
 
 
 @dataclass(frozen=True)
@@ -47,20 +48,21 @@ def resolve(records: DataFrame, rule: Ownership) -> DataFrame:
     * NULL hash: no cluster (cluster_id NULL, size 0), retained as ``no_content``.
     * Ties: by record_id. Empty input: empty result.
 
-    The owner is a minimum, so clusters are reduced before the shuffle and a
-    huge cluster costs no task more than any other.
+    The owner is a minimum, so clusters are reduced before the shuffle; its way
+    back to the members is a join that deals out hot and NULL hashes.
     """
     keyed = records.select(
         "record_id", "content_sha256", "source", "subset", "words",
         rule.is_preserved().alias("preserved"),
         F.struct(rule.kind().alias("kind"), rule.tier().alias("tier"), "source", "subset", "record_id").alias("claim"),
     )
+    competes = ~F.col("preserved")
     owners = (
-        keyed.where(~F.col("preserved") & F.col("content_sha256").isNotNull())
+        keyed.where(F.col("content_sha256").isNotNull())
         .groupBy("content_sha256")
-        .agg(F.min("claim").alias("owner"), F.count(F.lit(1)).alias("cluster_size"))
+        .agg(F.min(F.when(competes, F.col("claim"))).alias("owner"), F.count_if(competes).alias("cluster_size"), F.count(F.lit(1)).alias("__rows"))
     )
-    rows = keyed.join(owners, "content_sha256", "left")
+    rows = spread_join(keyed, owners, ["content_sha256"], "record_id", "left", "__rows")
     alone = F.col("preserved") | F.col("content_sha256").isNull()
     owner = F.when(alone, F.col("record_id")).otherwise(F.col("owner.record_id"))
     why = (

@@ -5,19 +5,30 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows up to which a side may be broadcast after it was counted.
 BROADCAST_ROWS = 200_000
+#: A key is hot when it holds more than this part of all rows, so there are never more hot keys than this number.
+HOT_PART = 1000
+#: Tasks that share the rows of one hot key.
+HOT_SHARES = 64
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session gets a temporary folder of its own; on a
+    cluster that would be a folder other machines do not see, so there it is an error.
+    """
     sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="corpusloom-"))
     return sc.getCheckpointDir()
 
@@ -50,6 +61,9 @@ class Workspace:
         path = f"{self._root}/{self._written:04d}"
         self._written += 1
         df.write.parquet(path)
+        if self._written == 1:  # what the last plan still reads goes when the application ends
+            root = self._spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._root)
+            root.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(root)
         table = self._spark.read.schema(df.schema).parquet(path)
         table._written_at = path
         return table
@@ -67,6 +81,30 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def spread_join(rows: DataFrame, one: DataFrame, keys: Sequence[str], by: Column | str, how: str = "inner", size: str | None = None) -> DataFrame:
+    """Joins ``rows`` with ``one``, which has one row a key, so that no task gets all rows of a frequent key.
+
+    Rows of hot keys, and rows with a NULL key, are dealt out over
+    ``HOT_SHARES`` tasks by the hash of ``by``; the one row of a hot key goes to
+    all of them. A key is hot when it holds more than one row in ``HOT_PART``,
+    so the broadcast list of hot keys has ``HOT_PART`` rows at most, whatever
+    the size of the tables. ``size`` names a column of ``one`` with the key's
+    number of rows; without it they are counted. ``how`` is inner or left.
+    """
+    keys = list(keys)
+    known = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+    counted = one.select(*keys, F.col(size).alias("__n")) if size else rows.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    whole = counted.agg(F.sum("__n").alias("__all"))
+    hot = counted.crossJoin(F.broadcast(whole)).where(known & (F.col("__n") * HOT_PART > F.col("__all"))).select(*keys, F.lit(True).alias("__hot"))  # one row
+    hot = F.broadcast(hot)  # HOT_PART rows at most
+    by = F.col(by) if isinstance(by, str) else by
+    spread = F.coalesce("__hot", F.lit(False)) | ~known
+    left = rows.join(hot, keys, "left").withColumn("__share", F.when(spread, F.pmod(F.xxhash64(by), F.lit(HOT_SHARES)).cast("int")).otherwise(0)).drop("__hot")
+    shares = F.when(F.coalesce("__hot", F.lit(False)), F.sequence(F.lit(0), F.lit(HOT_SHARES - 1))).otherwise(F.array(F.lit(0)))
+    right = one.join(hot, keys, "left").withColumn("__share", F.explode(shares)).drop("__hot")
+    return left.join(right, [*keys, "__share"], how).drop("__share")
+
+
 def prefix_sums(
     df: DataFrame,
     group: Sequence[str],
