@@ -3,19 +3,22 @@
 Method: Pfair scheduling. Each source's stream of tokens is cut into blocks;
 block j of a source of weight w has release floor(j / w) and deadline
 ceil((j + 1) / w); earliest deadline first over the released blocks interleaves
-the sources with less than one block of deviation at any point of the mix.
+the sources with less than one block of deviation. When a source has nothing
+left, the others go on with their weights, again to less than one block.
 """
 
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import fold_key, label_key
-from ..runtime import cut, prefix_sums, small_side
+from ..runtime import Workspace, prefix_sums
 from .tokenizer import public_tokens, white_space_tokens
 
 #: Most rows of a plan; it is read by the driver.
@@ -48,6 +51,49 @@ def earliest_deadlines(weights: dict[str, int]) -> list[tuple[str, int, int]]:
     return out
 
 
+@dataclass(frozen=True)
+class Phase:
+    """A stretch of the schedule in which the same sources have blocks left: ``done`` and ``upto`` are each one's blocks before and after it."""
+
+    first_slot: int
+    slots: int
+    weights: dict[str, int]
+    done: dict[str, int]
+    upto: dict[str, int]
+    table: list[tuple[str, int, int]]
+
+    @property
+    def period(self) -> int:
+        return sum(self.weights.values())
+
+
+def phases(weights: dict[str, int], blocks: dict[str, int]) -> list[Phase]:
+    """The schedule of ``blocks`` of each source in phases; one ends with the last block of any source, so there are no more than sources and no slot is empty.
+
+    Sources of weight 0 that have blocks are an error.
+    """
+    if any(n > 0 and weights.get(name, 0) <= 0 for name, n in blocks.items()):
+        raise ValueError("a source without weight has blocks")
+    out: list[Phase] = []
+    done, slot = dict.fromkeys(blocks, 0), 0
+    while True:
+        active = {name: weights[name] for name, n in blocks.items() if n > done[name]}
+        if not active:
+            return out
+        period, table = sum(active.values()), earliest_deadlines(active)
+        places: dict[str, list[int]] = {name: [] for name in active}
+        for name, _, at in table:
+            places[name].append(at)
+
+        def slot_of(name: str, block: int) -> int:
+            return block // active[name] * period + places[name][block % active[name]]
+
+        length = min(slot_of(name, blocks[name] - done[name] - 1) + 1 for name in active)
+        upto = {name: done[name] + length // period * active[name] + bisect_left(places[name], length % period) for name in active}
+        out.append(Phase(slot, length, active, {name: done[name] for name in active}, upto, [row for row in table if row[2] < length]))
+        done, slot = done | upto, slot + length
+
+
 def read_plan(plan: DataFrame) -> list[tuple[str, str, int, int, int]]:
     """``(key, component, share_bp, max_repeats, budget)`` of each component.
 
@@ -81,13 +127,18 @@ def component_key(plan: list[tuple[str, str, int, int, int]]) -> Column:
 def mix(documents: DataFrame, plan: DataFrame, tokens: Callable[[str], Column] = public_tokens, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
     """The mix and its report.
 
-    Mix, one row for each use of a document: ``component, doc_id, repeat_no``
-    (from 1), ``tokens, slot`` (of the schedule), ``component_offset`` (tokens
-    of the component before it); in the order (slot, component_offset) every
-    stretch of the mix has its shares to less than a block. Report, one row a
+    Mix, one row for each piece of a use of a document: ``component, doc_id,
+    repeat_no`` (from 1), ``tokens`` (of the whole document), ``from_token,
+    to_token`` (the piece, end exclusive), ``slot`` (of the schedule) and
+    ``component_offset`` (tokens of the component before the piece); the order
+    is (slot, component_offset). Documents are cut where blocks end, so a slot
+    holds ``block_tokens`` tokens of one component, or its last ones. As long
+    as a set of components has blocks left, each has had its weight's share of
+    the slots of that phase to less than one block. Report, one row a
     component: ``component, share_bp, max_repeats, target_tokens, documents,
     document_tokens, most_tokens`` (with every document used max_repeats
-    times), ``mixed_uses, mixed_tokens, mixed_share_bp, target_met``.
+    times), ``mixed_uses, mixed_tokens, mixed_share_bp, target_met``; what is
+    mixed is added up from the mix.
 
     A component takes its documents in hash order, whole passes first, and in
     the last pass as many as reach the target; so it ends less than a document
@@ -98,6 +149,7 @@ def mix(documents: DataFrame, plan: DataFrame, tokens: Callable[[str], Column] =
     * Empty documents: empty mix, every component reported with 0. Empty plan: both empty.
     """
     spark = documents.sparkSession
+    ws = Workspace(spark)
     rules = read_plan(plan)
     table = spark.createDataFrame(
         [(k, c, s, m, s * b // 10000) for k, c, s, m, b in rules], "key string, component string, share_bp long, max_repeats long, target_tokens long"
@@ -105,30 +157,50 @@ def mix(documents: DataFrame, plan: DataFrame, tokens: Callable[[str], Column] =
     table = F.broadcast(table)  # PLAN_ROWS at most
     sized = documents.select("doc_id", component_key(rules).alias("key"), tokens("text").alias("tokens"))
     # texts are read and counted once; what follows needs only the sizes
-    sized = cut(sized.join(table.select("key"), "key").withColumn("rank", F.sha2(F.concat(F.lit(f"{ORDER_SALT}\0"), F.col("doc_id").cast("string")), 256)))
+    sized = ws.write(sized.join(table.select("key"), "key").withColumn("rank", F.sha2(F.concat(F.lit(f"{ORDER_SALT}\0"), F.col("doc_id").cast("string")), 256)))
     totals = sized.groupBy("key").agg(F.count(F.lit(1)).alias("documents"), F.sum("tokens").alias("document_tokens"))
     table = F.broadcast(table.join(totals, "key", "left").na.fill(0, ["documents", "document_tokens"]))  # one row a component
     placed = prefix_sums(sized.where(F.col("tokens") > 0).withColumn("id", F.col("doc_id")), ["key"], F.substring("rank", 1, 3), ["rank", "id"], {"before": F.col("tokens")})
     placed = placed.join(table, "key")
     passes = F.expr("target_tokens div document_tokens")
     uses = F.least(F.col("max_repeats"), passes + F.when(F.col("before") < F.col("target_tokens") - passes * F.col("document_tokens"), 1).otherwise(0))
-    used = placed.withColumn("uses", uses).where(F.col("uses") > 0)
+    used = ws.write(placed.withColumn("uses", uses).where(F.col("uses") > 0).select("key", "component", "doc_id", "tokens", "before", "document_tokens", "uses"))
+    mixed = _scheduled(used, {k: s for k, _, s, *_ in rules}, int(block_tokens))
+    return mixed, _report(table, mixed)
+
+
+def _scheduled(used: DataFrame, weights: dict[str, int], block_tokens: int) -> DataFrame:
+    """Uses of documents cut at blocks, each piece in its slot."""
+    spark = used.sparkSession
+    amounts = used.groupBy("key").agg(F.sum(F.col("uses") * F.col("tokens")).alias("n")).collect()  # one row a component of the plan
+    plan = phases(weights, {r.key: -(-r.n // block_tokens) for r in amounts})
+    spans: dict[str, list[tuple[int, int, int, int, int, int]]] = {}
+    for i, p in enumerate(plan):
+        for name, w in p.weights.items():
+            spans.setdefault(name, []).append((i, p.done[name], p.upto[name], w, p.period, p.first_slot))
+    kind = "key string, spans array<struct<phase: long, done: long, upto: long, weight: long, period: long, first_slot: long>>"
+    spans_of = F.broadcast(spark.createDataFrame(list(spans.items()), kind))  # one row a component of the plan
+    slots = [(name, i, block, at) for i, p in enumerate(plan) for name, block, at in p.table]
+    slots_of = F.broadcast(spark.createDataFrame(slots, "key string, __phase long, __block long, __at long"))  # a period a phase at most
     each = used.withColumn("repeat_no", F.explode(F.sequence(F.lit(1).cast("long"), "uses")))
-    each = each.withColumn("component_offset", (F.col("repeat_no") - 1) * F.col("document_tokens") + F.col("before"))
-    each = each.withColumn("block", F.expr(f"component_offset div {int(block_tokens)}L"))
-    weights = {k: s for k, _, s, *_ in rules}
-    period = sum(weights.values())
-    slots = spark.createDataFrame(earliest_deadlines(weights), "key string, __block long, __slot long")
-    each = each.withColumn("__block", F.expr("block % share_bp")).join(F.broadcast(slots), ["key", "__block"])  # 10,000 rows at most
-    mixed = each.select(
-        "component", "doc_id", F.col("repeat_no").cast("int").alias("repeat_no"), "tokens", (F.expr("block div share_bp") * period + F.col("__slot")).alias("slot"), "component_offset"
-    )
-    return mixed, _report(table, used)
+    each = each.withColumn("__start", (F.col("repeat_no") - 1) * F.col("document_tokens") + F.col("before"))
+    first, last = F.expr(f"__start div {block_tokens}L"), F.expr(f"(__start + tokens - 1) div {block_tokens}L")
+    pieces = each.withColumn("block", F.explode(F.sequence(first, last)))
+    low = F.greatest(F.col("__start"), F.col("block") * block_tokens)
+    high = F.least(F.col("__start") + F.col("tokens"), (F.col("block") + 1) * block_tokens)
+    pieces = pieces.withColumns({"component_offset": low, "__high": high}).join(spans_of, "key")
+    pieces = pieces.withColumn("__s", F.element_at(F.filter("spans", lambda x: (x["done"] <= F.col("block")) & (F.col("block") < x["upto"])), 1)).drop("spans")
+    pieces = pieces.withColumns({"__phase": F.col("__s.phase"), "__n": F.col("block") - F.col("__s.done")}).withColumn("__block", F.expr("__n % __s.weight"))
+    placed = pieces.join(slots_of, ["key", "__phase", "__block"])
+    return placed.select(
+        "component", "doc_id", F.col("repeat_no").cast("int").alias("repeat_no"), "tokens", (F.col("component_offset") - F.col("__start")).alias("from_token"),
+        (F.col("__high") - F.col("__start")).alias("to_token"), (F.col("__s.first_slot") + F.expr("__n div __s.weight") * F.col("__s.period") + F.col("__at")).alias("slot"), "component_offset",
+    )
 
 
-def _report(table: DataFrame, used: DataFrame) -> DataFrame:
-    taken = used.groupBy("key").agg(F.sum("uses").alias("mixed_uses"), F.sum(F.col("uses") * F.col("tokens")).alias("mixed_tokens"))
-    rows = table.join(taken, "key", "left").na.fill(0, ["mixed_uses", "mixed_tokens"])
+def _report(table: DataFrame, mixed: DataFrame) -> DataFrame:
+    taken = mixed.groupBy("component").agg(F.count_if(F.col("from_token") == 0).alias("mixed_uses"), F.sum(F.col("to_token") - F.col("from_token")).alias("mixed_tokens"))
+    rows = table.join(taken, "component", "left").na.fill(0, ["mixed_uses", "mixed_tokens"])
     whole = rows.agg(F.sum("mixed_tokens").alias("__all"))
     return rows.crossJoin(F.broadcast(whole)).select(  # one row
         "component", "share_bp", "max_repeats", "target_tokens", "documents", "document_tokens",
@@ -147,6 +219,14 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(*_tables(spark, sf_dir), tokens=white_space_tokens)[1].where(~F.col("target_met")).select("component")
 
 
+def p8_uses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every use of a document in the mix of white-space separated pieces, with its place in its component's stream."""
+    pieces = mix(*_tables(spark, sf_dir), tokens=white_space_tokens)[0]
+    return pieces.groupBy("component", "doc_id", "repeat_no", "tokens").agg(
+        F.min("component_offset").alias("component_offset"), F.sum(F.col("to_token") - F.col("from_token")).alias("mixed_tokens")
+    )
+
+
 def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix in tokens of the public vocabulary."""
     return mix(*_tables(spark, sf_dir))[0]
@@ -157,18 +237,28 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(*_tables(spark, sf_dir))[1]
 
 
-QUERIES = {"p8_found": p8_found, "p8_mix": p8_mix, "p8_shares": p8_shares}
+QUERIES = {"p8_found": p8_found, "p8_uses": p8_uses, "p8_mix": p8_mix, "p8_shares": p8_shares}
 
-SQL = {
-    "p8_found": r"""
+_SIZED = r"""
 WITH plan AS (
-    SELECT *, lower(regexp_replace(nfc_normalize(component), '[^\p{L}\p{N}]+', '', 'g')) AS k FROM mix_plan),
+    SELECT *, lower(regexp_replace(nfc_normalize(component), '[^\p{L}\p{N}]+', '', 'g')) AS k, share_bp * budget_tokens // 10000 AS target FROM mix_plan),
 doc AS (
-    SELECT lower(regexp_replace(nfc_normalize(source), '[^\p{L}\p{N}]+', '', 'g')) AS s,
+    SELECT doc_id, lower(regexp_replace(nfc_normalize(source), '[^\p{L}\p{N}]+', '', 'g')) AS s,
            lower(regexp_replace(nfc_normalize(subset), '[^\p{L}\p{N}]+', '', 'g')) AS u,
            coalesce(len(regexp_extract_all(text, '[^\s\p{Z}\x{85}\x1c-\x1f]+')), 0) AS n
     FROM documents),
-size AS (SELECT CASE WHEN s = 'gigaverbov2' THEN s || coalesce(u, '') ELSE s END AS k, sum(n) AS n FROM doc GROUP BY 1)
-SELECT component FROM plan LEFT JOIN size USING (k)
-WHERE coalesce(n, 0) * max_repeats < share_bp * budget_tokens // 10000"""
+keyed AS (SELECT *, CASE WHEN s = 'gigaverbov2' THEN s || coalesce(u, '') ELSE s END AS k FROM doc),
+size AS (SELECT k, sum(n)::BIGINT AS whole FROM keyed GROUP BY 1)
+"""
+SQL = {
+    "p8_found": _SIZED + "SELECT component FROM plan LEFT JOIN size USING (k) WHERE coalesce(whole, 0) * max_repeats < target",
+    "p8_uses": _SIZED
+    + """, placed AS (
+    SELECT k, doc_id, n, coalesce(sum(n) OVER (PARTITION BY k ORDER BY sha256('mix-v1' || chr(0) || doc_id::VARCHAR), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+    FROM keyed WHERE n > 0),
+used AS (
+    SELECT component, doc_id, n, before, whole, least(max_repeats, target // whole + CASE WHEN before < target - target // whole * whole THEN 1 ELSE 0 END) AS uses
+    FROM placed JOIN plan USING (k) JOIN size USING (k)),
+each AS (SELECT *, unnest(range(1, uses + 1)) AS repeat_no FROM used WHERE uses > 0)
+SELECT component, doc_id, repeat_no::INTEGER AS repeat_no, n AS tokens, (repeat_no - 1) * whole + before AS component_offset, n AS mixed_tokens FROM each""",
 }

@@ -298,10 +298,41 @@ def test_schedule_stays_within_a_block():
         assert {n: k for n, k in given.items() if k} == {n: w for n, w in weights.items() if w}
 
 
+def within_a_block(used, weights, block):
+    """Every slot holds one component's block; at each slot every component that still has blocks has had its share of the phase to less than one block."""
+    slots = defaultdict(lambda: defaultdict(int))
+    for u in used:
+        slots[u.slot][u.component] += u.to_token - u.from_token
+    assert sorted(slots) == list(range(len(slots))) and all(len(s) == 1 for s in slots.values())
+    order = [next(iter(slots[i])) for i in range(len(slots))]
+    last = {c: i for i, c in enumerate(order)}
+    assert all(slots[i][c] == block for i, c in enumerate(order) if i != last[c]) and all(0 < slots[i][c] <= block for c, i in last.items())
+    had, start = defaultdict(int), 0
+    for i, c in enumerate(order):
+        active = {c: weights[c] for c, end in last.items() if end >= start}
+        had[c] += 1
+        worst = max(abs(had[c] - w * (i + 1 - start) / sum(active.values())) for c, w in active.items())
+        assert worst < 1
+        if i in last.values():
+            had, start = defaultdict(int), i + 1
+
+
+def test_phases():
+    for weights, blocks in [({"a": 5000, "b": 3000, "c": 2000}, {"a": 50, "b": 7, "c": 33}), ({"a": 1, "b": 9999}, {"a": 3, "b": 1}), ({"a": 3}, {}), ({"a": 2, "b": 1}, {"a": 0, "b": 30000})]:
+        given, at = defaultdict(int), 0
+        for p in mixing.phases(weights, blocks):
+            assert p.first_slot == at and p.done == {n: given[n] for n in p.weights} and len(p.table) == min(p.slots, p.period)
+            at += p.slots
+            given |= p.upto
+        assert {n: k for n, k in given.items() if k} == {n: k for n, k in blocks.items() if k} and at == sum(blocks.values())
+    with pytest.raises(ValueError):
+        mixing.phases({"a": 0}, {"a": 1})
+
+
 def test_mix(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(["w"] * rng.randint(1, 60)), rng.choice(["Big ", "p_q", "p-q"]), rng.choice(["One", "one", "two"]), 1, "x", "k") for i in range(400)]
-    rows += [(900, None, "big", None, 1, "x", "k"), (901, "", "big", None, 1, "x", "k"), (902, "w w", None, None, 1, "x", "k"), (903, "w w", "none such", None, 1, "x", "k"), (904, "é" * 40000, "big", None, 1, "x", "k")]
+    rows += [(899, "w " * 5000, "p_q", "ONE", 1, "x", "k"), (900, None, "big", None, 1, "x", "k"), (901, "", "big", None, 1, "x", "k"), (902, "w w", None, None, 1, "x", "k"), (903, "w w", "none such", None, 1, "x", "k"), (904, "é" * 40000, "big", None, 1, "x", "k")]
     plan = [("big", 4000, 1, 9000, "k"), ("p_q/one", 3000, None, 9000, "k"), ("p_q/two", 2900, 4, 9000, "k"), ("absent", 100, 2, 9000, "k"), (None, 50, 1, 9000, "k")]
     docs, table = spark.createDataFrame(rows, DOCS), spark.createDataFrame(plan, MIX)
     mixed, report = mixing.mix(docs, table, white_space_tokens, block_tokens=64)
@@ -310,14 +341,17 @@ def test_mix(spark):
     assert rep["absent"].mixed_tokens == 0 and not rep["absent"].target_met
     for name, r in rep.items():
         own = [u for u in used if u.component == name]
-        assert sum(u.tokens for u in own) == r.mixed_tokens and len(own) == r.mixed_uses
-        assert r.mixed_tokens <= r.most_tokens and r.mixed_tokens < r.target_tokens + 61
+        assert sum(u.to_token - u.from_token for u in own) == r.mixed_tokens and len({(u.doc_id, u.repeat_no) for u in own}) == r.mixed_uses
+        assert r.mixed_tokens <= r.most_tokens and r.mixed_tokens < r.target_tokens + (5000 if name == "p_q/one" else 61)
         assert r.target_met == (r.most_tokens >= r.target_tokens)
         at = 0
         for u in sorted(own, key=lambda u: u.component_offset):
-            assert u.component_offset == at
-            at += u.tokens
-        assert len({(u.doc_id, u.repeat_no) for u in own}) == len(own)
+            assert u.component_offset == at and u.slot >= 0
+            at += u.to_token - u.from_token
+        for use in {(u.doc_id, u.repeat_no, u.tokens) for u in own}:
+            spans = sorted((u.from_token, u.to_token) for u in own if (u.doc_id, u.repeat_no, u.tokens) == use)
+            assert [a for a, _ in spans] == [0, *[b for _, b in spans[:-1]]] and spans[-1][1] == use[2]
+    within_a_block(used, {c: bp for c, bp, *_ in plan if c}, 64)
     assert max(u.repeat_no for u in used if u.component == "p_q/two") <= 4
     assert {u.doc_id for u in used}.isdisjoint({900, 901, 902, 903})
     again = mixing.mix(docs.repartition(5), table, white_space_tokens, block_tokens=64)[0]
