@@ -21,9 +21,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import hex_key
-from ..runtime import Workspace
+from ..runtime import Workspace, spread_join
 from .consolidate import hash_to_min
 
+#: Classes, and words of their texts, of a block of a bucket.
+BLOCK, BLOCK_WORDS = 512, 2_000_000
+
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -35,8 +38,9 @@ class Likeness:
     1 - (1 - s**rows)**bands: 0.99985 at 0.7 with the defaults. ``margin`` is
     how far below the threshold an estimate may lie and still be checked
     exactly: with 128 minima of 4 bits its standard deviation is below 0.047,
-    so the default is more than four of them. Texts of fewer than
-    ``least_words`` words are left out; with 0 every record is in a class.
+    so the default is more than four of them; with 1 every candidate is checked.
+    Texts of fewer than ``least_words`` words are left out; with 0 every record
+    is in a class.
     """
 
     words: int = 5
@@ -211,8 +215,9 @@ def near_copies(documents: DataFrame, like: Likeness = Likeness()) -> Copies:
     ``documents(record_id, text, loaded_at)``; ids are compared in bare form.
     Records with one and the same set form one class before any pair is made,
     however many there are. Candidates are pairs of classes that share a band;
-    they are narrowed by the corrected estimate and then checked exactly on
-    the texts of the classes that are left.
+    they are narrowed by the corrected estimate where they meet and then
+    checked exactly on the texts of the classes that are left. Buckets of any
+    size are paired in blocks, see :func:`_met`.
 
     * Of a record delivered repeatedly the row with the latest loaded_at counts (NULL is oldest; ties: the larger digest).
     * Texts too short for a run of words are one class by equal words, without words by equal text; they are in no pair.
@@ -225,24 +230,46 @@ def near_copies(documents: DataFrame, like: Likeness = Likeness()) -> Copies:
     newest = prints.groupBy("record_id").agg(F.max(F.struct("loaded_at", "digest", "words", "packed", "band_keys")).alias("r"))
     prints = ws.write(newest.select("record_id", "r.*").where(F.col("digest").isNotNull()))
     classes = prints.groupBy("digest").agg(
-        F.min(F.struct("record_id", "loaded_at")).alias("r"), F.count(F.lit(1)).alias("copies"), F.first("packed").alias("packed"), F.first("band_keys").alias("band_keys")
+        F.min(F.struct("record_id", "loaded_at")).alias("r"), F.count(F.lit(1)).alias("copies"), F.first("words").alias("words"), F.first("packed").alias("packed"), F.first("band_keys").alias("band_keys")
     )
-    classes = ws.write(classes.select(F.monotonically_increasing_id().alias("class_id"), "digest", "r.record_id", "r.loaded_at", "copies", "packed", "band_keys"))
-    members = prints.select("record_id", "digest").join(classes.select("digest", "class_id"), "digest").select("record_id", "class_id")
-    bands = classes.select("class_id", F.posexplode("band_keys").alias("band", "key"))
-    met = bands.select(F.col("class_id").alias("a"), "band", "key").join(bands.select(F.col("class_id").alias("b"), "band", "key"), ["band", "key"])
-    met = met.where(F.col("a") < F.col("b")).select("a", "b").distinct()
-    packed = classes.select("class_id", "packed")
-    held = met.join(packed.select(F.col("class_id").alias("a"), F.col("packed").alias("pa")), "a").join(packed.select(F.col("class_id").alias("b"), F.col("packed").alias("pb")), "b")
-    guess = held.select("a", "b", estimate(F.col("pa"), F.col("pb"), like).alias("estimated"))
-    asked = ws.write(guess.where(F.col("estimated") >= float(like.least) - like.margin))
+    classes = ws.write(classes.select(F.monotonically_increasing_id().alias("class_id"), "digest", "r.record_id", "r.loaded_at", "copies", "words", "packed", "band_keys"))
+    members = spread_join(prints.select("record_id", "digest"), classes.select("digest", "class_id", "copies"), ["digest"], "record_id", size="copies").select("record_id", "class_id")
+    asked = ws.write(_met(classes, like, ws))
     return Copies(members, classes.select("class_id", "record_id", "copies"), _checked(rows, classes, asked, like, ws))
 
 
+def _met(classes: DataFrame, like: Likeness, ws: Workspace) -> DataFrame:
+    """``(a, b, estimated, cell)``: pairs of classes that share a band and may be alike by their estimate.
+
+    Only buckets of two or more are kept. A bucket is dealt out over blocks by
+    the hash of the class, one for each ``BLOCK`` classes or ``BLOCK_WORDS``
+    words, and each two of its blocks meet in a cell of their own: no task holds
+    a bucket, and no pair is left out. Estimates are made there, from signatures
+    that travel with the rows, so what may not be alike never leaves the cell.
+    A pair that meets in several cells belongs to one of them.
+    """
+    postings = classes.select("class_id", "words", F.posexplode("band_keys").alias("band", "key")).select("class_id", "words", F.xxhash64("band", "key").alias("key"))
+    sizes = postings.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("__w")).where(F.col("n") > 1)
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("__w") / BLOCK_WORDS)).cast("int")
+    live = spread_join(postings.drop("words"), sizes.select("key", "n", blocks.alias("blocks")), ["key"], "class_id", size="n")
+    live = live.select("class_id", "key", "blocks", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int").alias("own"))
+    live = ws.write(live.join(classes.select("class_id", "packed"), "class_id"))
+    left = live.select(F.col("class_id").alias("x"), F.col("packed").alias("px"), "key", F.col("own").alias("i"), F.explode(F.sequence(F.col("own"), F.col("blocks") - 1)).alias("j"))
+    right = live.select(F.col("class_id").alias("y"), F.col("packed").alias("py"), "key", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("i"), F.col("own").alias("j"))
+    both = left.join(right, ["key", "i", "j"]).where((F.col("x") < F.col("y")) | ((F.col("x") > F.col("y")) & (F.col("i") < F.col("j"))))
+    guess = both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), estimate(F.col("px"), F.col("py"), like).alias("estimated"), F.xxhash64("key", "i", "j").alias("cell"))
+    near = guess.where(F.col("estimated") >= float(like.least) - like.margin)
+    return near.groupBy("a", "b").agg(F.max("estimated").alias("estimated"), F.min("cell").alias("cell"))
+
+
 def _checked(rows: DataFrame, classes: DataFrame, asked: DataFrame, like: Likeness, ws: Workspace) -> DataFrame:
-    """Exact similarity of the pairs asked for, from the texts of their classes' representatives."""
-    needed = asked.select(F.col("a").alias("class_id")).union(asked.select("b")).distinct()
-    wanted = needed.join(classes.select("class_id", "digest", "record_id", "loaded_at"), "class_id")
+    """Exact similarity of the pairs asked for, from the texts of their classes' representatives.
+
+    The sets of a cell's classes travel to it once, not once for every pair,
+    and go before its pairs; a task keeps the sets of one cell at a time.
+    """
+    ends = asked.select("cell", F.col("a").alias("class_id")).union(asked.select("cell", "b")).distinct()
+    wanted = ends.select("class_id").distinct().join(classes.select("class_id", "digest", "record_id", "loaded_at"), "class_id")
     texts = rows.join(wanted.withColumnRenamed("loaded_at", "__at"), "record_id").where(F.col("loaded_at").eqNullSafe(F.col("__at")))
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -255,14 +282,33 @@ def _checked(rows: DataFrame, classes: DataFrame, asked: DataFrame, like: Likene
                     out.append((c, found.view(np.int64)))
             yield pd.DataFrame(out, columns=["class_id", "runs"])
 
-    runs = texts.select("class_id", "digest", "text").mapInPandas(sets, "class_id long, runs array<long>").dropDuplicates(["class_id"])
-    runs = ws.write(runs)
-    pair = asked.join(runs.select(F.col("class_id").alias("a"), F.col("runs").alias("ra")), "a").join(runs.select(F.col("class_id").alias("b"), F.col("runs").alias("rb")), "b")
-    shared = F.size(F.array_intersect("ra", "rb")).cast("long")
-    pair = pair.select("a", "b", "estimated", shared.alias("shared"), (F.size("ra") + F.size("rb")).cast("long").alias("both"))
-    whole = F.col("both") - F.col("shared")
-    enough = F.col("shared") * like.least.denominator >= whole * like.least.numerator
-    return ws.write(pair.where(enough).select("a", "b", (F.col("shared") / whole).alias("similarity"), "estimated"))
+    runs = ws.write(texts.select("class_id", "digest", "text").mapInPandas(sets, "class_id long, runs array<long>").dropDuplicates(["class_id"]))
+    first = ends.join(runs, "class_id").select("cell", F.col("class_id").alias("a"), F.lit(-1).cast("long").alias("b"), F.lit(0.0).alias("estimated"), "runs")
+    then = asked.select("cell", "a", "b", "estimated", F.lit(None).cast("array<long>").alias("runs"))
+    least, most = like.least.numerator, like.least.denominator
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cell, held = None, {}
+        for batch in batches:
+            out = []
+            for c, a, b, e, r in zip(batch["cell"], batch["a"], batch["b"], batch["estimated"], batch["runs"], strict=True):
+                if c != cell:
+                    cell, held = c, {}
+                if b < 0:
+                    held[a] = np.asarray(r).view(np.uint64)  # sorted and distinct
+                    continue
+                x, y = held[a], held[b]
+                if len(x) > len(y):
+                    x, y = y, x
+                shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                whole = len(x) + len(y) - shared
+                if shared * most >= whole * least:
+                    out.append((a, b, shared / whole, e))
+            yield pd.DataFrame(out, columns=["a", "b", "similarity", "estimated"])
+
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = first.unionByName(then).repartition(tasks, "cell").sortWithinPartitions("cell", "b")
+    return ws.write(dealt.mapInPandas(compare, "a long, b long, similarity double, estimated double"))
 
 
 def all_record_pairs(found: Copies, block: int = 256) -> DataFrame:
@@ -317,3 +363,32 @@ def p3_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p3_found": p3_found, "p3_groups": p3_groups, "p3_pairs": p3_pairs}
+
+_TEXTS = r"""
+WITH RECURSIVE cur AS (
+    SELECT lower(regexp_replace(record_id, '[^0-9A-Za-z]+', '', 'g')) AS id, text FROM normalized_document
+    QUALIFY row_number() OVER (PARTITION BY lower(regexp_replace(record_id, '[^0-9A-Za-z]+', '', 'g')) ORDER BY loaded_at DESC NULLS LAST) = 1),
+word AS (SELECT id, text, regexp_extract_all(lower(nfc_normalize(coalesce(text, ''))), '[\p{L}\p{N}]+') AS w FROM cur WHERE id <> '')
+"""
+
+
+def _runs(n: int) -> str:
+    return f"list_sort(list_distinct(list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i:i + {n} - 1], ' '))))"
+
+
+SQL = {
+    # through an inverted index: no signatures, no bands
+    "p3_found": _TEXTS + f""", sets AS (SELECT id, {_runs(3)} AS s FROM word WHERE len(w) >= 20),
+post AS (SELECT id, len(s) AS n, unnest(s) AS g FROM sets)
+SELECT x.id AS record_id_a, y.id AS record_id_b FROM post x JOIN post y ON x.g = y.g AND x.id < y.id
+GROUP BY 1, 2 HAVING 10 * count(*) >= 7 * (any_value(x.n) + any_value(y.n) - count(*))""",
+    "p3_groups": _TEXTS + f""", sets AS (SELECT id, CASE WHEN len(w) >= 5 THEN {_runs(5)} ELSE [] END AS s,
+    CASE WHEN len(w) >= 5 THEN 's' || array_to_string({_runs(5)}, '|') WHEN len(w) > 0 THEN 'w' || array_to_string(w, ' ') WHEN text IS NOT NULL THEN 't' || text ELSE 'r' || id END AS k FROM word),
+class AS (SELECT min(id) AS c, any_value(s) AS s, k, count(*) AS copies FROM sets GROUP BY k),
+post AS (SELECT c, len(s) AS n, unnest(s) AS g FROM class),
+near AS (SELECT x.c AS a, y.c AS b FROM post x JOIN post y ON x.g = y.g AND x.c <> y.c GROUP BY 1, 2 HAVING 5 * count(*) >= 4 * (any_value(x.n) + any_value(y.n) - count(*))),
+reach(v, u) AS (SELECT a, b FROM near UNION SELECT reach.v, near.b FROM reach JOIN near ON reach.u = near.a),
+grouped AS (SELECT v, min(u) AS g FROM (SELECT v, u FROM reach UNION ALL SELECT c, c FROM class) GROUP BY v)
+SELECT id AS record_id, c AS class_id, g AS group_id, copies, (SELECT count(*) FROM near WHERE a = c) AS links
+FROM sets JOIN class USING (k) JOIN grouped ON v = c""",
+}

@@ -84,6 +84,20 @@ def test_near_copies_equal_brute_force(spark, like):
     assert all(abs(p.similarity - p.estimated) < like.margin for p in close)
 
 
+def test_a_bucket_in_blocks_loses_no_pair(spark, monkeypatch):
+    """A template with many fillings: half of all records share most bands; blocks of five classes, every candidate checked, any partitioning."""
+    monkeypatch.setattr(near_copies, "BLOCK", 5)
+    rng = random.Random(4)
+    base = text(rng, 60)
+    rows = [(f"t{i:03d}", f"{base} {i}", T0) for i in range(70)] + [(f"t{i:03d}c", f"{base} {i % 3}", T0) for i in range(50)] + [(f"u{i:03d}", text(rng, 40), T0) for i in range(60)]
+    rows = [(*r, 1, "x", 2, 3, 4) for r in rows]
+    like = near_copies.Likeness(words=3, margin=1.0)
+    want, _ = brute(rows, like)
+    found = near_copies.near_copies(spark.createDataFrame(rows, DOCS).repartition(7), like)
+    pairs = near_copies.all_record_pairs(found, block=8).collect()
+    assert {tuple(r) for r in pairs} == set(want) and len(pairs) == len(want) > 5000
+
+
 def test_near_copies_of_nothing(spark):
     df = spark.createDataFrame([], DOCS)
     found = near_copies.near_copies(df)
