@@ -2,8 +2,8 @@
 
 Method: hash-to-min. Each vertex sends its cluster set to the set's minimum and
 that minimum to all others, until nothing changes. Cluster sets are kept as
-rows (vertex, member) and never as arrays, so a vertex whose set holds a third
-of all records is many rows that any number of tasks share.
+rows (vertex, member) and never as arrays, and the rows of a vertex whose set
+holds a large part of all records are dealt out over tasks.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import hex_key
 from ..operators.graph import number_vertices
-from ..runtime import Workspace
+from ..runtime import Workspace, hot_list, share_of, shares_of, spread_join
 
 #: Fixed values of an accepted match.
 LEAST_SIMILARITY, MOST_SIMILARITY = 0.8, 1.0
@@ -64,16 +64,19 @@ def hash_to_min(links: DataFrame, max_rounds: int = 64) -> DataFrame:
                 F.min("u").alias("least"),
                 F.count_if(F.col("u") < F.col("v")).alias("smaller"),
                 F.count_if(F.col("u") > F.col("v")).alias("larger"),
+                F.count(F.lit(1)).alias("size"),
             )
         )
         minima = seen.select("v", F.least("v", "least").alias("m"))
-        if seen.where((F.col("smaller") > 1) | ((F.col("smaller") == 1) & (F.col("larger") > 0))).isEmpty():
+        unfinished = (F.col("smaller") > 1) | ((F.col("smaller") == 1) & (F.col("larger") > 0))
+        hot, (left,) = hot_list(seen, "v", "size", F.count_if(unfinished))
+        if not left:
             ws.drop(sets)
             named = ws.write(names.join(minima, "v").select("id", "m"))
             ws.drop(names, seen)
-            roots = named.groupBy("m").agg(F.min("id").alias("root"))
-            return named.join(roots, "m").select(F.col("id").alias("v"), "root")
-        known = sets.join(minima, "v")
+            roots = named.groupBy("m").agg(F.min("id").alias("root"), F.count(F.lit(1)).alias("size"))
+            return spread_join(named, roots, ["m"], "id", size="size").select(F.col("id").alias("v"), "root")
+        known = sets.withColumn("share", share_of("v", hot, "u")).join(minima.withColumn("share", shares_of("v", hot)), ["v", "share"])
         # the owner belongs to its own set, so it is sent and told like any other member
         members = known.select("m", "u").union(minima.select("m", F.col("v").alias("u"))).where(F.col("m") != F.col("u"))
         told = ws.write(members.select(F.col("m").alias("v"), "u").union(members.select("u", "m")).distinct())

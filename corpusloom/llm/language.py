@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import label_key
-from ..runtime import small_side
+from ..runtime import bounded_side
 
 #: Family of each language; a language not listed is a family of its own.
 FAMILIES = {"pt": "ibero", "gl": "ibero", "es": "ibero", "fr": "gallo-italic", "it": "gallo-italic", "en": "germanic", "de": "germanic"}
@@ -30,6 +30,8 @@ FAMILIES = {"pt": "ibero", "gl": "ibero", "es": "ibero", "fr": "gallo-italic", "
 SAMPLES_A_LANGUAGE = 1000
 #: Words from which a paragraph is judged by itself.
 LEAST_WORDS = 5
+#: Most labels of an alias table, which is broadcast.
+LABEL_ROWS = 100_000
 #: Scored words that a worker keeps.
 KEPT_WORDS = 400_000
 
@@ -308,7 +310,7 @@ def labelled(documents: DataFrame, aliases: DataFrame) -> DataFrame:
     """``documents`` with ``label_lang``: the language its label stands for, NULL if it is missing or means nothing."""
     known = aliases.select(label_key("alias").alias("__label"), F.col("lang").alias("label_lang")).where(F.col("__label") != "").groupBy("__label").agg(F.min("label_lang").alias("label_lang"))
     rows = documents.select("doc_id", "text", label_key("lang").alias("__label"))
-    return rows.join(small_side(known), "__label", "left").drop("__label")
+    return rows.join(bounded_side(known, LABEL_ROWS, "a table of labels"), "__label", "left").drop("__label")
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,13 +1,16 @@
 """Problem 7: evaluation texts that leak into training text.
 
-Method: training suffix arrays. The tokens of a shard of documents get a suffix
-array; every suffix of every test text is looked up in it by binary search,
-which gives the verbatim matches, their lengths and their places; documents so
-found are reported, and can be removed.
+Method: training suffix arrays. All suffixes of a shard of documents are
+sorted whole; every suffix of every test text is looked up by binary search,
+token after token, until nothing in the shard goes on like it. What leaves the
+search at a depth matches verbatim to that depth and no further, so the search
+itself gives every match, its length and its place. Documents so found are
+reported, and can be removed.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 import unicodedata
 from collections import defaultdict
@@ -25,8 +28,8 @@ from ..functions.keys import fold_key
 ADJACENT, RUN, LONG_FIELD = 13, 5, 40
 #: Tokens of a shard that gets a suffix array of its own.
 SHARD_TOKENS = 1_500_000
-#: Characters of test text that are looked up at once; larger test sets are taken in blocks.
-BLOCK_CHARACTERS = 24_000_000
+#: Characters of test text of a block; a worker holds one block at a time.
+BLOCK_CHARACTERS = 8_000_000
 
 _TOKEN = re.compile(r"[^\W_]+")
 _MARKS = regex.compile(r"\p{M}+")
@@ -40,7 +43,7 @@ def match_tokens(text: str) -> list[str]:
 
 
 class TestTexts:
-    """Distinct test texts as numbers, ready to be looked up in any shard."""
+    """Distinct test texts of a block as numbers, ready to be looked up in any shard."""
 
     __test__ = False  # not a test case
 
@@ -53,75 +56,24 @@ class TestTexts:
                 by_tokens[tokens].append((example, field))
         texts = sorted(by_tokens)
         self.owners = [by_tokens[t] for t in texts]
-        self.words = {w: i + 1 for i, w in enumerate(sorted({w for t in texts for w in t}))}
-        self.bits = max(1, len(self.words).bit_length())
-        self.per_key = 63 // self.bits
-        self.keys = -(-ADJACENT // self.per_key)
-        #: all texts one after another, each closed by as many zeros as a prefix is long
-        gap = [0] * ADJACENT
-        flat: list[int] = []
-        starts, sizes = [], []
-        for t in texts:
-            starts.append(len(flat))
-            sizes.append(len(t))
-            flat += [self.words[w] for w in t] + gap
-        ids = np.array(flat or gap, dtype=np.int64)
-        text_of = np.repeat(np.arange(len(texts)), [n + ADJACENT for n in sizes]) if texts else np.zeros(ADJACENT, dtype=np.int64)
-        place = np.arange(len(ids)) - (np.array(starts, dtype=np.int64)[text_of] if texts else 0)
-        size_of = np.array(sizes, dtype=np.int64)[text_of] if texts else np.zeros(ADJACENT, dtype=np.int64)
-        # suffixes long enough for a whole match of 13, each distinct prefix once
-        at = np.flatnonzero(size_of - place >= ADJACENT) if texts else np.zeros(0, dtype=np.int64)
-        self.deep_from, self.deep_to = self.bounds(ids, at, ADJACENT)
-        self.deep_text, self.deep_place = text_of[at], place[at]
-        # distinct runs of five of the long texts
-        at = np.flatnonzero((size_of - place >= RUN) & (size_of >= LONG_FIELD)) if texts else np.zeros(0, dtype=np.int64)
-        low, high = self.bounds(ids, at, RUN)
-        stacked = np.stack([*low, *high], axis=1) if len(at) else np.zeros((0, 2 * self.keys), dtype=np.int64)
-        distinct, gram = np.unique(stacked, axis=0, return_inverse=True)
-        gram = gram.reshape(-1)
-        self.run_from = [distinct[:, k].copy() for k in range(self.keys)]
-        self.run_to = [distinct[:, self.keys + k].copy() for k in range(self.keys)]
-        pairs = np.unique(text_of[at] * max(1, len(distinct)) + gram)
+        self.words = sorted({w for t in texts for w in t})
+        number = {w: i for i, w in enumerate(self.words)}
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        self.tokens = np.array([number[w] for t in texts for w in t], dtype=np.int64)
+        #: of each place: its text, and how many tokens of the text are left from there
+        self.text = np.repeat(np.arange(len(texts)), sizes)
+        ends = np.cumsum(sizes)
+        self.left = (ends[self.text] - np.arange(len(self.tokens))) if texts else np.zeros(0, dtype=np.int64)
+        # distinct runs of five of the long texts, each with one place that it starts at
+        at = np.flatnonzero((self.left >= RUN) & (sizes[self.text] >= LONG_FIELD)) if texts else np.zeros(0, dtype=np.int64)
+        stacked = np.stack([self.tokens[at + j] for j in range(RUN)], axis=1) if len(at) else np.zeros((0, RUN), dtype=np.int64)
+        distinct, first, gram = np.unique(stacked, axis=0, return_index=True, return_inverse=True)
+        self.gram_at = at[first] if len(at) else at
+        pairs = np.unique(self.text[at] * max(1, len(distinct)) + gram.reshape(-1)) if len(at) else at
         self.gram_text, self.gram = pairs // max(1, len(distinct)), pairs % max(1, len(distinct))
         self.gram_start = np.searchsorted(self.gram_text, np.arange(len(texts) + 1))
         self.grams = np.diff(self.gram_start)
 
-    def pack(self, ids: np.ndarray, at: np.ndarray, depth: int, fill: int) -> list[np.ndarray]:
-        """The first ``depth`` tokens from each place in whole numbers whose order is that of the tokens; the rest is ``fill``."""
-        out = []
-        for k in range(self.keys):
-            key = np.zeros(len(at), dtype=np.int64)
-            for j in range(k * self.per_key, (k + 1) * self.per_key):
-                key = (key << self.bits) | (ids[at + j] if j < depth else fill)
-            out.append(key)
-        return out
-
-    def bounds(self, ids: np.ndarray, at: np.ndarray, depth: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """The least and the greatest suffix that begin with the ``depth`` tokens at each place."""
-        return self.pack(ids, at, depth, 0), self.pack(ids, at, depth, (1 << self.bits) - 1)
-
-
-def _place(array: list[np.ndarray], wanted: list[np.ndarray], after: bool) -> np.ndarray:
-    """Binary search of all wanted keys at once: the first place not below (or, ``after``, above) each."""
-    n, m = len(array[0]), len(wanted[0])
-    low, high = np.zeros(m, dtype=np.int64), np.full(m, n, dtype=np.int64)
-    for _ in range(max(1, n).bit_length() + 1):
-        going = low < high
-        if not going.any():
-            break
-        middle = np.minimum((low + high) >> 1, n - 1)
-        below = np.zeros(m, dtype=bool)
-        same = np.ones(m, dtype=bool)
-        for a, w in zip(array, wanted, strict=True):
-            x = a[middle]
-            below |= same & (x < w)
-            same &= x == w
-        if after:
-            below |= same
-        low = np.where(going & below, middle + 1, low)
-        high = np.where(going & ~below, middle, high)
-    return low
-
 
 def _spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of the ranges, with the range each belongs to."""
@@ -130,70 +82,136 @@ def _spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + low[which]
 
 
+def suffix_array(ids: np.ndarray) -> np.ndarray:
+    """The places of ``ids`` in the order of their whole suffixes, by prefix doubling.
+
+    Every document must end with a number that stands nowhere else. A round
+    doubles the depth that suffixes are sorted by, and only those still equal
+    to another take part in it.
+    """
+    n = len(ids)
+    if n == 0:
+        return np.zeros(0, dtype=np.int64)
+    bits = max(1, int(ids.max()).bit_length())
+    depth = max(1, 63 // bits)
+    key = np.zeros(n, dtype=np.int64)
+    far = np.concatenate([ids, np.zeros(depth, dtype=np.int64)])
+    for j in range(depth):
+        key = (key << bits) | far[j : j + n]
+    order = np.argsort(key, kind="stable")
+    head = np.concatenate([[True], np.diff(key[order]) != 0])
+    # a suffix's rank is the place of the first one equal to it so far
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+    slots = np.flatnonzero(~(head & np.append(head[1:], True)))
+    while len(slots):
+        tied = order[slots]
+        key = rank[tied] * n + rank[np.minimum(tied + depth, n - 1)]
+        turn = np.argsort(key, kind="stable")
+        tied, key = tied[turn], key[turn]
+        order[slots] = tied
+        head = np.concatenate([[True], np.diff(key) != 0])
+        rank[tied] = np.maximum.accumulate(np.where(head, slots, 0))
+        slots = slots[~(head & np.append(head[1:], True))]
+        depth *= 2
+    return order
+
+
 class Shard:
-    """The suffix array of a few documents, over all suffixes whose first five tokens occur in test texts at all."""
+    """The suffix array of a few documents."""
 
-    def __init__(self, tests: TestTexts, ids: np.ndarray, sizes: list[int]) -> None:
-        self.tests = tests
+    def __init__(self, codes: dict[str, int], ids: np.ndarray, sizes: list[int]) -> None:
+        """``codes`` number the shard's words from 0; ``ids`` are the documents' tokens, each document closed by -1, ``sizes`` their numbers with that."""
+        self.codes = codes
+        self.closers = len(sizes)
         self.document = np.repeat(np.arange(len(sizes)), sizes)
-        known = ids > 0
-        far = np.concatenate([ids, np.zeros(ADJACENT + 1, dtype=np.int64)])
-        start = known.copy()
-        for j in range(1, RUN):
-            start &= np.append(known[j:], np.zeros(j, dtype=bool))[: len(ids)]
-        at = np.flatnonzero(start)
-        keys = tests.pack(far, at, ADJACENT, 0)
-        order = np.lexsort(keys[::-1])
-        self.suffixes = at[order]
-        self.keys = [k[order] for k in keys]
-
-    def search(self) -> list[tuple[int, int, int, int, int, int]]:
-        """``(document, text, longest, start, runs, all runs)`` for each leak; start is the place of the longest match in tokens."""
-        t = self.tests
-        longest = self._long_matches()
-        runs = self._shared_runs()
+        ends = np.cumsum(np.array(sizes, dtype=np.int64)) - 1 if sizes else np.zeros(0, dtype=np.int64)
+        self.start = ends - np.array(sizes, dtype=np.int64) + 1
+        self.ids = ids + len(sizes)
+        self.ids[ends] = np.arange(len(sizes))  # closers differ, so no two suffixes are equal
+        self.suffixes = suffix_array(self.ids)
+        self.first = self.ids[self.suffixes]
+
+    def search(self, tests: TestTexts) -> list[tuple[int, int, int, int, int, int]]:
+        """``(document, text, longest, start, runs, all runs)`` for each leak; start is the place of the longest match in tokens, the first of equal ones."""
+        matches, low, high = self._matches(tests)
+        longest = self._longest(tests, *matches)
+        runs = self._shared_runs(tests, low[tests.gram_at], high[tests.gram_at])
         out = []
         for key in sorted(longest.keys() | runs.keys()):
             length, start = longest.get(key, (0, -1))
-            out.append((*key, length, start, runs.get(key, 0), int(t.grams[key[1]])))
+            out.append((*key, length, start, runs.get(key, 0), int(tests.grams[key[1]])))
         return out
 
-    def _long_matches(self) -> dict[tuple[int, int], tuple[int, int]]:
-        t = self.tests
-        if not len(self.suffixes) or not len(t.deep_text):
-            return {}
-        low, high = _place(self.keys, t.deep_from, False), _place(self.keys, t.deep_from, True)
+    def _bound(self, low: np.ndarray, high: np.ndarray, depth: int, token: np.ndarray, after: bool) -> np.ndarray:
+        """Binary search in many ranges of the array at once: the first slot whose token at ``depth`` is not below (or, ``after``, above) the wanted one."""
+        low, high = low.copy(), high.copy()
+        for _ in range(int((high - low).max(initial=0)).bit_length()):
+            middle = (low + high) >> 1
+            going = low < high
+            found = self.ids[self.suffixes[np.where(going, middle, 0)] + np.where(going, depth, 0)]
+            right = going & ((found <= token) if after else (found < token))
+            low = np.where(right, middle + 1, low)
+            high = np.where(going & ~right, middle, high)
+        return low
+
+    def _matches(self, t: TestTexts) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray, np.ndarray]:
+        """All matches of ``ADJACENT`` tokens or more as ``(place in the tests, from slot, to slot, length)``, and each place's range of slots that begin with its first ``RUN`` tokens."""
+        code = np.array([self.codes.get(w, -1) for w in t.words], dtype=np.int64)
+        code = np.where(code < 0, -1, code + self.closers)
+        tokens = code[t.tokens] if len(t.tokens) else t.tokens
+        run_low, run_high = np.zeros(len(tokens), dtype=np.int64), np.zeros(len(tokens), dtype=np.int64)
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        at = np.flatnonzero((t.left >= RUN) & (tokens >= 0))
+        low, high = np.searchsorted(self.first, tokens[at], "left"), np.searchsorted(self.first, tokens[at], "right")
+        depth = 1
+
+        def leave(which: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+            some = a < b
+            if depth >= ADJACENT and some.any():
+                out.append((which[some], a[some], b[some], np.full(int(some.sum()), depth, dtype=np.int64)))
+
+        while len(at):
+            alive = low < high
+            at, low, high = at[alive], low[alive], high[alive]
+            if depth == RUN:
+                run_low[at], run_high[at] = low, high
+            ended = t.left[at] == depth
+            leave(at[ended], low[ended], high[ended])
+            at, low, high = at[~ended], low[~ended], high[~ended]
+            token = tokens[at + depth]
+            inner_low = self._bound(low, high, depth, token, False)
+            inner_high = self._bound(inner_low, high, depth, token, True)
+            leave(at, low, inner_low)
+            leave(at, inner_high, high)
+            low, high = inner_low, inner_high
+            depth += 1
+        none = np.zeros(0, dtype=np.int64)
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (none, none, none, none), run_low, run_high
+
+    def _longest(self, t: TestTexts, at: np.ndarray, low: np.ndarray, high: np.ndarray, length: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
+        """Of each document and text the longest match and its first place."""
         which, slot = _spread(low, high)
         if not len(which):
             return {}
-        place, text = self.suffixes[slot], t.deep_text[which]
+        place, text, length = self.suffixes[slot], t.text[at[which]], length[which]
         document = self.document[place]
-        # places on one diagonal that follow one another are one longer match
-        shift = place - t.deep_place[which]
-        order = np.lexsort((place, shift, text, document))
-        place, text, document, shift = place[order], text[order], document[order], shift[order]
-        same = (np.diff(place) == 1) & (np.diff(shift) == 0) & (np.diff(text) == 0) & (np.diff(document) == 0)
-        head = np.flatnonzero(np.concatenate([[True], ~same]))
-        length = np.diff(np.append(head, len(place))) + ADJACENT - 1
-        first = np.searchsorted(self.document, document[head])
-        out: dict[tuple[int, int], tuple[int, int]] = {}
-        for d, x, n, s in zip(document[head].tolist(), text[head].tolist(), length.tolist(), (place[head] - first).tolist(), strict=True):
-            if n > out.get((d, x), (0, 0))[0]:
-                out[d, x] = (n, s)
-        return out
+        order = np.lexsort((place, -length, text, document))
+        place, text, length, document = place[order], text[order], length[order], document[order]
+        best = np.flatnonzero(np.concatenate([[True], (np.diff(text) != 0) | (np.diff(document) != 0)]))
+        start = place[best] - self.start[document[best]]
+        return {(d, x): (n, s) for d, x, n, s in zip(document[best].tolist(), text[best].tolist(), length[best].tolist(), start.tolist(), strict=True)}
 
-    def _shared_runs(self) -> dict[tuple[int, int], int]:
-        """Texts of which a document holds at least half of the distinct runs.
+    def _shared_runs(self, t: TestTexts, low: np.ndarray, high: np.ndarray) -> dict[tuple[int, int], int]:
+        """Texts of which a document holds at least half of the distinct runs, whose ranges of slots are given.
 
         A document with half of a text's n runs holds at least one of any
         n - ceil(n / 2) + 1 of them. Those that are rarest in this shard say
         which documents come into question; all runs are counted for these.
         """
-        t = self.tests
-        if not len(self.suffixes) or not len(t.gram):
+        n = high - low
+        if not len(n) or not n.any():
             return {}
-        low, high = _place(self.keys, t.run_from, False), _place(self.keys, t.run_to, True)
-        n = np.maximum(high - low, 0)
         order = np.lexsort((t.gram, n[t.gram], t.gram_text))  # of each text: its rarest runs first
         rank = np.arange(len(order)) - t.gram_start[t.gram_text[order]]
         size = t.grams[t.gram_text[order]]
@@ -207,7 +225,7 @@ class Shard:
         # all runs of the documents in question
         gram, slot = _spread(low, high)
         owner = self.document[self.suffixes[slot]]
-        concerned = np.zeros(len(self.document) and int(self.document[-1]) + 1, dtype=bool)
+        concerned = np.zeros(self.closers, dtype=bool)
         concerned[document] = True
         keep = concerned[owner]
         held = np.unique(owner[keep] * len(n) + gram[keep])
@@ -222,37 +240,73 @@ class Shard:
 COLUMNS = "example_id string, field_id string, longest int, start int, shared_runs int, all_runs int"
 
 
+class _Blocks:
+    """Broadcast blocks of test texts, of which a worker keeps one in memory."""
+
+    def __init__(self, blocks: list) -> None:
+        self.blocks = blocks
+        self.at, self.held = -1, None
+
+    def __getstate__(self) -> dict:
+        return {"blocks": self.blocks, "at": -1, "held": None}
+
+    def __iter__(self) -> Iterator[TestTexts]:
+        for i, b in enumerate(self.blocks):
+            if i != self.at:
+                self.at, self.held = i, pickle.loads(b.value)
+                if hasattr(b, "_value"):
+                    del b._value  # the bytes; they can be read again
+            yield self.held
+
+
 def _scan(tests, key: str):
-    """Batches of documents to batches of leaks."""
+    """Batches of documents to batches of leaks; ``tests`` gives the blocks of test texts."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t: TestTexts = tests.value
-        code = t.words.get
+        codes: dict[str, int] = {}
         names, sizes, parts, total = [], [], [], 0
 
         def close() -> pd.DataFrame:
-            shard = Shard(t, np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64), sizes)
-            rows = [(names[d], e, f, *rest) for d, x, *rest in shard.search() for e, f in t.owners[x]]
+            shard = Shard(codes, np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64), sizes)
+            rows = [(names[d], e, f, *rest) for t in tests for d, x, *rest in shard.search(t) for e, f in t.owners[x]]
             return pd.DataFrame(rows, columns=[key, "example_id", "field_id", "longest", "start", "shared_runs", "all_runs"])
 
         for batch in batches:
             for name, text in zip(batch[key], batch["text"], strict=True):
                 if not isinstance(text, str):
                     continue
-                ids = np.array([code(w, 0) for w in match_tokens(text)] + [0], dtype=np.int64)  # a 0 closes the document
+                number = codes.setdefault
+                ids = np.array([number(w, len(codes)) for w in match_tokens(text)] + [-1], dtype=np.int64)
                 names.append(name)
                 sizes.append(len(ids))
                 parts.append(ids)
                 total += len(ids)
                 if total >= SHARD_TOKENS:
                     yield close()
-                    names, sizes, parts, total = [], [], [], 0
+                    codes, names, sizes, parts, total = {}, [], [], [], 0
         if names:
             yield close()
 
     return scan
 
 
+def _test_blocks(used: DataFrame) -> DataFrame:
+    """``(block, payload)``: the test texts in blocks of about ``BLOCK_CHARACTERS``, made ready by the executors."""
+    characters = used.agg(F.sum(F.length("original_text"))).first()[0] or 0
+    blocks = max(1, -(-characters // BLOCK_CHARACTERS))
+
+    def build(rows: pd.DataFrame) -> pd.DataFrame:
+        texts = TestTexts([(fold_key(e), f, t) for e, f, t in zip(rows["example_id"], rows["field_id"], rows["original_text"], strict=True)])
+        return pd.DataFrame({"block": [int(rows["block"].iloc[0])], "payload": [pickle.dumps(texts)]})
+
+    return used.withColumn("block", F.pmod(F.xxhash64("example_id", "field_id"), F.lit(blocks)).cast("int")).groupBy("block").applyInPandas(build, "block int, payload binary")
+
+
+def usable_fields(fields: DataFrame) -> DataFrame:
+    """``(example_id, field_id, original_text)`` of the matchable fields."""
+    return fields.where(F.col("matchable") & F.col("original_text").isNotNull() & F.col("example_id").isNotNull()).select("example_id", "field_id", "original_text")
+
+
 def find_leaks(documents: DataFrame, fields: DataFrame) -> DataFrame:
     """Documents whose text carries a test item, whole or in part.
 
@@ -265,30 +319,35 @@ def find_leaks(documents: DataFrame, fields: DataFrame) -> DataFrame:
     (its place in the document's tokens, -1 if there is none), ``shared_runs``
     (0 unless (b) holds), ``all_runs``.
 
-    The test set is looked up as a whole, or in blocks of
-    ``BLOCK_CHARACTERS``; each block is one pass over the documents without a
-    shuffle, and each shard of documents is held by one task in arrays of
-    bounded size.
+    The documents are read once, without a shuffle. Each shard of them is held
+    by one task in arrays of bounded size and asked for all blocks of the test
+    set in turn. Blocks are broadcast one by one, each bounded by
+    ``BLOCK_CHARACTERS``; the driver hands them on as bytes and a worker has one
+    in memory at a time. Fields of fewer than ``ADJACENT`` tokens cannot leak
+    by this definition: :func:`too_short` lists them.
 
     * NULL text, NULL original_text, NULL example_id or matchable not true: no row. Empty or short texts: no match.
     * Repeated documents: one row each. Items that share a text: each has its row. Empty tables: empty result.
     * Whole texts are read, however long; other columns are ignored.
     """
-    spark = documents.sparkSession
-    used = fields.where(F.col("matchable") & F.col("original_text").isNotNull() & F.col("example_id").isNotNull()).select("example_id", "field_id", "original_text")
-    characters = used.agg(F.sum(F.length("original_text"))).first()[0] or 0
-    blocks = max(1, -(-characters // BLOCK_CHARACTERS))
+    context = documents.sparkSession.sparkContext
+    blocks = [context.broadcast(bytes(r.payload)) for r in _test_blocks(usable_fields(fields)).toLocalIterator()]
     kind = dict(documents.dtypes)["doc_id"]
-    found = None
-    for b in range(blocks):
-        block = used.where(F.pmod(F.xxhash64("example_id", "field_id"), F.lit(blocks)) == b)
-        tests = TestTexts([(fold_key(r.example_id), r.field_id, r.original_text) for r in block.toLocalIterator()])
-        # ids travel as strings: pandas would turn whole numbers with NULLs among them into floats
-        texts = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-        part = texts.mapInPandas(_scan(spark.sparkContext.broadcast(tests), "doc_id"), f"doc_id string, {COLUMNS}")
-        part = part.withColumn("doc_id", F.col("doc_id").cast(kind))
-        found = part if found is None else found.union(part)
-    return found
+    # ids travel as strings: pandas would turn whole numbers with NULLs among them into floats
+    texts = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    found = texts.mapInPandas(_scan(_Blocks(blocks), "doc_id"), f"doc_id string, {COLUMNS}")
+    return found.withColumn("doc_id", F.col("doc_id").cast(kind))
+
+
+def too_short(fields: DataFrame) -> DataFrame:
+    """``(example_id, field_id, tokens)`` of the matchable fields that are too short for any leak to be told."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            n = [len(match_tokens(t)) for t in batch["original_text"]]
+            yield pd.DataFrame({"example_id": [fold_key(e) for e in batch["example_id"]], "field_id": batch["field_id"], "tokens": n})
+
+    return usable_fields(fields).mapInPandas(count, "example_id string, field_id string, tokens long").where(F.col("tokens") < min(ADJACENT, LONG_FIELD))
 
 
 def without_leaks(documents: DataFrame, leaks: DataFrame) -> DataFrame:
@@ -318,3 +377,37 @@ def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p7_found": p7_found, "p7_leaks": p7_leaks, "p7_clean": p7_clean}
+
+
+def _tokens_sql(column: str) -> str:
+    return rf"regexp_extract_all(replace(lower(strip_accents({column})), 'ß', 'ss'), '[\p{{L}}\p{{N}}]+')"
+
+
+def _runs_sql(n: int) -> str:
+    return f"unnest(range(1, len(t) - {n} + 2)) AS p"
+
+
+# every run of every document is written out; no arrays, no search
+_LEAKS = f"""
+WITH doc AS (SELECT doc_id, {_tokens_sql("text")} AS t FROM documents WHERE text IS NOT NULL),
+field AS (SELECT lower(regexp_replace(example_id, '[^0-9A-Za-z]+', '', 'g')) AS example_id, field_id, {_tokens_sql("original_text")} AS t FROM benchmark_field WHERE matchable),
+d13 AS (SELECT doc_id, p, array_to_string(t[p:p + 12], ' ') AS w FROM (SELECT *, {_runs_sql(13)} FROM doc)),
+f13 AS (SELECT example_id, field_id, p AS q, array_to_string(t[p:p + 12], ' ') AS w FROM (SELECT *, {_runs_sql(13)} FROM field)),
+hit AS (SELECT *, p - q AS o FROM d13 JOIN f13 USING (w)),
+island AS (SELECT *, p - row_number() OVER (PARTITION BY doc_id, field_id, o ORDER BY p) AS i FROM hit),
+long AS (SELECT doc_id, example_id, field_id, count(*) + 12 AS n, min(p) - 1 AS s FROM island GROUP BY doc_id, example_id, field_id, o, i),
+longest AS (SELECT doc_id, example_id, field_id, max(n) AS longest, arg_min(s, (-n, s)) AS start FROM long GROUP BY ALL),
+f5 AS (SELECT DISTINCT example_id, field_id, array_to_string(t[p:p + 4], ' ') AS w FROM (SELECT *, {_runs_sql(5)} FROM field WHERE len(t) >= 40)),
+size AS (SELECT field_id, count(*) AS all_runs FROM f5 GROUP BY field_id),
+d5 AS (SELECT DISTINCT doc_id, array_to_string(t[p:p + 4], ' ') AS w FROM (SELECT *, {_runs_sql(5)} FROM doc)),
+share AS (SELECT doc_id, example_id, field_id, count(*) AS shared FROM d5 JOIN f5 USING (w) GROUP BY ALL),
+half AS (SELECT share.* FROM share JOIN size USING (field_id) WHERE 2 * shared >= all_runs),
+leak AS (
+    SELECT doc_id, example_id, field_id, coalesce(longest, 0)::INTEGER AS longest, coalesce(start, -1)::INTEGER AS start, coalesce(shared, 0)::INTEGER AS shared_runs, coalesce(all_runs, 0)::INTEGER AS all_runs
+    FROM (longest FULL JOIN half USING (doc_id, example_id, field_id)) LEFT JOIN size USING (field_id))
+"""
+SQL = {
+    "p7_found": _LEAKS + "SELECT DISTINCT doc_id, example_id FROM leak",
+    "p7_leaks": _LEAKS + "SELECT * FROM leak",
+    "p7_clean": _LEAKS + "SELECT source, count(*) AS documents FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM leak) GROUP BY source",
+}

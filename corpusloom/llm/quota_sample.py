@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import hex_key, label_key
-from ..runtime import cut, prefix_sums, small_side
+from ..runtime import bounded_side, cut, prefix_sums
 from .stable_sample import SALT, rank
 
 #: Inclusion probabilities are integers of this unit, so that sums are exact in any order.
 UNIT = 10**8
+#: Most categories of a plan; everything with one row a category is broadcast.
+PLAN_ROWS = 10_000
 #: Hex digits of the rank that cut a category into cells: 4,096 cells a category.
 CELL_DIGITS = 3
 
@@ -37,12 +39,12 @@ def current_candidates(candidates: DataFrame, plan: DataFrame) -> DataFrame:
     ).where(F.col("doc_id") != "")
     current = rows.groupBy("doc_id").agg(F.max("__row").alias("r")).where(F.col("r.words") > 0)
     keyed = current.select("doc_id", F.col("r.words").alias("words"), label_key(F.col("r.b")).alias("__bucket"))
-    return keyed.join(small_side(plan), "__bucket").drop("__bucket")
+    return keyed.join(F.broadcast(plan), "__bucket").drop("__bucket")  # PLAN_ROWS at most
 
 
 def plan_rows(plan: DataFrame) -> DataFrame:
-    """The plan with one row a category: the largest target and floor of equal names; NULL names are dropped, NULL sizes are 0."""
-    return (
+    """The plan with one row a category: the largest target and floor of equal names; NULL names are dropped, NULL sizes are 0. More than ``PLAN_ROWS`` are an error."""
+    rows = (
         plan.select(
             label_key("sample_bucket").alias("__bucket"),
             F.trim("sample_bucket").alias("sample_bucket"),
@@ -53,6 +55,7 @@ def plan_rows(plan: DataFrame) -> DataFrame:
         .groupBy("__bucket")
         .agg(F.min("sample_bucket").alias("sample_bucket"), F.max("target_words").alias("target_words"), F.max("min_words").alias("min_words"))
     )
+    return bounded_side(rows, PLAN_ROWS, "a plan")
 
 
 def random_start(seed: str) -> int:
@@ -89,9 +92,9 @@ def sample_to_quota(candidates: DataFrame, plan: DataFrame, seed: str = "quota-v
     need = F.least(F.greatest("target_words", "min_words"), "available_words")
     totals = totals.withColumnRenamed("sample_bucket", "__b")
     # one row a category of the plan, so the side is as small as the plan
-    frame = docs.join(small_side(totals), F.col("sample_bucket") == F.col("__b")).drop("__b")
+    frame = docs.join(F.broadcast(totals), F.col("sample_bucket") == F.col("__b")).drop("__b")
     frame = frame.withColumn("need", need).withColumn(
-        "pi", F.floor(F.col("need") * F.lit(UNIT).cast("decimal(20,0)") / F.col("available_words")).cast("long")
+        "pi", F.expr(f"cast(cast(need AS decimal(28,0)) * {UNIT} div available_words AS bigint)")
     )
     placed = prefix_sums(frame, ["sample_bucket"], cell, ["rank_hash", "doc_id"], {"before": F.col("pi")}, whole_order=True)
     start = random_start(seed)
@@ -105,7 +108,7 @@ def sample_to_quota(candidates: DataFrame, plan: DataFrame, seed: str = "quota-v
     )
     hits = placed.groupBy("sample_bucket").agg(F.sum(F.when(F.col("hit"), F.col("words")).otherwise(0)).alias("hit_words"))
     hits = hits.withColumnRenamed("sample_bucket", "__b")
-    placed = placed.join(small_side(hits), F.col("sample_bucket") == F.col("__b")).drop("__b")
+    placed = placed.join(F.broadcast(hits), F.col("sample_bucket") == F.col("__b")).drop("__b")
     kept = F.col("hit") & (F.col("hit_before") < F.col("need"))
     added = ~F.col("hit") & (F.col("rest_before") < F.col("need") - F.col("hit_words"))
     sample = placed.where(kept | added).select(
@@ -160,7 +163,30 @@ have AS (
     SELECT lower(regexp_replace(nfc_normalize(r.b), '[^\\p{L}\\p{N}]+', '', 'g')) AS k, sum(r.w) AS words
     FROM cur WHERE r.w > 0 GROUP BY 1)
 """
+_SAMPLE = _CURRENT.rstrip() + """,
+cand AS (
+    SELECT trim(plan.sample_bucket) AS sample_bucket, target_words, min_words, doc AS doc_id, r.w AS words, sha256('sample-v1' || chr(0) || doc) AS rank_hash
+    FROM cur JOIN plan ON plan.k = lower(regexp_replace(nfc_normalize(r.b), '[^\\p{L}\\p{N}]+', '', 'g')) WHERE r.w > 0 AND doc <> ''),
+total AS (SELECT *, count(*) OVER b AS available_docs, sum(words) OVER b AS available_words FROM cand WINDOW b AS (PARTITION BY sample_bucket)),
+need AS (SELECT *, least(greatest(target_words, min_words), available_words) AS need, least(greatest(target_words, min_words), available_words)::HUGEINT * 100000000 // available_words AS pi FROM total),
+start AS (SELECT ('0x' || substr(sha256('quota-v1'), 1, 15))::BIGINT % 100000000 AS s),
+placed AS (SELECT *, coalesce(sum(pi) OVER (ORDER BY sample_bucket, rank_hash, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + s AS before FROM need, start),
+hit AS (SELECT *, (before + pi) // 100000000 > before // 100000000 AS hit FROM placed),
+run AS (SELECT *, coalesce(sum(CASE WHEN hit THEN words ELSE 0 END) OVER o, 0) AS hit_before, coalesce(sum(CASE WHEN hit THEN 0 ELSE words END) OVER o, 0) AS rest_before,
+    sum(CASE WHEN hit THEN words ELSE 0 END) OVER (PARTITION BY sample_bucket) AS hit_words FROM hit
+    WINDOW o AS (PARTITION BY sample_bucket ORDER BY rank_hash, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+sample AS (SELECT doc_id, sample_bucket, words AS normalized_words, rank_hash, CASE WHEN hit THEN 'systematic' ELSE 'repair' END AS drawn FROM run
+    WHERE hit AND hit_before < need OR NOT hit AND rest_before < need - hit_words)
+"""
 SQL = {
+    "p5_sample": _SAMPLE + "SELECT * FROM sample",
+    "p5_report": _SAMPLE
+    + """, rows AS (
+    SELECT trim(plan.sample_bucket) AS sample_bucket, plan.target_words, plan.min_words, coalesce(a.d, 0) AS available_docs, coalesce(a.w, 0)::BIGINT AS available_words,
+           coalesce(b.d, 0) AS sampled_docs, coalesce(b.w, 0)::BIGINT AS sampled_words
+    FROM plan LEFT JOIN (SELECT sample_bucket, count(*) AS d, sum(words) AS w FROM cand GROUP BY 1) a ON a.sample_bucket = trim(plan.sample_bucket)
+    LEFT JOIN (SELECT sample_bucket, count(*) AS d, sum(normalized_words) AS w FROM sample GROUP BY 1) b ON b.sample_bucket = trim(plan.sample_bucket))
+SELECT *, sampled_words >= target_words AS target_met, sampled_words >= min_words AS floor_met, (sampled_words * 10000 // sum(sampled_words) OVER ())::BIGINT AS share_bp FROM rows""",
     "p5_found": _CURRENT
     + """SELECT plan.sample_bucket FROM plan LEFT JOIN have USING (k)
     WHERE coalesce(have.words, 0) < plan.target_words"""

@@ -18,11 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import filled, hex_key, label_key
-from ..runtime import Workspace, spread_join
+from ..runtime import Workspace, bounded_side, spread_join
 
 #: The fields whose number of filled values counts as completeness, and the tier of unlisted sources.
 COMPLETE = ("title", "original_id", "original_url", "license", "publication_date")
 LOWEST_TIER = 5
+#: Most rows of a tier table, which is broadcast.
+TIER_ROWS = 100_000
 
 
 #: Name of the bundle that is the kept record itself.
@@ -82,7 +84,7 @@ def tier_of(tiers: DataFrame, records: DataFrame) -> DataFrame:
     table = table.groupBy("__s", "__u").agg(F.min("__t").alias("__t"))
     rows = records.withColumns({"__s": label_key("source"), "__u": label_key("subset")})
     own = F.when(F.col("subset_tier").between(0, LOWEST_TIER), F.col("subset_tier"))
-    # a plain join: Spark broadcasts the table by its size in bytes, and deals out a hot source itself where it does not
+    table = bounded_side(table, TIER_ROWS, "a tier table")
     return rows.join(table, ["__s", "__u"], "left").withColumn("__tier", F.coalesce(own, "__t", F.lit(LOWEST_TIER)).cast("int")).drop("__t", "__u")
 
 

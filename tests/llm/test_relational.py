@@ -11,6 +11,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom import runtime
 from corpusloom.llm import consolidate, mixing, quota_sample, splits, stable_sample, survivors
 from corpusloom.llm.tokenizer import public_tokens, white_space_tokens
 
@@ -54,21 +55,27 @@ SHAPES = {
 }
 
 
-@pytest.mark.parametrize("shape", [*SHAPES, "random", "empty"])
-def test_components_of_any_shape(spark, shape):
+@pytest.mark.parametrize("hot", [10_000, 0])
+def test_components_of_any_shape(spark, monkeypatch, hot):
+    """All shapes in one graph, under shuffled names; with 0 the edges of hubs are dealt out."""
+    monkeypatch.setattr(runtime, "HOT_ROWS", hot)
     rng = random.Random(5)
-    edges = SHAPES.get(shape, [])
-    if shape == "random":
-        edges = [(f"{rng.randrange(150):03d}", f"{rng.randrange(150):03d}") for _ in range(110)]
-        edges = [(a, b) for a, b in edges if a != b]
-    names = [f"{i:03d}" for i in range(150)]
-    rng.shuffle(names)
-    turned = [(names[int(a)], names[int(b)]) for a, b in edges] if shape not in ("low star",) else edges
-    df = spark.createDataFrame([(min(e), max(e)) for e in turned], "a string, b string").distinct()
-    by_min = consolidate.hash_to_min(df).collect()
-    assert as_sets(by_min, "v", "root") == components(turned)
-    assert all(r.root == min(s) for r in by_min for s in components(turned) if r.v in s)
-    assert as_sets(splits.frontier_components(df).collect(), "v", "component") == components(turned)
+    edges = []
+    for shape, own in {**SHAPES, "random": [(f"{rng.randrange(150):03d}", f"{rng.randrange(150):03d}") for _ in range(110)]}.items():
+        names = [f"{i:03d}" for i in range(150)]
+        if shape != "low star":
+            rng.shuffle(names)
+        edges += [(f"{shape}{names[int(a)]}", f"{shape}{names[int(b)]}") for a, b in own if a != b]
+    df = spark.createDataFrame([(min(e), max(e)) for e in edges], "a string, b string").distinct()
+    by_min, want = consolidate.hash_to_min(df).collect(), components(edges)
+    assert as_sets(by_min, "v", "root") == want
+    assert all(r.root == min(s) for r in by_min for s in want if r.v in s)
+    assert as_sets(splits.frontier_components(df).collect(), "v", "component") == want
+
+
+def test_components_of_nothing(spark):
+    df = spark.createDataFrame([], "a string, b string")
+    assert consolidate.hash_to_min(df).count() == 0 == splits.frontier_components(df).count()
 
 
 PAIRS = "id_a string, id_b string, estimated_similarity double, v int, m int"
@@ -132,7 +139,9 @@ def test_torn_apart(spark):
     assert splits.torn_apart(refs.limit(0), groups).count() == 0
     many = spark.createDataFrame([(f"{i:04d}", "s", "w", None, 1) for i in range(700)], REFS)
     held = many.select("group_id", F.when(F.col("group_id") < "0003", "test").otherwise("train").alias("split"), F.lit(T0).alias("assigned_at"))
-    assert splits.torn_apart(many, held).distinct().count() == 3 * 697 == splits.torn_apart(many, held).count()
+    pairs = splits.torn_apart(many, held).collect()
+    assert len({tuple(r) for r in pairs}) == 3 * 697 == len(pairs)
+    assert {r.group_id for r in splits.torn_members(refs, groups).collect()} == {"a", "b", "c"}
 
 
 CAND = "doc_id string, rank_hash string, batch_no int, seen_at timestamp, normalized_words long, sample_bucket string, words long, need long"

@@ -180,7 +180,7 @@ def test_leaks_equal_brute_force(spark, monkeypatch, block, shard):
     if shard < 1000:  # the workers take the module's value, so small shards are tested without them
         monkeypatch.setattr(leakage, "SHARD_TOKENS", shard)
         tests = leakage.TestTexts([(leakage.fold_key(e), f, t) for e, f, t, m, *_ in items if e and t is not None and m])
-        held = type("Held", (), {"value": tests})
+        held = [tests]
         frame = pd.DataFrame({"doc_id": [str(d) for d, _ in docs], "text": [t for _, t in docs]})
         got = {pair for part in leakage._scan(held, "doc_id")(iter([frame])) for pair in zip(part.doc_id, part.example_id, strict=True)}
         assert got == {(str(d), e) for d, e in brute_leaks(items, docs)}
@@ -189,10 +189,41 @@ def test_leaks_equal_brute_force(spark, monkeypatch, block, shard):
     assert {r.field_id for r in rows if r.doc_id is None} == {"f6"} and sum(r.doc_id == 902 for r in rows) == 2
     whole = next(r for r in rows if r.doc_id == 903)
     assert whole.start == 50000 and whole.longest == len(items[4][2].split())
+    short = {r.field_id: r.tokens for r in leakage.too_short(fields).collect()}
+    assert short == {f: len(leakage.match_tokens(t)) for e, f, t, m, *_ in items if e and t is not None and m and len(leakage.match_tokens(t)) < 13}
     clean = leakage.without_leaks(df, leakage.find_leaks(df, fields))
     assert clean.columns == df.columns and {r.doc_id for r in clean.collect()} & {r.doc_id for r in rows} <= {None}
 
 
+def test_suffix_array_sorts_whole_suffixes():
+    rng = random.Random(6)
+    for size, words in [(0, 1), (1, 1), (60, 1), (300, 2), (400, 40)]:
+        codes = {f"w{k}": k for k in range(words)}
+        sizes = [size // 2 + 1, 1, size - size // 2 + 1]
+        ids = np.array([x for n in sizes for x in [*[rng.randrange(words) for _ in range(n - 1)], -1]], dtype=np.int64)
+        shard = leakage.Shard(codes, ids.copy(), sizes)
+        whole = shard.ids.tolist()
+        assert shard.suffixes.tolist() == sorted(range(len(whole)), key=lambda i: whole[i:])
+
+
+def test_longest_matches_equal_brute_force():
+    rng = random.Random(2)
+    docs = [[rng.choice("abc") for _ in range(rng.randrange(0, 90))] for _ in range(12)] + [["a"] * 120, ["a"] * 80]
+    fields = [("e", f"f{i}", " ".join(rng.choice("abc") for _ in range(rng.randrange(13, 70)))) for i in range(12)] + [("e", "f12", " ".join("a" * 50)), ("e", "f13", " ".join(docs[3]))]
+    tests = leakage.TestTexts(fields)
+    codes = {w: i for i, w in enumerate("abc")}
+    shard = leakage.Shard(codes, np.array([x for d in docs for x in [*[codes[w] for w in d], -1]], dtype=np.int64), [len(d) + 1 for d in docs])
+    got = {(d, f): (n, s) for d, x, n, s, _, _ in shard.search(tests) for _, f in tests.owners[x] if n}
+    want = {}
+    for d, doc in enumerate(docs):
+        for _, f, t in fields:
+            field = t.split()
+            best = max(((n, -i) for i in range(len(doc)) for j in range(len(field)) for n in [next((k for k in range(len(doc)) if i + k >= len(doc) or j + k >= len(field) or doc[i + k] != field[j + k]), len(doc))]), default=(0, 0))
+            if best[0] >= leakage.ADJACENT:
+                want[d, f] = (best[0], -best[1])
+    assert got == want and want
+
+
 def test_leaks_of_nothing(spark):
     items, docs = leak_case()
     df = spark.createDataFrame(docs, "doc_id long, text string")
