@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import Workspace
+from ..runtime import Workspace, spread_join
 
 
 def number_vertices(edges: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
@@ -27,8 +27,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
 
     Two alternating steps keep the graph small: every vertex ties its larger
     neighbours to the smallest one it knows, then its smaller ones. Both keep
-    the components and end in stars, in about log2 n rounds. Edges are rows, so
-    a vertex of any degree is spread over tasks.
+    the components and end in stars, in about log2 n rounds. Edges are rows, and
+    meet one row a vertex, so adaptive execution splits what a vertex of very
+    high degree has.
 
     NULL ends and loops tie nothing; a vertex that has only those is left out.
     """
@@ -49,8 +50,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
         raise RuntimeError(f"not stable after {max_rounds} rounds")
     root = pairs.groupBy(F.col("b").alias("v")).agg(F.min("a").alias("root"))
     named = names.join(root, "v", "left").select("id", F.coalesce("root", "v").alias("root"))
-    first = named.groupBy("root").agg(F.min("id").alias("component"))
-    return named.join(first, "root").select("id", "component")
+    first = named.groupBy("root").agg(F.min("id").alias("component"), F.count(F.lit(1)).alias("__rows"))
+    return spread_join(named, first, ["root"], "id", size="__rows").select("id", "component")
 
 
 def _tie(pairs: DataFrame, larger: bool) -> DataFrame:

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a side may be broadcast after it was counted.
 BROADCAST_ROWS = 200_000
-#: A key is hot when it holds more than this part of all rows, so there are never more hot keys than this number.
+#: A key is hot when it holds more than this part of all rows, so there are never more hot keys than this number, and more rows than any task minds.
 HOT_PART = 1000
+HOT_ROWS = 10_000
 #: Tasks that share the rows of one hot key.
 HOT_SHARES = 64
 
@@ -81,28 +82,65 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def spread_join(rows: DataFrame, one: DataFrame, keys: Sequence[str], by: Column | str, how: str = "inner", size: str | None = None) -> DataFrame:
-    """Joins ``rows`` with ``one``, which has one row a key, so that no task gets all rows of a frequent key.
+def bounded_side(df: DataFrame, rows: int, what: str) -> DataFrame:
+    """``df`` to be broadcast: a plan or a table of names that may hold ``rows`` rows at most; more are an error, never another plan."""
+    if df.limit(rows + 1).count() > rows:
+        raise ValueError(f"{what} may hold {rows} rows at most")
+    return F.broadcast(df)
 
-    Rows of hot keys, and rows with a NULL key, are dealt out over
-    ``HOT_SHARES`` tasks by the hash of ``by``; the one row of a hot key goes to
-    all of them. A key is hot when it holds more than one row in ``HOT_PART``,
-    so the broadcast list of hot keys has ``HOT_PART`` rows at most, whatever
-    the size of the tables. ``size`` names a column of ``one`` with the key's
-    number of rows; without it they are counted. ``how`` is inner or left.
-    """
-    keys = list(keys)
+
+def hot_keys(counted: DataFrame, keys: Sequence[str], size: str) -> DataFrame:
+    """The keys of ``counted(keys, size)`` that hold more than one row in ``HOT_PART``, so ``HOT_PART`` of them at most, ready to be broadcast."""
     known = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
-    counted = one.select(*keys, F.col(size).alias("__n")) if size else rows.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    counted = counted.select(*keys, F.col(size).alias("__n"))
     whole = counted.agg(F.sum("__n").alias("__all"))
-    hot = counted.crossJoin(F.broadcast(whole)).where(known & (F.col("__n") * HOT_PART > F.col("__all"))).select(*keys, F.lit(True).alias("__hot"))  # one row
-    hot = F.broadcast(hot)  # HOT_PART rows at most
+    hot = counted.crossJoin(F.broadcast(whole)).where(known & (F.col("__n") > HOT_ROWS) & (F.col("__n") * HOT_PART > F.col("__all")))  # one row
+    return F.broadcast(hot.select(*keys, F.lit(True).alias("__hot")))  # HOT_PART rows at most
+
+
+def dealt(rows: DataFrame, hot: DataFrame, keys: Sequence[str], by: Column | str) -> DataFrame:
+    """``rows`` with ``__share``: rows of hot and of NULL keys are dealt out over ``HOT_SHARES`` by the hash of ``by``, all others have 0."""
+    unknown = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
     by = F.col(by) if isinstance(by, str) else by
-    spread = F.coalesce("__hot", F.lit(False)) | ~known
-    left = rows.join(hot, keys, "left").withColumn("__share", F.when(spread, F.pmod(F.xxhash64(by), F.lit(HOT_SHARES)).cast("int")).otherwise(0)).drop("__hot")
+    share = F.when(F.coalesce("__hot", F.lit(False)) | unknown, F.pmod(F.xxhash64(by), F.lit(HOT_SHARES)).cast("int")).otherwise(0)
+    return rows.join(hot, list(keys), "left").withColumn("__share", share).drop("__hot")
+
+
+def copied(one: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``one``, which has one row a key, with ``__share``: a hot key's row comes for each of the ``HOT_SHARES``."""
     shares = F.when(F.coalesce("__hot", F.lit(False)), F.sequence(F.lit(0), F.lit(HOT_SHARES - 1))).otherwise(F.array(F.lit(0)))
-    right = one.join(hot, keys, "left").withColumn("__share", F.explode(shares)).drop("__hot")
-    return left.join(right, [*keys, "__share"], how).drop("__share")
+    return one.join(hot, list(keys), "left").withColumn("__share", F.explode(shares)).drop("__hot")
+
+
+def spread_join(rows: DataFrame, one: DataFrame, keys: Sequence[str], by: Column | str, how: str = "inner", size: str | None = None) -> DataFrame:
+    """Joins ``rows`` with ``one``, which has one row a key, so that no task gets all rows of a frequent key.
+
+    See :func:`dealt` and :func:`copied`. ``size`` names a column of ``one`` with
+    the key's number of rows; without it they are counted. ``how`` is inner or left.
+    """
+    keys = list(keys)
+    counted = one if size else rows.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
+    hot = hot_keys(counted, keys, size or "__size")
+    return dealt(rows, hot, keys, by).join(copied(one, hot, keys), [*keys, "__share"], how).drop("__share")
+
+
+def hot_list(counted: DataFrame, key: str, size: str, *also: Column) -> tuple[list, list]:
+    """The hot keys of a written table ``counted(key, size)``, ``HOT_PART`` at most, for operators that use them in many joins; and the aggregates ``also`` of the same pass."""
+    whole, most, *more = counted.agg(F.sum(size), F.max(size), *also).first()
+    if not whole or most <= HOT_ROWS or most * HOT_PART <= whole:
+        return [], more
+    return [r[0] for r in counted.where((F.col(size) > HOT_ROWS) & (F.col(size) * HOT_PART > whole)).select(key).collect()], more
+
+
+def share_of(key: str, hot: list, by: str) -> Column:
+    """As :func:`dealt`, for a list of hot keys."""
+    return F.when(F.col(key).isin(hot), F.pmod(F.xxhash64(by), F.lit(HOT_SHARES)).cast("int")).otherwise(0) if hot else F.lit(0)
+
+
+def shares_of(key: str, hot: list) -> Column:
+    """As :func:`copied`, for a list of hot keys: the shares a row must come for."""
+    one = F.array(F.lit(0))
+    return F.explode(F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(HOT_SHARES - 1))).otherwise(one) if hot else one)
 
 
 def prefix_sums(
