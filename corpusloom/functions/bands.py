@@ -12,46 +12,54 @@ def _col(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def banded(value: Column | str, bounds: Sequence[tuple[float, str]], rest: str) -> Column:
-    """The name of the first bound that ``value`` lies below, ``rest`` if there is none, NULL for NULL."""
+def banded(value: Column | str, bands: Sequence[tuple[float, str]]) -> Column:
+    """The name of the last band whose lower bound ``value`` reaches; NULL for NULL and for values below all bands."""
     value = _col(value)
-    out = F.when(value.isNull(), F.lit(None).cast("string"))
-    for bound, name in bounds:
-        out = out.when(value < bound, name)
-    return out.otherwise(rest)
+    out = F.lit(None).cast("string")
+    for low, name in bands:
+        out = F.when(value >= low, name).otherwise(out)
+    return out
 
 
-#: Bounds of all bands.
-STRATA = ((20, "short"), (1_000, "medium"), (100_000, "long"))
-LENGTHS = ((20, "lt20"), (100, "20_99"), (1_000, "100_999"), (100_000, "1000_99999"))
-SIMILARITIES = ((0.5, "lt50"), (0.7, "50_69"), (0.8, "70_79"), (0.85, "80_84"), (0.9, "85_89"), (0.95, "90_94"))
-TAILS = ((0.8, "lt80"), (0.85, "80_84"), (0.9, "85_89"), (0.92, "90_91"), (0.95, "92_94"), (1.0, "95_99"))
-RATIOS = ((0.25, "lt25"), (0.5, "25_49"), (0.75, "50_74"), (0.9, "75_89"))
-BUCKETS = ((3, "2"), (11, "3_10"), (51, "11_50"), (257, "51_256"))
+#: Bounds of all bands. A band reaches from its lower bound to below the next; what lies below the first has none.
+STRATA = ((0, "short"), (20, "medium"), (1_000, "long"), (100_000, "giant"))
+LENGTHS = ((0, "lt20"), (20, "20_99"), (100, "100_999"), (1_000, "1000_99999"), (100_000, "ge100000"))
+SIMILARITIES = ((0.0, "lt0.70"), (0.70, "0.70_0.80"), (0.80, "0.80_0.85"), (0.85, "0.85_0.90"), (0.90, "0.90_0.92"), (0.92, "0.92_0.95"), (0.95, "ge0.95"))
+TAILS = ((0.80, "0.80_0.85"), (0.85, "0.85_0.90"), (0.90, "0.90_0.92"), (0.92, "0.92_0.95"), (0.95, "ge0.95"))
+RATIOS = ((0.0, "lt0.10"), (0.10, "0.10_0.25"), (0.25, "0.25_0.50"), (0.50, "0.50_0.75"), (0.75, "0.75_0.90"), (0.90, "0.90_1.00"))
+BUCKETS = ((2, "2_5"), (6, "6_20"), (21, "21_64"), (65, "65_256"), (257, "gt256"))
+
+#: Labels of scored pairs, proposals for short texts, and reasons to look at a pair.
+LABELS = ("containment case", "boilerplate false positive", "true duplicate", "probable duplicate", "related but distinct", "ambiguous")
+ACTIONS = ("preserve_all_diagnostic", "exact_only_or_diagnostic", "review_only", "normal_candidate_generation")
+CATEGORIES = (
+    "similarity_boundary", "high_exact_jaccard", "cross_source", "same_domain", "boilerplate_suspect", "containment", "curated_web", "web_web", "carolina_wikipedia", "gutenberg_web",
+    "short_text", "giant_document", "parlamento_diagnostic_only",
+)
 
 
 def length_stratum(words: Column | str) -> Column:
-    return banded(words, STRATA, "giant")
+    return banded(words, STRATA)
 
 
 def length_band(words: Column | str) -> Column:
-    return banded(words, LENGTHS, "ge100000")
+    return banded(words, LENGTHS)
 
 
 def similarity_band(similarity: Column | str) -> Column:
-    return banded(similarity, SIMILARITIES, "ge95")
+    return banded(similarity, SIMILARITIES)
 
 
 def tail_band(similarity: Column | str) -> Column:
-    return banded(similarity, TAILS, "equal")
+    return banded(similarity, TAILS)
 
 
 def ratio_band(ratio: Column | str) -> Column:
-    return banded(ratio, RATIOS, "ge90")
+    return banded(ratio, RATIOS)
 
 
 def bucket_band(size: Column | str) -> Column:
-    return banded(size, BUCKETS, "gt256")
+    return banded(size, BUCKETS)
 
 
 def ratio(a: Column | str, b: Column | str) -> Column:
@@ -87,41 +95,57 @@ def containment_flags(containment: Column | str, jaccard: Column | str, length_r
 
 
 def boilerplate_suspect(jaccard: Column | str, title_jaccard: Column | str, head_a: Column | str, head_b: Column | str) -> Column:
-    """Alike texts whose titles and first 300 characters differ."""
+    """Alike texts whose titles and first 300 characters differ; a pair without both titles is no suspect."""
     a, b = (F.lower(F.substring(_col(x), 1, 300)) for x in (head_a, head_b))
     return F.coalesce((_col(jaccard) >= 0.8) & (_col(title_jaccard) < 0.2) & (a != b), F.lit(False))
 
 
-def short_action(words: Column | str, exact: Column | str, preserved: Column | str) -> Column:
-    """What may be done about a pair with a text of this many words."""
+def short_action(words: Column | str, preserved: Column | str) -> Column:
+    """What may be done about a pair whose shorter text has so many words; pairs with a preserved source are only diagnosed."""
+    preserve, exact, review, normal = ACTIONS
     words = _col(words)
-    return F.when(_col(preserved), "preserve").when(words < 20, F.when(_col(exact), "exact_only").otherwise("review_only")).when(words < 100, "review_only").otherwise("normal")
+    return F.when(_col(preserved), preserve).when(words < 20, exact).when(words < 100, review).otherwise(normal)
+
 
+def provisional_label(
+    jaccard: Column | str, containment: Column | str, distinctive: Column | str, common_share: Column | str, length_ratio: Column | str, related: Column | str, preserved: Column | str
+) -> Column:
+    """The first rule that holds for a scored pair.
 
-def provisional_label(jaccard: Column | str, containment: Column | str, boilerplate: Column | str, words: Column | str) -> Column:
-    """The first rule that holds for a scored pair."""
-    j, c = _col(jaccard), _col(containment)
+    ``containment`` is the larger of both directions, ``distinctive`` the
+    Jaccard similarity on rare n-grams, ``common_share`` the frequent part of
+    what is shared, ``related`` whether titles or hosts agree. Pairs of
+    preserved sources, and pairs without a score, are never labelled.
+    """
+    contained, boilerplate, true, probable, related_only, unclear = LABELS
+    j, c, d, m, r = map(_col, (jaccard, containment, distinctive, common_share, length_ratio))
     return (
-        F.when(_col(words) < 20, "ambiguous")
-        .when(_col(boilerplate), "boilerplate")
-        .when(j >= 0.95, "true_duplicate")
-        .when((c >= 0.9) & (j < 0.8), "containment")
-        .when(j >= 0.85, "probable_duplicate")
-        .when(j >= 0.5, "related")
-        .otherwise("ambiguous")
+        F.when(_col(preserved) | j.isNull(), unclear)
+        .when((c >= 0.9) & (j < 0.5), contained)
+        .when((j >= 0.75) & ((d < 0.3) | (m >= 0.75)), boilerplate)
+        .when((j >= 0.9) & (r >= 0.7) & (d >= 0.7), true)
+        .when((j >= 0.75) & (r >= 0.5) & (d >= 0.5), probable)
+        .when(_col(related), related_only)
+        .otherwise(unclear)
     )
 
 
-def review_categories(jaccard: Column | str, containment: Column | str, length_ratio: Column | str, source_relation: Column | str, words: Column | str) -> Column:
-    """Every reason why a pair is worth a look."""
-    j, c, r = _col(jaccard), _col(containment), _col(length_ratio)
-    return F.array_compact(
-        F.array(
-            F.when((j >= 0.78) & (j < 0.82), "near_0_80"),
-            F.when((j >= 0.83) & (j < 0.87), "near_0_85"),
-            F.when((c >= 0.9) & (j < 0.8), "containment"),
-            F.when(r < 0.5, "length_gap"),
-            F.when(_col(source_relation) == "cross_source", "cross_source"),
-            F.when(_col(words) < 100, "short"),
-        )
-    )
+def review_categories(pair: dict[str, Column]) -> Column:
+    """Every reason why a pair is worth a look.
+
+    ``pair`` holds ``boundary, jaccard, source_a, source_b, host_a, host_b,
+    boilerplate, flags, words_a, words_b``; sources in comparable form.
+    """
+    a, b = pair["source_a"], pair["source_b"]
+    curated = ("carolina", "wikipediapt", "gutenbergpt")
+    web_a, web_b = a.eqNullSafe(F.lit("gigaverbov2")), b.eqNullSafe(F.lit("gigaverbov2"))
+
+    def either_way(x: str, y: str) -> Column:
+        return ((a == x) & (b == y)) | ((a == y) & (b == x))
+
+    holds = (
+        pair["boundary"], pair["jaccard"] >= 0.8, ~a.eqNullSafe(b), pair["host_a"] == pair["host_b"], pair["boilerplate"], F.size(pair["flags"]) > 0,
+        (a.isin(*curated) & web_b) | (b.isin(*curated) & web_a), web_a & web_b, either_way("carolina", "wikipediapt"), either_way("gutenbergpt", "gigaverbov2"),
+        F.least(pair["words_a"], pair["words_b"]) < 20, F.greatest(pair["words_a"], pair["words_b"]) >= 100_000, (a == "parlamentopt") | (b == "parlamentopt"),
+    )
+    return F.array_compact(F.array(*[F.when(h, name) for h, name in zip(holds, CATEGORIES, strict=True)]))

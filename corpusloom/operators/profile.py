@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import filled
-from ..functions.text import letters, repeated_line_ratio, word_count
+from ..functions.text import letters, repeated_line_ratio, strip, word_count
 
 #: Below these a document is nearly empty; from this share on its lines repeat.
 NEAR_EMPTY_CHARACTERS, NEAR_EMPTY_WORDS, HIGH_REPETITION = 100, 20, 0.2
@@ -114,15 +114,51 @@ def repeated_contents(documents: DataFrame, n: int) -> DataFrame:
     return counts.where(F.col("records") > 1).orderBy(F.desc("records"), "content_sha256").limit(n)
 
 
+#: How speakers are introduced, and interjections of the record.
+SPEAKERS = ("o sr.", "o sr ", "a sr.", "a sr ", "o senhor", "a senhora", "sr. presidente", "sra. presidente", "presidente:", "o presidente:")
+INTERJECTIONS = ("apoiado", "muito bem", "palmas", "risas", "pausa", "interrupção", "protesto", "vozes", "nao apoiado", "não apoiado", "não!", "sim!")
+#: What marks collected works, as a pattern for any case.
+ANTHOLOGY = (
+    r"\bobras completas\b|\bobras escolhidas\b|\bcoletânea\b|\bantologia\b|\bvolume\s+[ivxlcdm0-9]+\b|\btomo\s+[ivxlcdm0-9]+\b"
+    r"|\b(?:primeira|segunda|terceira)\s+parte\b|\bpart\s+(?:i|ii|iii|iv|v|vi|vii|viii)\b"
+)
+
+
 def formula_category(text: Column | str) -> Column:
-    """What kind of short text this is: the first rule that holds."""
-    text = F.col(text) if isinstance(text, str) else text
+    """What kind of parliamentary text this is: the first rule that holds; NULL counts as empty, which is a short formula.
+
+    Texts of up to five words that hold an interjection are procedural, longer
+    ones only if they are one or begin with one as a word.
+    """
+    text = F.lower(strip(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))))
     words = word_count(text)
+
+    def some(tests: Sequence[Column]) -> Column:
+        return F.greatest(*tests)
+
+    speaker = some([F.startswith(text, F.lit(p)) for p in SPEAKERS])
+    holds = some([F.contains(text, F.lit(p)) for p in INTERJECTIONS])
+    opens = some([(text == p) | F.startswith(text, F.lit(f"{p} ")) for p in INTERJECTIONS])
+    few = words <= 5
+    return (
+        F.when(few & holds, "procedural_utterance")
+        .when(speaker, "speaker_label")
+        .when(few, "short_formula")
+        .when(opens, "procedural_utterance")
+        .when(words > 200, "unexpectedly_long_repetition")
+        .otherwise("parliamentary_formula")
+    )
+
+
+def outlier_class(text: Column | str) -> Column:
+    """Why a text is unusually large: collected works by their marks in the first 5,000 characters, a first part that comes again, plain length, or unknown; NULL for NULL."""
+    text = F.col(text) if isinstance(text, str) else text
+    n = F.length(text)
+    again = (n > 10_000) & F.contains(F.substr(text, (F.floor(n / 4) * 2 + 1).cast("int")), F.substring(text, 1, 500))
     return (
-        F.when(words == 0, "empty")
-        .when(text.rlike(r"^\s*\([^()]*\)\.?\s*$"), "stage_note")
-        .when(text.rlike(r"^\s*(?:O|A)s? Sr\.?ª?s?\.?\s"), "speaker")
-        .when(text.rlike(r"(?i)\b(?:aprovad|rejeitad|votação|sessão)"), "procedural")
-        .when(words < 20, "short")
-        .otherwise("long")
+        F.when(text.isNull(), F.lit(None).cast("string"))
+        .when(F.substring(text, 1, 5000).rlike(f"(?iU)(?:{ANTHOLOGY})"), "collected_works_or_anthology")
+        .when(again, "duplicated_concatenation")
+        .when(word_count(text) > 100_000, "legitimate_very_large_text")
+        .otherwise("unknown_outlier")
     )

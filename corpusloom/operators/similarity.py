@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import bands as B
 from ..functions.shingles import band_keys, containment, jaccard, portable_hashes, portable_minhash, shingle_set, signature_similarity
-from ..functions.text import shingle_words
-from ..runtime import Workspace, small_side
+from ..functions.text import normalized_title, shingle_words, title_tokens
+from ..functions.urls import url_host
+from ..runtime import Workspace, spread_join
 from .graph import connected_components
 
 #: Documents from which a shingle counts as frequent in the order of prefixes.
@@ -70,7 +71,7 @@ def similar_pairs(sets: DataFrame, least: float, key: str = "doc_id", frequent:
     classes = set_classes(ws.write(sets.select(key, "shingles")), key)
     reps = ws.write(classes.where(F.col(key) == F.col("class_id")).select(F.col(key).alias("id"), "shingles"))
     counts = reps.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= frequent)
-    ranked = reps.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("s")).join(small_side(counts), "s", "left")
+    ranked = reps.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("s")).join(counts, "s", "left")
     order = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "s")
     prefix = ranked.groupBy("id", "n").agg(F.array_sort(F.collect_list(order)).alias("o"))  # a document's own elements
     keep = F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1
@@ -86,8 +87,8 @@ def similar_pairs(sets: DataFrame, least: float, key: str = "doc_id", frequent:
 def set_classes(sets: DataFrame, key: str = "doc_id") -> DataFrame:
     """``sets`` with ``class_id``: the smallest key among equal sets."""
     told = sets.withColumn("__set", F.sha2(F.array_join(F.transform(F.array_sort("shingles"), lambda x: x.cast("string")), ","), 256))
-    first = told.groupBy("__set").agg(F.min(key).alias("class_id"))
-    return told.join(first, "__set").drop("__set")
+    first = told.groupBy("__set").agg(F.min(key).alias("class_id"), F.count(F.lit(1)).alias("__copies"))
+    return spread_join(told, first, ["__set"], key, size="__copies").drop("__set", "__copies")
 
 
 def bucket_postings(signatures: DataFrame, bands: int, rows: int, key: str = "doc_id", config: str = "") -> DataFrame:
@@ -173,18 +174,114 @@ def scored_pairs(pairs: DataFrame, documents: DataFrame, n: int, key: str = "doc
 
 
 def distinctive_scores(pairs: DataFrame, documents: DataFrame, n: int, least: int = 3, key: str = "doc_id") -> DataFrame:
-    """Jaccard and containment on n-grams that occur in fewer than ``least`` documents, and the share of frequent ones among all of the pair's."""
+    """Jaccard and containment on n-grams that occur in fewer than ``least`` documents, and the frequent part of the n-grams that a pair shares (0 if it shares none)."""
     common = shingle_frequency(documents, n, least).select(F.col("shingle").alias("s"))
     wanted = pairs.select(F.col("a").alias(key)).union(pairs.select("b")).distinct()
     each = shingle_sets(documents.join(wanted, key, "left_semi"), n, key).select(key, F.explode_outer("shingles").alias("s")).where(F.col("s").isNotNull())
     flagged = each.join(common.withColumn("c", F.lit(True)), "s", "left").groupBy(key).agg(
-        F.collect_list(F.when(F.col("c").isNull(), F.col("s"))).alias("rare"), F.count_if("c").alias("common"), F.count(F.lit(1)).alias("all")
+        F.collect_list(F.when(F.col("c").isNull(), F.xxhash64("s"))).alias("rare"), F.collect_list(F.when(F.col("c"), F.xxhash64("s"))).alias("common")
     )  # a document's own n-grams
-    x, y = (flagged.select(F.col(key).alias(k), F.col("rare").alias(f"r{k}"), F.col("common").alias(f"c{k}"), F.col("all").alias(f"n{k}")) for k in "ab")
-    both = pairs.join(x, "a").join(y, "b")
+    x, y = (flagged.select(F.col(key).alias(k), F.col("rare").alias(f"r{k}"), F.col("common").alias(f"c{k}")) for k in "ab")
+    both = pairs.join(x, "a").join(y, "b").select(
+        "a", "b", F.size(F.array_intersect("ra", "rb")).alias("rare"), F.size(F.array_intersect("ca", "cb")).alias("common"), F.size("ra").alias("na"), F.size("rb").alias("nb")
+    )
+    whole, low, shared = F.col("na") + F.col("nb") - F.col("rare"), F.least("na", "nb"), F.col("rare") + F.col("common")
     return both.select(
-        "a", "b", jaccard("ra", "rb").alias("distinctive_jaccard"), containment("ra", "rb").alias("distinctive_containment"), ((F.col("ca") + F.col("cb")) / (F.col("na") + F.col("nb"))).alias("common_share")
+        "a", "b", F.when(whole > 0, F.col("rare") / whole).otherwise(0.0).alias("distinctive_jaccard"), F.when(low > 0, F.col("rare") / low).otherwise(0.0).alias("distinctive_containment"),
+        F.when(shared > 0, F.col("common") / shared).otherwise(0.0).alias("common_share"),
+    )
+
+
+def judged_pairs(pairs: DataFrame, documents: DataFrame, n: int, boundaries: Sequence[float], preserved: Sequence[str], least: int = 3, nearest: int = 8) -> DataFrame:
+    """Given pairs ``(a, b)`` with all scores on n-grams, both records' sources and words, flags, ``categories``, ``label`` and ``action``.
+
+    ``documents(doc_id, text, source, words, title, original_url)``. The
+    ``nearest`` pairs of each boundary are at a boundary. NULL or empty titles
+    and URLs agree with nothing. Texts stay where they are but for their first
+    300 characters.
+    """
+    ws = Workspace(documents.sparkSession)
+    scores = ws.write(scored_pairs(pairs.select("a", "b"), documents, n).drop("length_ratio", "flags"))
+    told = documents.select(
+        F.col("doc_id").alias("record_id"), "source", "words", F.substring("text", 1, 300).alias("head"), normalized_title("title").alias("full_title"), title_tokens("title").alias("title"),
+        url_host("original_url").alias("host"),
+    )
+    rows = scores.join(distinctive_scores(scores.select("a", "b"), documents, n, least), ["a", "b"])
+    rows = with_endpoints(rows.withColumnsRenamed({"a": "id_a", "b": "id_b"}), told, ("source", "words", "head", "full_title", "title", "host")).withColumnsRenamed({"id_a": "a", "id_b": "b"})
+    edge = closest_to(scores.select("a", "b", "jaccard"), "jaccard", boundaries, nearest, ("a", "b")).select("a", "b", F.lit(True).alias("boundary"))
+    rows = rows.join(F.broadcast(edge), ["a", "b"], "left").withColumn("boundary", F.coalesce("boundary", F.lit(False)))  # nearest x boundaries rows
+    titles = F.when((F.size("title_a") > 0) & (F.size("title_b") > 0), jaccard("title_a", "title_b"))
+    rows = rows.withColumns({"title_similarity": titles, "length_ratio": B.ratio("words_a", "words_b")}).withColumn("boilerplate", B.boilerplate_suspect("jaccard", "title_similarity", "head_a", "head_b"))
+    rows = rows.withColumn("flags", B.containment_flags("containment", "jaccard", "length_ratio", "shared"))
+    kept = F.coalesce(F.col("source_a").isin(*preserved), F.lit(False)) | F.coalesce(F.col("source_b").isin(*preserved), F.lit(False))
+    related = F.coalesce(F.col("full_title_a") == F.col("full_title_b"), F.lit(False)) | F.coalesce(F.col("host_a") == F.col("host_b"), F.lit(False))
+    names = ("boundary", "jaccard", "source_a", "source_b", "host_a", "host_b", "boilerplate", "flags", "words_a", "words_b")
+    rows = rows.withColumns({"preserved": kept, "categories": B.review_categories({c: F.col(c) for c in names})})
+    label = B.provisional_label("jaccard", F.greatest("a_in_b", "b_in_a"), "distinctive_jaccard", "common_share", "length_ratio", related, "preserved")
+    return rows.withColumns({"label": label, "action": B.short_action(F.least("words_a", "words_b"), "preserved")}).drop("head_a", "head_b", "title_a", "title_b", "full_title_a", "full_title_b")
+
+
+#: Policies of acceptance as (name, texts of 20 words or more, rare n-grams alike).
+POLICIES = (("P1", False, False), ("P2", True, False), ("P3", True, False), ("P4", True, True))
+
+
+def policy_matrix(judged: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """What each policy accepts of :func:`judged_pairs`: pairs, those labelled as duplicates, precision by label, and recall of all pairs of ``threshold`` or more.
+
+    P3 differs from P2 only in that it reports containment (``contained``)
+    beside what it accepts. Pairs of preserved sources are never accepted.
+    """
+    alike = F.coalesce(F.col("jaccard") >= threshold, F.lit(False))
+    positive = F.col("label").isin("true duplicate", "probable duplicate")
+    parts = None
+    for name, short, distinctive in POLICIES:
+        passes = alike
+        if short:
+            passes = passes & (F.least("words_a", "words_b") >= 20)
+        if distinctive:
+            passes = passes & (F.col("distinctive_jaccard") >= 0.75)
+        taken = passes & ~F.col("preserved")
+        part = judged.agg(
+            F.count_if(taken).alias("accepted"), F.count_if(taken & positive).alias("duplicates"), F.count_if(alike).alias("alike"), F.count_if(passes).alias("alike_accepted"),
+            F.count_if(F.lit(name in ("P3", "P4")) & (F.col("label") == "containment case")).alias("contained"),
+        ).withColumn("policy", F.lit(name))
+        parts = part if parts is None else parts.unionByName(part)
+    rate = [F.round(F.col(x) / F.nullif(F.col(y), F.lit(0)), 9).alias(n) for x, y, n in (("duplicates", "accepted", "precision"), ("alike_accepted", "alike", "recall"))]
+    return parts.select("policy", "accepted", "duplicates", "alike", "alike_accepted", "contained", *rate)
+
+
+def tail_summary(judged: DataFrame) -> DataFrame:
+    """Alike pairs by tail band and what they have in common: unordered pair of sources, sources, hosts and containment flags (these in any band); ``scope, value, tail, partition, pairs``."""
+    tail = B.tail_band("jaccard")
+    partition = F.when(F.col("preserved"), "with_preserved").otherwise("without_preserved")
+    sources = F.array_distinct(F.array("source_a", "source_b"))
+    hosts = F.array_distinct(F.array("host_a", "host_b"))
+    scopes = {"source_pair": F.array(B.unordered_pair("source_a", "source_b")), "source": sources, "host": hosts, "containment_flag": F.col("flags")}
+    parts = None
+    for name, values in scopes.items():
+        part = judged.select(F.lit(name).alias("scope"), F.explode(F.array_compact(values)).alias("value"), tail.alias("tail"), partition.alias("partition"))
+        part = part if name == "containment_flag" else part.where(F.col("tail").isNotNull())
+        parts = part if parts is None else parts.unionByName(part)
+    return parts.groupBy("scope", "value", "tail", "partition").agg(F.count(F.lit(1)).alias("pairs"))
+
+
+def review_pool(judged: DataFrame, rank: Column, each: int = 12, most: int = 100) -> DataFrame:
+    """A sample of pairs for people to read: the ``each`` of smallest rank of every category (pairs without one are ``uncategorized``), then the ``most`` that matter most.
+
+    First pairs of preserved sources, then the pair of reference works, then
+    frequent n-grams, then containment; then by falling similarity and ids.
+    """
+    names = F.when(F.size("categories") > 0, F.col("categories")).otherwise(F.array(F.lit("uncategorized")))
+    tagged = judged.withColumn("category", F.explode(names)).withColumn("__r", rank)
+    w = Window.partitionBy("category").orderBy("__r", "a", "b")
+    few = tagged.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= each).groupBy("a", "b").agg(
+        *[F.first(c).alias(c) for c in ("preserved", "source_a", "source_b", "common_share", "a_in_b", "b_in_a", "jaccard", "label")]
     )
+    x, y = F.least("source_a", "source_b"), F.greatest("source_a", "source_b")
+    priority = (
+        F.when(F.col("preserved"), 0).when((x == "carolina") & (y == "wikipediapt"), 1).when(F.col("common_share") >= 0.5, 2).when(F.greatest("a_in_b", "b_in_a") >= 0.8, 3).otherwise(4)
+    )
+    return few.withColumn("priority", priority).orderBy("priority", F.desc("jaccard"), "a", "b").limit(most).select("a", "b", "priority", "label")
 
 
 def estimate_error(pairs: DataFrame, signatures: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -224,9 +321,41 @@ def owners(components: DataFrame, records: DataFrame, order: Sequence[Column]) -
     return joined.groupBy("component").agg(best.alias("w"), F.count(F.lit(1)).alias("members")).select("component", F.col("w.id").alias("owner_id"), "members")
 
 
-def pair_owner(words_a: Column, words_b: Column, tier_a: Column, tier_b: Column, id_a: Column, id_b: Column) -> Column:
-    """The better record of a pair: lower tier, more words, smaller id."""
-    return F.least(F.struct(tier_a.alias("t"), (-words_a).alias("w"), id_a.alias("id")), F.struct(tier_b.alias("t"), (-words_b).alias("w"), id_b.alias("id")))["id"]
+#: The order of curated sources, and the tiers of all others.
+CURATED_ORDER = ("gutenbergpt", "wikipediapt", "carolina")
+OTHER_TIER = 9
+
+
+def claim(end: str, tiers: dict[str, int]) -> Column:
+    """What a record's claim to own a pair or a cluster is ordered by: curated sources first, then the tier of the subset, then more words, then the id.
+
+    ``end`` is the suffix of ``source, subset, words, record_id`` (``_a``, ``_b`` or none).
+    """
+    source = F.col(f"source{end}")
+    rank = F.lit(OTHER_TIER)
+    for i, name in enumerate(CURATED_ORDER):
+        rank = F.when(source == name, i).otherwise(rank)
+    rank = F.when(source == "gigaverbov2", len(CURATED_ORDER)).otherwise(rank)
+    by_subset = F.lit(5)
+    for subset, tier in tiers.items():
+        by_subset = F.when(F.col(f"subset{end}") == subset, tier).otherwise(by_subset)
+    tier = F.when(source.isin(*CURATED_ORDER), 0).when(source == "gigaverbov2", by_subset).otherwise(OTHER_TIER)
+    return F.struct(tier.alias("tier"), rank.alias("rank"), (-F.coalesce(f"words{end}", F.lit(0))).alias("words"), F.col(f"record_id{end}").alias("id"))
+
+
+def pair_owner(tiers: dict[str, int]) -> Column:
+    """The better record of a pair by :func:`claim`; an encyclopedia owns what a curated collection took from it.
+
+    That is so where the collection's record has ``wik`` in its subset or
+    ``wikipedia`` in its URL. Needs ``source, subset, words, record_id, original_url`` with both suffixes.
+    """
+
+    def taken(mine: str, other: str) -> Column:
+        marked = F.coalesce(F.col(f"subset{mine}").contains("wik"), F.lit(False)) | F.coalesce(F.lower(f"original_url{mine}").contains("wikipedia"), F.lit(False))
+        return (F.col(f"source{mine}") == "carolina") & (F.col(f"source{other}") == "wikipediapt") & marked
+
+    best = F.least(claim("_a", tiers), claim("_b", tiers))["id"]
+    return F.when(taken("_a", "_b"), F.col("record_id_b")).when(taken("_b", "_a"), F.col("record_id_a")).otherwise(best)
 
 
 def closest_to(pairs: DataFrame, value: str, boundaries: Sequence[float], k: int, key: Sequence[str]) -> DataFrame:

@@ -14,7 +14,10 @@ from ..operators.exact_dedup import Ownership
 RULE = Ownership(
     primary=("carolina", "gutenbergpt", "wikipediapt"),
     preserved=("parlamentopt",),
-    tiers={"finepdfsporlatn": 1, "crawlptdedup": 2, "quati": 2, "blogset": 2, "fineweb2pt": 3, "mc4pt": 4, "oscar": 4, "culturax": 4},
+    tiers={
+        "finepdfsporlatn": 1, "crawlptdedup": 2, "quati": 2, "blogset": 2, "fineweb2pt": 3,
+        "mc4pt": 4, "hplt2pt": 4, "hplt1pt": 4, "commoncrawl": 4, "oscar": 4, "culturax": 4,
+    },
 )
 SEED = 20261013
 
@@ -78,7 +81,9 @@ ND = f"nd AS ({_current('normalized_document', words_sql('text'))})"
 REC = f"rec AS ({_current('records', 'normalized_words')})"
 WEB = f"web AS (SELECT * REPLACE ({key_sql('source')} AS source, {key_sql('subset')} AS subset) FROM documents)"
 
-_TIER = "CASE WHEN source IN ('carolina', 'gutenbergpt', 'wikipediapt') THEN 0 " + " ".join(f"WHEN subset = '{s}' THEN {t}" for s, t in RULE.tiers.items()) + " ELSE 5 END"
+SUBSET_TIER = """CASE subset WHEN 'finepdfsporlatn' THEN 1 WHEN 'crawlptdedup' THEN 2 WHEN 'quati' THEN 2 WHEN 'blogset' THEN 2 WHEN 'fineweb2pt' THEN 3
+    WHEN 'mc4pt' THEN 4 WHEN 'hplt2pt' THEN 4 WHEN 'hplt1pt' THEN 4 WHEN 'commoncrawl' THEN 4 WHEN 'oscar' THEN 4 WHEN 'culturax' THEN 4 ELSE 5 END"""
+_TIER = f"CASE WHEN source IN ('carolina', 'gutenbergpt', 'wikipediapt') THEN 0 ELSE {SUBSET_TIER} END"
 RESOLVED = f"""{REC},
 claim AS (
     SELECT *, source = 'parlamentopt' AS preserved, CASE WHEN source IN ('carolina', 'gutenbergpt', 'wikipediapt') THEN 0 ELSE 1 END AS kind, {_TIER} AS tier FROM rec),

@@ -116,6 +116,11 @@ def formula_categories(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy(P.formula_category("text").alias("category")).agg(F.count(F.lit(1)).alias("documents"))
 
 
+def outlier_classes(spark: SparkSession, d: str) -> DataFrame:
+    """PF15: why texts are long, by source."""
+    return web(spark, d).groupBy("source", P.outlier_class("text").alias("outlier")).agg(F.count(F.lit(1)).alias("documents"))
+
+
 def _resolution(spark: SparkSession, d: str) -> DataFrame:
     return D.resolve(records(spark, d), RULE)
 
@@ -169,11 +174,12 @@ QUERIES = {
     f.__name__: f
     for f in (
         normalized_texts, contract_errors, normalize_rejects, subset_exclusion, length_bands, minimum_length, titled_texts, url_forms, line_ratios, corpus_profile, length_percentiles,
-        threshold_counts, word_shares, metadata_coverage, top_dates, word_outliers, repeated_contents, formula_categories, exact_dedup_resolution, exact_dedup_accounting,
+        threshold_counts, word_shares, metadata_coverage, top_dates, word_outliers, repeated_contents, formula_categories, outlier_classes, exact_dedup_resolution, exact_dedup_accounting,
         exact_dedup_summary, duplicate_edges, cluster_index, source_pairs, preserved_repeats, identity_audit, point_lookup,
     )
 }
 
+_INTERJECTIONS = "['apoiado', 'muito bem', 'palmas', 'risas', 'pausa', 'interrupção', 'protesto', 'vozes', 'nao apoiado', 'não apoiado', 'não!', 'sim!']"
 _NORM = f"trim(nfc_normalize(regexp_replace(text, '\\r\\n?', chr(10), 'g')), {TRIM_SQL})"
 _STRATUM = "CASE WHEN w < 20 THEN 'short' WHEN w < 1000 THEN 'medium' WHEN w < 100000 THEN 'long' ELSE 'giant' END"
 _BAND = "CASE WHEN w < 20 THEN 'lt20' WHEN w < 100 THEN '20_99' WHEN w < 1000 THEN '100_999' WHEN w < 100000 THEN '1000_99999' ELSE 'ge100000' END"
@@ -225,6 +231,16 @@ SQL = {
         SELECT source, max(n) AS documents, max(w) FILTER (WHERE i = n // 2) AS median_words, max(w) FILTER (WHERE i = n * 9 // 10) AS p90_words, max(w) AS most_words,
         min(doc_id) FILTER (WHERE w = m) AS longest FROM (SELECT *, max(w) OVER (PARTITION BY source) AS m FROM r) GROUP BY source""",
     "repeated_contents": f"WITH {REC} SELECT content_sha256, count(*) AS records, max(words) AS words FROM rec WHERE content_sha256 IS NOT NULL GROUP BY 1 HAVING count(*) > 1 ORDER BY 2 DESC, 1 LIMIT 20",
+    "formula_categories": f"""WITH {WEB}, n AS (SELECT lower(trim(coalesce(text, ''), {TRIM_SQL})) AS t FROM web WHERE source = 'parlamentopt'), w AS (SELECT t, {words_sql("t")} AS w,
+            list_bool_or(list_transform({_INTERJECTIONS}, lambda p: contains(t, p))) AS holds, list_bool_or(list_transform({_INTERJECTIONS}, lambda p: t = p OR starts_with(t, p || ' '))) AS opens,
+            list_bool_or(list_transform(['o sr.', 'o sr ', 'a sr.', 'a sr ', 'o senhor', 'a senhora', 'sr. presidente', 'sra. presidente', 'presidente:', 'o presidente:'], lambda p: starts_with(t, p))) AS speaker FROM n)
+        SELECT CASE WHEN w <= 5 AND holds THEN 'procedural_utterance' WHEN speaker THEN 'speaker_label' WHEN w <= 5 THEN 'short_formula' WHEN opens THEN 'procedural_utterance'
+            WHEN w > 200 THEN 'unexpectedly_long_repetition' ELSE 'parliamentary_formula' END AS category, count(*) AS documents FROM w GROUP BY 1""",
+    "outlier_classes": rf"""WITH {WEB}, n AS (SELECT source, text, {words_sql("text")} AS w FROM web)
+        SELECT source, CASE WHEN text IS NULL THEN NULL
+            WHEN regexp_matches(left(text, 5000), '(?i)\bobras completas\b|\bobras escolhidas\b|\bcoletânea\b|\bantologia\b|\bvolume\s+[ivxlcdm0-9]+\b|\btomo\s+[ivxlcdm0-9]+\b|\b(primeira|segunda|terceira)\s+parte\b|\bpart\s+(i|ii|iii|iv|v|vi|vii|viii)\b') THEN 'collected_works_or_anthology'
+            WHEN length(text) > 10000 AND contains(substr(text, (length(text) // 4) * 2 + 1), left(text, 500)) THEN 'duplicated_concatenation'
+            WHEN w > 100000 THEN 'legitimate_very_large_text' ELSE 'unknown_outlier' END AS outlier, count(*) AS documents FROM n GROUP BY 1, 2""",
     "exact_dedup_resolution": f"WITH {RESOLVED} SELECT * FROM resolved",
     "exact_dedup_accounting": f"""WITH {RESOLVED}, a AS (
         SELECT source, subset, CASE WHEN grouping(subset) = 1 THEN 'source_total' ELSE 'source_subset' END AS scope, count(*) AS documents_before,

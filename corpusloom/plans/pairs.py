@@ -12,10 +12,15 @@ from ..functions.text import title_tokens
 from ..operators import similarity as S
 from ..operators.graph import connected_components
 from ..runtime import Workspace
-from .base import ND, REC, RULE, documents, hex_sql, read, records
+from .base import ND, REC, RULE, SUBSET_TIER, documents, hex_sql, read, records
 
 THRESHOLDS = (0.8, 0.85, 0.9, 0.92, 0.95)
 PERMUTATIONS, BANDS, ROWS = 16, 8, 2
+#: Fixed values: (name, words of an n-gram, permutations, bands, rows a band).
+CONFIGURATIONS = [
+    ("word5_64_16x4", 5, 64, 16, 4), ("word5_64_8x8", 5, 64, 8, 8), ("word5_128_32x4", 5, 128, 32, 4), ("word5_128_16x8", 5, 128, 16, 8), ("word5_128_8x16", 5, 128, 8, 16),
+    ("word5_256_32x8", 5, 256, 32, 8), ("word5_256_16x16", 5, 256, 16, 16), ("word5_256_8x32", 5, 256, 8, 32), ("word3_128_32x4", 3, 128, 32, 4), ("word7_128_32x4", 7, 128, 32, 4),
+]
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -61,17 +66,16 @@ def threshold_sweep(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cluster_owners(spark: SparkSession, d: str) -> DataFrame:
-    """The owner of each component: lower tier, more words, smaller id."""
-    rows = records(spark, d).withColumn("tier", RULE.tier()).select("record_id", "tier", "words")
-    return S.owners(pair_components(spark, d), rows, (F.col("tier"), -F.col("words")))
+    """The owner of each component: curated sources in their order, then lower tier, more words, smaller id."""
+    rows = records(spark, d).select("record_id", "source", "subset", "words")
+    return S.owners(pair_components(spark, d), rows, (S.claim("", RULE.tiers),))
 
 
 def pair_owners(spark: SparkSession, d: str) -> DataFrame:
-    """The better record of each pair."""
-    rows = records(spark, d).withColumn("tier", RULE.tier()).select("record_id", "tier", "words")
-    both = S.with_endpoints(_pairs(spark, d), rows, ("tier", "words"))
-    owner = S.pair_owner(F.col("words_a"), F.col("words_b"), F.col("tier_a"), F.col("tier_b"), F.col("id_a"), F.col("id_b"))
-    return both.select("id_a", "id_b", owner.alias("owner_id"))
+    """The better record of each pair; the encyclopedia before what was taken from it."""
+    rows = records(spark, d, "original_url").select("record_id", "source", "subset", "words", "original_url")
+    both = S.with_endpoints(_pairs(spark, d), rows, ("source", "subset", "words", "original_url")).withColumns({"record_id_a": F.col("id_a"), "record_id_b": F.col("id_b")})
+    return both.select("id_a", "id_b", S.pair_owner(RULE.tiers).alias("owner_id"))
 
 
 def review_panel(spark: SparkSession, d: str) -> DataFrame:
@@ -112,19 +116,37 @@ def scored_pairs(spark: SparkSession, d: str) -> DataFrame:
     return _scored(spark, d).select("a", "b", *ratio, "shared", "only_a", "only_b", F.array_join("flags", ";").alias("flags"))
 
 
+def _judged(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of 0.5 or more on 5-grams, judged on these."""
+    told = documents(spark, d, "text", "title", "original_url").withColumnRenamed("record_id", "doc_id")
+    near = S.similar_pairs(S.shingled(_texts(spark, d), 5), 0.5).select("a", "b")
+    return S.judged_pairs(near, told, 5, THRESHOLDS, RULE.preserved)
+
+
 def pair_labels(spark: SparkSession, d: str) -> DataFrame:
     """PF10, PF11, PF12, PF13: what the scores and both records say about a pair, and why it may be worth a look."""
-    told = documents(spark, d, "title", F.substring("text", 1, 300).alias("head"))
-    rows = S.with_endpoints(_scored(spark, d).withColumnsRenamed({"a": "id_a", "b": "id_b"}), told, ("source", "words", "title", "head"))
-    rows = rows.withColumns({"title_a": F.nullif("title_a", F.lit("")), "title_b": F.nullif("title_b", F.lit("")), "t_a": title_tokens("title_a"), "t_b": title_tokens("title_b")})
-    # records without a title say nothing about their titles
-    titles = F.when(F.col("title_a").isNotNull() & F.col("title_b").isNotNull(), F.when(F.size("t_a") + F.size("t_b") == 0, 1.0).otherwise(jaccard("t_a", "t_b")))
-    words = F.least("words_a", "words_b")
-    preserved = F.coalesce(F.col("source_a").isin(*RULE.preserved), F.lit(False)) | F.coalesce(F.col("source_b").isin(*RULE.preserved), F.lit(False))
-    label = B.provisional_label("jaccard", "containment", B.boilerplate_suspect("jaccard", titles, "head_a", "head_b"), words)
-    reasons = B.review_categories("jaccard", "containment", "length_ratio", B.relation("source_a", "source_b"), words)
-    action = B.short_action(words, F.col("jaccard") == 1, preserved)
-    return rows.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), label.alias("label"), F.array_join(reasons, ";").alias("reasons"), action.alias("action"))
+    return _judged(spark, d).select("a", "b", "label", F.array_join("categories", ";").alias("categories"), "action")
+
+
+def policy_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """What four policies accept at 0.85."""
+    return S.policy_matrix(_judged(spark, d))
+
+
+def exact_tail_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Alike pairs by tail band, sources, hosts and containment."""
+    return S.tail_summary(_judged(spark, d))
+
+
+def review_pool(spark: SparkSession, d: str) -> DataFrame:
+    """SM11, W11: pairs for people to read."""
+    return S.review_pool(_judged(spark, d), F.sha2(F.concat(F.lit("review-v1\0"), "category", F.lit("\0"), "a", F.lit("\0"), "b"), 256))
+
+
+def lsh_configurations(spark: SparkSession, d: str) -> DataFrame:
+    """Every configuration of bands, with the chance that a pair of 0.85 shares one."""
+    rows = spark.createDataFrame(CONFIGURATIONS, "config string, words int, permutations int, bands int, rows int")
+    return rows.withColumn("found_at_85", F.round(1 - F.pow(1 - F.pow(F.lit(0.85), F.col("rows")), F.col("bands")), 6))
 
 
 def distinctive_scores(spark: SparkSession, d: str) -> DataFrame:
@@ -170,7 +192,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         merged_pairs, described_pairs, candidate_summary, source_pair_summary, pair_components, threshold_sweep, cluster_owners, pair_owners, review_panel, title_similarity,
-        shingle_frequency, similar_pairs, scored_pairs, pair_labels, distinctive_scores, minhash_signatures, bucket_metrics, lsh_recall, minhash_error,
+        shingle_frequency, similar_pairs, scored_pairs, pair_labels, policy_matrix, exact_tail_summary, review_pool, lsh_configurations, distinctive_scores, minhash_signatures, bucket_metrics, lsh_recall, minhash_error,
     )
 }
 
@@ -179,16 +201,21 @@ _MERGED = f"""merged AS (SELECT least(a, b) AS id_a, greatest(a, b) AS id_b, bit
     WHERE a <> b AND estimated_similarity BETWEEN 0 AND 1 AND NOT isnan(estimated_similarity) GROUP BY 1, 2)"""
 
 
-def _case(x: str, bounds: tuple, rest: str) -> str:
-    return f"CASE WHEN {x} IS NULL THEN NULL " + " ".join(f"WHEN {x} < {b} THEN '{n}'" for b, n in bounds) + f" ELSE '{rest}' END"
-
-
 _DESCRIBED = f"""{REC}, {_MERGED}, ends AS (
     SELECT m.*, a.source AS sa, b.source AS sb, a.words AS wa, b.words AS wb, concat_ws('/', a.source, a.subset) AS ka, concat_ws('/', b.source, b.subset) AS kb
     FROM merged m JOIN rec a ON a.record_id = id_a JOIN rec b ON b.record_id = id_b),
 lengths AS (SELECT *, CASE WHEN wa IS NULL OR wb IS NULL THEN NULL WHEN greatest(wa, wb) = 0 THEN 1.0 ELSE least(wa, wb) / greatest(wa, wb) END AS ratio FROM ends),
-described AS (SELECT *, {_case("estimated_similarity", B.SIMILARITIES, "ge95")} AS similarity_band, {_case("estimated_similarity", B.TAILS, "equal")} AS tail_band,
-    {_case("max_bucket_size", B.BUCKETS, "gt256")} AS bucket_band, {_case("least(wa, wb)", B.LENGTHS, "ge100000")} AS length_band, {_case("ratio", B.RATIOS, "ge90")} AS ratio_band,
+described AS (SELECT *,
+    CASE WHEN estimated_similarity < 0.7 THEN 'lt0.70' WHEN estimated_similarity < 0.8 THEN '0.70_0.80' WHEN estimated_similarity < 0.85 THEN '0.80_0.85' WHEN estimated_similarity < 0.9 THEN '0.85_0.90'
+        WHEN estimated_similarity < 0.92 THEN '0.90_0.92' WHEN estimated_similarity < 0.95 THEN '0.92_0.95' WHEN estimated_similarity IS NOT NULL THEN 'ge0.95' END AS similarity_band,
+    CASE WHEN estimated_similarity < 0.8 THEN NULL WHEN estimated_similarity < 0.85 THEN '0.80_0.85' WHEN estimated_similarity < 0.9 THEN '0.85_0.90'
+        WHEN estimated_similarity < 0.92 THEN '0.90_0.92' WHEN estimated_similarity < 0.95 THEN '0.92_0.95' WHEN estimated_similarity IS NOT NULL THEN 'ge0.95' END AS tail_band,
+    CASE WHEN max_bucket_size < 2 THEN NULL WHEN max_bucket_size < 6 THEN '2_5' WHEN max_bucket_size < 21 THEN '6_20' WHEN max_bucket_size < 65 THEN '21_64'
+        WHEN max_bucket_size < 257 THEN '65_256' WHEN max_bucket_size IS NOT NULL THEN 'gt256' END AS bucket_band,
+    CASE WHEN least(wa, wb) < 20 THEN 'lt20' WHEN least(wa, wb) < 100 THEN '20_99' WHEN least(wa, wb) < 1000 THEN '100_999' WHEN least(wa, wb) < 100000 THEN '1000_99999'
+        WHEN least(wa, wb) IS NOT NULL THEN 'ge100000' END AS length_band,
+    CASE WHEN ratio < 0.1 THEN 'lt0.10' WHEN ratio < 0.25 THEN '0.10_0.25' WHEN ratio < 0.5 THEN '0.25_0.50' WHEN ratio < 0.75 THEN '0.50_0.75' WHEN ratio < 0.9 THEN '0.75_0.90'
+        WHEN ratio IS NOT NULL THEN '0.90_1.00' END AS ratio_band,
     CASE WHEN sa IS NOT DISTINCT FROM sb THEN 'within_source' ELSE 'cross_source' END AS relation, least(ka, kb) || ' | ' || greatest(ka, kb) AS pair_key FROM lengths)"""
 
 
@@ -206,7 +233,8 @@ def _sweep() -> str:
     return f"WITH RECURSIVE {_MERGED}, " + ", ".join(_reach(t, f"comp{i}") for i, t in enumerate(THRESHOLDS)) + " ".join([" " + " UNION ALL ".join(parts)])
 
 
-_TIER = "CASE WHEN source IN ('carolina', 'gutenbergpt', 'wikipediapt') THEN 0 " + " ".join(f"WHEN subset = '{s}' THEN {t}" for s, t in RULE.tiers.items()) + " ELSE 5 END"
+_CLAIM = f"""CASE WHEN source IN ('gutenbergpt', 'wikipediapt', 'carolina') THEN 0 WHEN source = 'gigaverbov2' THEN {SUBSET_TIER} ELSE 9 END AS tier,
+    CASE source WHEN 'gutenbergpt' THEN 0 WHEN 'wikipediapt' THEN 1 WHEN 'carolina' THEN 2 WHEN 'gigaverbov2' THEN 3 ELSE 9 END AS place, -coalesce(words, 0) AS less"""
 _W = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+')"
 
 
@@ -228,6 +256,37 @@ _SCORED = f"""{_near(0.5)}, {_sets(3, "three")}, sc AS (
     SELECT a, b, len(list_intersect(x.s, y.s)) AS shared, len(x.s) AS nx, len(y.s) AS ny FROM near JOIN three x ON x.doc_id = a JOIN three y ON y.doc_id = b),
 scored AS (SELECT a, b, shared, shared / (nx + ny - shared) AS jaccard, shared / least(nx, ny) AS containment, shared / nx AS a_in_b, shared / ny AS b_in_a, least(nx, ny) / greatest(nx, ny) AS length_ratio,
     nx - shared AS only_a, ny - shared AS only_b FROM sc)"""
+_RARE = """f AS (SELECT g, count(*) AS n FROM (SELECT unnest(s) AS g FROM five) GROUP BY g),
+each AS (SELECT doc_id, unnest(s) AS g FROM five WHERE doc_id IN (SELECT a FROM near UNION SELECT b FROM near)),
+r AS (SELECT doc_id, coalesce(list(g) FILTER (WHERE n < 3), []) AS rare, list(g) AS every FROM each JOIN f USING (g) GROUP BY doc_id),
+both_r AS (SELECT a, b, len(x.rare) AS na, len(y.rare) AS nb, len(list_intersect(x.rare, y.rare)) AS sr, len(list_intersect(x.every, y.every)) AS sh FROM near JOIN r x ON x.doc_id = a JOIN r y ON y.doc_id = b),
+rare AS (SELECT a, b, CASE WHEN na + nb - sr > 0 THEN sr / (na + nb - sr) ELSE 0.0 END AS dj, CASE WHEN least(na, nb) > 0 THEN sr / least(na, nb) ELSE 0.0 END AS dc,
+    CASE WHEN sh > 0 THEN (sh - sr) / sh ELSE 0.0 END AS common_share FROM both_r)"""
+_URL_HOST = r"""nullif(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(
+    regexp_extract(trim(original_url), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', '')), '^www\.', ''), '\.$', ''), '')"""
+_TITLE_WORDS = r"regexp_extract_all(lower(coalesce(title, '')), '[\p{L}\p{N}_]+')"
+_JUDGED = f"""WITH {_near(0.5)}, {_RARE}, info AS (SELECT record_id, source, words, lower(left(text, 300)) AS head, {_URL_HOST} AS host, list_distinct({_TITLE_WORDS}) AS t,
+    CASE WHEN len({_TITLE_WORDS}) >= 3 AND length(array_to_string({_TITLE_WORDS}, ' ')) >= 12 THEN array_to_string({_TITLE_WORDS}, ' ') END AS full_title FROM {ND[6:]}),
+sc5 AS (SELECT a, b, len(list_intersect(x.s, y.s)) AS shared, len(x.s) AS nx, len(y.s) AS ny FROM near JOIN five x ON x.doc_id = a JOIN five y ON y.doc_id = b),
+joined AS (SELECT sc5.a, sc5.b, shared, shared / (nx + ny - shared) AS jaccard, shared / least(nx, ny) AS containment, shared / nx AS a_in_b, shared / ny AS b_in_a, dj, dc, common_share,
+    x.source AS sa, y.source AS sb, x.words AS wa, y.words AS wb, x.host AS ha, y.host AS hb, CASE WHEN greatest(x.words, y.words) = 0 THEN 1.0 ELSE least(x.words, y.words) / greatest(x.words, y.words) END AS ratio,
+    CASE WHEN len(x.t) > 0 AND len(y.t) > 0 THEN len(list_intersect(x.t, y.t)) / (len(x.t) + len(y.t) - len(list_intersect(x.t, y.t))) END AS titles, x.head <> y.head AS heads_differ,
+    coalesce(x.full_title = y.full_title, false) OR coalesce(x.host = y.host, false) AS related, 'parlamentopt' IN (x.source, y.source) AS preserved
+    FROM sc5 JOIN rare ON rare.a = sc5.a AND rare.b = sc5.b JOIN info x ON x.record_id = sc5.a JOIN info y ON y.record_id = sc5.b),
+edge AS (SELECT DISTINCT a, b FROM (SELECT a, b, t, jaccard FROM joined, (SELECT unnest([0.8, 0.85, 0.9, 0.92, 0.95]::DOUBLE[]) AS t) QUALIFY row_number() OVER (PARTITION BY t ORDER BY round(abs(jaccard - t), 12), a, b) <= 8)),
+flagged AS (SELECT joined.*, edge.a IS NOT NULL AS boundary, coalesce(jaccard >= 0.8 AND titles < 0.2 AND heads_differ, false) AS boilerplate,
+    concat_ws(';', CASE WHEN containment >= 0.9 AND jaccard < 0.8 THEN 'high_containment' END, CASE WHEN containment >= 0.95 AND ratio < 0.5 THEN 'short_in_long' END,
+        CASE WHEN shared >= 100 AND jaccard < 0.8 THEN 'large_overlap' END) AS flags FROM joined LEFT JOIN edge ON edge.a = joined.a AND edge.b = joined.b),
+judged AS (SELECT *,
+    CASE WHEN preserved THEN 'ambiguous' WHEN greatest(a_in_b, b_in_a) >= 0.9 AND jaccard < 0.5 THEN 'containment case' WHEN jaccard >= 0.75 AND (dj < 0.3 OR common_share >= 0.75) THEN 'boilerplate false positive'
+        WHEN jaccard >= 0.9 AND ratio >= 0.7 AND dj >= 0.7 THEN 'true duplicate' WHEN jaccard >= 0.75 AND ratio >= 0.5 AND dj >= 0.5 THEN 'probable duplicate' WHEN related THEN 'related but distinct' ELSE 'ambiguous' END AS label,
+    concat_ws(';', CASE WHEN boundary THEN 'similarity_boundary' END, CASE WHEN jaccard >= 0.8 THEN 'high_exact_jaccard' END, CASE WHEN sa IS DISTINCT FROM sb THEN 'cross_source' END,
+        CASE WHEN ha = hb THEN 'same_domain' END, CASE WHEN boilerplate THEN 'boilerplate_suspect' END, CASE WHEN flags <> '' THEN 'containment' END,
+        CASE WHEN sa IN ('carolina', 'wikipediapt', 'gutenbergpt') AND sb = 'gigaverbov2' OR sb IN ('carolina', 'wikipediapt', 'gutenbergpt') AND sa = 'gigaverbov2' THEN 'curated_web' END,
+        CASE WHEN sa = 'gigaverbov2' AND sb = 'gigaverbov2' THEN 'web_web' END, CASE WHEN least(sa, sb) = 'carolina' AND greatest(sa, sb) = 'wikipediapt' THEN 'carolina_wikipedia' END,
+        CASE WHEN least(sa, sb) = 'gigaverbov2' AND greatest(sa, sb) = 'gutenbergpt' THEN 'gutenberg_web' END, CASE WHEN least(wa, wb) < 20 THEN 'short_text' END,
+        CASE WHEN greatest(wa, wb) >= 100000 THEN 'giant_document' END, CASE WHEN preserved THEN 'parlamento_diagnostic_only' END) AS categories,
+    CASE WHEN preserved THEN 'preserve_all_diagnostic' WHEN least(wa, wb) < 20 THEN 'exact_only_or_diagnostic' WHEN least(wa, wb) < 100 THEN 'review_only' ELSE 'normal_candidate_generation' END AS action FROM flagged)"""
 _MINIMA = ", ".join(f"list_min(list_transform(h, lambda x: (x * {a} + {b}) % {PRIME}))" for a, b in portable_coefficients(PERMUTATIONS))
 _SIGNED = f"""{_sets(5, "five")}, hashed AS (SELECT doc_id, list_transform(s, lambda x: (('0x' || substr(sha256(x), 1, 8))::BIGINT) % {PRIME}) AS h FROM five),
 signed AS (SELECT doc_id, [{_MINIMA}] AS sig FROM hashed)"""
@@ -243,10 +302,13 @@ SQL = {
         FROM described JOIN (SELECT pair_key, ratio_band, count(*) AS n FROM e GROUP BY 1, 2) USING (pair_key, ratio_band) GROUP BY 1, 2""",
     "pair_components": f"WITH RECURSIVE {_MERGED}, {_reach(0.85)} SELECT * FROM comp",
     "threshold_sweep": _sweep(),
-    "cluster_owners": f"""WITH RECURSIVE {REC}, {_MERGED}, {_reach(0.85)}, m AS (SELECT component, record_id, {_TIER} AS tier, words FROM comp JOIN rec ON id = record_id)
-        SELECT component, first(record_id ORDER BY tier, words DESC NULLS FIRST, record_id) AS owner_id, count(*) AS members FROM m GROUP BY component""",
-    "pair_owners": f"""WITH {REC}, {_MERGED}, r AS (SELECT record_id, {_TIER} AS tier, words FROM rec)
-        SELECT id_a, id_b, CASE WHEN (a.tier, -a.words, id_a) <= (b.tier, -b.words, id_b) THEN id_a ELSE id_b END AS owner_id FROM merged JOIN r a ON a.record_id = id_a JOIN r b ON b.record_id = id_b""",
+    "cluster_owners": f"""WITH RECURSIVE {REC}, {_MERGED}, {_reach(0.85)}, m AS (SELECT component, record_id, {_CLAIM} FROM comp JOIN rec ON id = record_id)
+        SELECT component, first(record_id ORDER BY tier, place, less, record_id) AS owner_id, count(*) AS members FROM m GROUP BY component""",
+    "pair_owners": f"""WITH {REC}, {_MERGED}, r AS (SELECT record_id, source, original_url, subset, {_CLAIM} FROM rec),
+        e AS (SELECT id_a, id_b, a.source = 'carolina' AND b.source = 'wikipediapt' AND (coalesce(contains(a.subset, 'wik'), false) OR coalesce(contains(lower(a.original_url), 'wikipedia'), false)) AS a_taken,
+            b.source = 'carolina' AND a.source = 'wikipediapt' AND (coalesce(contains(b.subset, 'wik'), false) OR coalesce(contains(lower(b.original_url), 'wikipedia'), false)) AS b_taken,
+            (a.tier, a.place, a.less, id_a) <= (b.tier, b.place, b.less, id_b) AS a_first FROM merged JOIN r a ON a.record_id = id_a JOIN r b ON b.record_id = id_b)
+        SELECT id_a, id_b, CASE WHEN a_taken THEN id_b WHEN b_taken THEN id_a WHEN a_first THEN id_a ELSE id_b END AS owner_id FROM e""",
     "review_panel": f"""WITH {_MERGED}, n AS (SELECT id_a, id_b, estimated_similarity, t FROM merged, (SELECT unnest([{", ".join(map(str, THRESHOLDS))}]::DOUBLE[]) AS t)
             QUALIFY row_number() OVER (PARTITION BY t ORDER BY round(abs(estimated_similarity - t), 12), id_a, id_b) <= 8)
         SELECT id_a, id_b, estimated_similarity, string_agg(t::VARCHAR, ';' ORDER BY t) AS boundaries FROM n GROUP BY ALL""",
@@ -258,17 +320,29 @@ SQL = {
     "scored_pairs": f"""WITH {_SCORED} SELECT a, b, round(jaccard, 9) AS jaccard, round(containment, 9) AS containment, round(a_in_b, 9) AS a_in_b, round(b_in_a, 9) AS b_in_a,
         round(length_ratio, 9) AS length_ratio, shared, only_a, only_b, concat_ws(';', CASE WHEN containment >= 0.9 AND jaccard < 0.8 THEN 'high_containment' END,
         CASE WHEN containment >= 0.95 AND length_ratio < 0.5 THEN 'short_in_long' END, CASE WHEN shared >= 100 AND jaccard < 0.8 THEN 'large_overlap' END) AS flags FROM scored""",
-    "pair_labels": f"""WITH {_SCORED} SELECT a, b, CASE WHEN shared < 20 THEN 'ambiguous' WHEN jaccard >= 0.95 THEN 'true_duplicate' WHEN containment >= 0.9 AND jaccard < 0.8 THEN 'containment'
-        WHEN jaccard >= 0.85 THEN 'probable_duplicate' WHEN jaccard >= 0.5 THEN 'related' ELSE 'ambiguous' END AS label,
-        concat_ws(';', CASE WHEN jaccard >= 0.78 AND jaccard < 0.82 THEN 'near_0_80' END, CASE WHEN jaccard >= 0.83 AND jaccard < 0.87 THEN 'near_0_85' END,
-        CASE WHEN containment >= 0.9 AND jaccard < 0.8 THEN 'containment' END, CASE WHEN length_ratio < 0.5 THEN 'length_gap' END, CASE WHEN shared < 100 THEN 'short' END) AS reasons,
-        CASE WHEN shared < 20 THEN CASE WHEN jaccard = 1 THEN 'exact_only' ELSE 'review_only' END WHEN shared < 100 THEN 'review_only' ELSE 'normal' END AS action FROM scored""",
-    "distinctive_scores": f"""WITH {_near(0.8)}, f AS (SELECT g, count(*) AS n FROM (SELECT unnest(s) AS g FROM five) GROUP BY g),
-        each AS (SELECT doc_id, unnest(s) AS g FROM five WHERE doc_id IN (SELECT a FROM near UNION SELECT b FROM near)),
-        r AS (SELECT doc_id, coalesce(list(g) FILTER (WHERE n < 3), []) AS rare, count(*) FILTER (WHERE n >= 3) AS common, count(*) AS n FROM each JOIN f USING (g) GROUP BY doc_id)
-        SELECT a, b, CASE WHEN len(x.rare) + len(y.rare) > 0 THEN round(len(list_intersect(x.rare, y.rare)) / (len(x.rare) + len(y.rare) - len(list_intersect(x.rare, y.rare))), 9) ELSE 0.0 END AS distinctive_jaccard,
-        CASE WHEN least(len(x.rare), len(y.rare)) > 0 THEN round(len(list_intersect(x.rare, y.rare)) / least(len(x.rare), len(y.rare)), 9) ELSE 0.0 END AS distinctive_containment,
-        round((x.common + y.common) / (x.n + y.n), 9) AS common_share FROM near JOIN r x ON x.doc_id = a JOIN r y ON y.doc_id = b""",
+    "pair_labels": f"{_JUDGED} SELECT a, b, label, categories, action FROM judged",
+    "policy_matrix": f"""{_JUDGED}, p AS (
+        SELECT 'P1' AS policy, *, jaccard >= 0.85 AS passes, false AS told FROM judged UNION ALL SELECT 'P2', *, jaccard >= 0.85 AND least(wa, wb) >= 20, false FROM judged
+        UNION ALL SELECT 'P3', *, jaccard >= 0.85 AND least(wa, wb) >= 20, true FROM judged UNION ALL SELECT 'P4', *, jaccard >= 0.85 AND least(wa, wb) >= 20 AND dj >= 0.75, true FROM judged),
+        c AS (SELECT policy, count(*) FILTER (WHERE passes AND NOT preserved) AS accepted, count(*) FILTER (WHERE passes AND NOT preserved AND label IN ('true duplicate', 'probable duplicate')) AS duplicates,
+            count(*) FILTER (WHERE jaccard >= 0.85) AS alike, count(*) FILTER (WHERE passes) AS alike_accepted, count(*) FILTER (WHERE told AND label = 'containment case') AS contained FROM p GROUP BY policy)
+        SELECT *, round(duplicates / nullif(accepted, 0), 9) AS precision, round(alike_accepted / nullif(alike, 0), 9) AS recall FROM c""",
+    "exact_tail_summary": f"""{_JUDGED}, t AS (SELECT *, CASE WHEN jaccard < 0.8 THEN NULL WHEN jaccard < 0.85 THEN '0.80_0.85' WHEN jaccard < 0.9 THEN '0.85_0.90' WHEN jaccard < 0.92 THEN '0.90_0.92'
+            WHEN jaccard < 0.95 THEN '0.92_0.95' ELSE 'ge0.95' END AS tail, CASE WHEN preserved THEN 'with_preserved' ELSE 'without_preserved' END AS partition FROM judged),
+        v AS (SELECT 'source_pair' AS scope, least(sa, sb) || ' | ' || greatest(sa, sb) AS value, tail, partition FROM t WHERE tail IS NOT NULL
+            UNION ALL SELECT 'source', sa, tail, partition FROM t WHERE tail IS NOT NULL UNION ALL SELECT 'source', sb, tail, partition FROM t WHERE tail IS NOT NULL AND sa <> sb
+            UNION ALL SELECT 'host', ha, tail, partition FROM t WHERE tail IS NOT NULL AND ha IS NOT NULL UNION ALL SELECT 'host', hb, tail, partition FROM t WHERE tail IS NOT NULL AND hb IS NOT NULL AND hb IS DISTINCT FROM ha
+            UNION ALL SELECT 'containment_flag', unnest(string_split(flags, ';')), tail, partition FROM t WHERE flags <> '')
+        SELECT scope, value, tail, partition, count(*) AS pairs FROM v GROUP BY ALL""",
+    "review_pool": f"""{_JUDGED}, c AS (SELECT *, unnest(CASE WHEN categories = '' THEN ['uncategorized'] ELSE string_split(categories, ';') END) AS category FROM judged),
+        k AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY category ORDER BY sha256('review-v1' || chr(0) || category || chr(0) || a || chr(0) || b), a, b) <= 12),
+        o AS (SELECT DISTINCT a, b, label, jaccard, CASE WHEN preserved THEN 0 WHEN least(sa, sb) = 'carolina' AND greatest(sa, sb) = 'wikipediapt' THEN 1 WHEN common_share >= 0.5 THEN 2
+            WHEN greatest(a_in_b, b_in_a) >= 0.8 THEN 3 ELSE 4 END AS priority FROM k)
+        SELECT a, b, priority, label FROM o ORDER BY priority, jaccard DESC, a, b LIMIT 100""",
+    "lsh_configurations": """SELECT *, round(1 - power(1 - power(0.85, rows), bands), 6) AS found_at_85 FROM (VALUES ('word5_64_16x4', 5, 64, 16, 4), ('word5_64_8x8', 5, 64, 8, 8), ('word5_128_32x4', 5, 128, 32, 4),
+        ('word5_128_16x8', 5, 128, 16, 8), ('word5_128_8x16', 5, 128, 8, 16), ('word5_256_32x8', 5, 256, 32, 8), ('word5_256_16x16', 5, 256, 16, 16), ('word5_256_8x32', 5, 256, 8, 32),
+        ('word3_128_32x4', 3, 128, 32, 4), ('word7_128_32x4', 7, 128, 32, 4)) t(config, words, permutations, bands, rows)""",
+    "distinctive_scores": f"WITH {_near(0.8)}, {_RARE} SELECT a, b, round(dj, 9) AS distinctive_jaccard, round(dc, 9) AS distinctive_containment, round(common_share, 9) AS common_share FROM rare",
     "minhash_signatures": f"""WITH {_SIGNED} SELECT doc_id, len(sig) AS size, list_sum(sig)::BIGINT AS total, sig[1] AS first FROM signed
         UNION ALL SELECT doc_id, NULL, NULL, NULL FROM wfive WHERE doc_id NOT IN (SELECT doc_id FROM signed)""",
     "bucket_metrics": f"""WITH {_SIGNED}, p AS (SELECT doc_id, unnest(range(0, {BANDS})) AS band, sig FROM signed),
