@@ -91,6 +91,11 @@ def iter_match_tokens(text: str) -> Iterator[tuple[str, int, int]]:
         yield fold_match(m.group()), m.start(), m.end()
 
 
+def raw_match_tokens(text: str) -> list[str]:
+    """Match tokens as they stand in the text, not folded."""
+    return _MATCH.findall(text)
+
+
 @F.pandas_udf(ArrayType(TOKEN))
 def match_tokens_with_offsets(texts: pd.Series) -> pd.Series:
     """Match tokens with character offsets; NULL has none."""

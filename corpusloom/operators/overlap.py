@@ -1,21 +1,29 @@
 """Overlap of documents with benchmark items: anchors, exact fields, runs, coverage, proximity.
 
-Documents and fields are compared as arrays of match tokens. Token runs are
-joined on 64-bit hashes and checked token by token, so no result rests on a
-hash alone.
+Texts are read once: a scan without a shuffle turns documents into numbers of
+benchmark words, looks rolling hashes of runs up in the broadcast benchmark,
+compares tokens wherever a hash meets, and lets only hits out. No result rests
+on a hash alone, and tokens of documents are never shuffled.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import match_tokens
-from ..runtime import Workspace, small_side
+from ..functions.text import fold_match, match_tokens, raw_match_tokens
+from ..runtime import Workspace
+
+#: Most characters of all fields of a benchmark, which is broadcast; a larger one is an error and must be given in parts.
+BENCHMARK_CHARACTERS = 50_000_000
+#: Tokens of documents that are looked up at once.
+CHUNK = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -84,18 +92,165 @@ def anchor_frequency(anchors_: DataFrame) -> DataFrame:
     return anchors_.groupBy("words").agg(F.count_distinct("example_id").alias("items"))
 
 
-def anchor_hits(documents: DataFrame, anchors_: DataFrame, policy: OverlapPolicy) -> DataFrame:
-    """``(doc_id, field_id, example_id, doc_position, field_position, hash)`` wherever a document holds an anchor.
-
-    Documents' runs meet the benchmark's on their hash; the side of the
-    benchmark is broadcast only while it is counted to be small. Only hits
-    leave the scan's side of the join, and the tokens decide.
+class Benchmark:
+    """Fields as numbers, ready to be met by documents: anchors of the anchored roles, the first tokens of fields looked for whole, and answers beside questions."""
+
+    def __init__(self, fields: Sequence[tuple[str, str, str, Sequence[str]]], answers: Sequence[tuple[str, Sequence[str]]], policy: OverlapPolicy) -> None:
+        """``fields``: (field_id, example_id, role, tokens); ``answers``: (example_id, tokens)."""
+        self.fields = sorted((f, e, r, tuple(t)) for f, e, r, t in fields if len(t))
+        told = defaultdict(list)
+        for e, t in sorted((e, tuple(t)) for e, t in answers if len(t)):
+            told[e].append(t)
+        words = sorted({w for *_, t in self.fields for w in t} | {w for ts in told.values() for t in ts for w in t})
+        self.words = {w: i + 1 for i, w in enumerate(words)}
+        self.ids = [np.array([self.words[w] for w in t], dtype=np.int64) for *_, t in self.fields]
+        self.answers = {e: [np.array([self.words[w] for w in t], dtype=np.int64) for t in ts] for e, ts in told.items()}
+        self.anchor = policy.anchor
+        anchored = [i for i, (_, _, r, t) in enumerate(self.fields) if r in policy.anchored_roles and len(t) >= policy.anchor]
+        places = [(i, p) for i in anchored for p in range(len(self.ids[i]) - policy.anchor + 1)]
+        grams = np.array([self.ids[i][p : p + policy.anchor] for i, p in places], dtype=np.int64).reshape(len(places), policy.anchor)
+        self.grams, number = np.unique(grams, axis=0, return_inverse=True)
+        order = np.argsort(number.reshape(-1), kind="stable")
+        self.gram_field = np.array([places[k][0] for k in order], dtype=np.int64)
+        self.gram_place = np.array([places[k][1] for k in order], dtype=np.int64)
+        self.gram_start = np.searchsorted(number.reshape(-1)[order], np.arange(len(self.grams) + 1))
+        self.gram_index = self._index(self.grams)
+        #: for each length of the first tokens: the fields that have it, their first tokens, and the index
+        self.heads = []
+        for k in range(1, policy.seed + 1):
+            own = [i for i, x in enumerate(self.ids) if min(len(x), policy.seed) == k]
+            if own:
+                rows = np.array([self.ids[i][:k] for i in own], dtype=np.int64)
+                self.heads.append((k, np.array(own), rows, self._index(rows)))
+
+    @staticmethod
+    def _hash(columns: Sequence[np.ndarray]) -> np.ndarray:
+        out = np.zeros(len(columns[0]), dtype=np.uint64)
+        for c in columns:
+            out = (out + c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+        return out
+
+    def _index(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hashed = self._hash(rows.T) if len(rows) else np.zeros(0, dtype=np.uint64)
+        order = np.argsort(hashed, kind="stable")
+        return hashed[order], order
+
+    def _meet(self, ids: np.ndarray, follow: np.ndarray, rows: np.ndarray, index: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of ``ids`` and the rows that stand there, token by token; ``follow`` tells how many known tokens begin at each place."""
+        k = rows.shape[1]
+        at = np.flatnonzero(follow >= k)
+        if not len(at) or not len(rows):
+            return at[:0], at[:0]
+        hashed = self._hash([ids[at + j] for j in range(k)])
+        low, high = np.searchsorted(index[0], hashed, "left"), np.searchsorted(index[0], hashed, "right")
+        n = high - low
+        which = np.repeat(np.arange(len(at)), n)
+        row = index[1][np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + low[which]]
+        place = at[which]
+        same = np.ones(len(place), dtype=bool)
+        for j in range(k):
+            same &= ids[place + j] == rows[row, j]
+        return place[same], row[same]
+
+    def find(self, ids: np.ndarray) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """``(kind, place, field, field place, anchor)`` of anchors and of whole fields in ``ids``, in which documents are parted by 0."""
+        n = len(ids)
+        gap = np.flatnonzero(np.append(ids, 0) == 0)
+        follow = gap[np.searchsorted(gap, np.arange(n))] - np.arange(n)
+        place, gram = self._meet(ids, follow, self.grams, self.gram_index)
+        count = self.gram_start[gram + 1] - self.gram_start[gram]
+        which = np.repeat(np.arange(len(place)), count)
+        slot = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + self.gram_start[gram[which]]
+        yield "anchor", place[which], self.gram_field[slot], self.gram_place[slot], gram[which]
+        for _, own, rows, index in self.heads:
+            place, row = self._meet(ids, follow, rows, index)
+            field = own[row]
+            keep = np.array([follow[p] >= len(self.ids[f]) and np.array_equal(ids[p : p + len(self.ids[f])], self.ids[f]) for p, f in zip(place.tolist(), field.tolist(), strict=True)], dtype=bool)
+            none = np.zeros(int(keep.sum()), dtype=np.int64)
+            yield "whole", place[keep], field[keep], none, none - 1
+
+
+def benchmark(fields: DataFrame, answers: DataFrame, policy: OverlapPolicy) -> Benchmark:
+    """The benchmark of ``fields(field_id, example_id, field_role, tokens)`` and ``answers(example_id, tokens)``, on the driver and of bounded size."""
+    size = fields.select("tokens").union(answers.select("tokens")).agg(F.sum(F.length(F.array_join("tokens", " ")))).first()[0] or 0
+    if size > BENCHMARK_CHARACTERS:
+        raise ValueError(f"a benchmark may hold {BENCHMARK_CHARACTERS} characters at most")
+    told = fields.select("field_id", "example_id", "field_role", "tokens").distinct().collect()
+    return Benchmark([tuple(r) for r in told], [tuple(r) for r in answers.select("example_id", "tokens").distinct().collect()], policy)
+
+
+FOUND = "kind string, field_id string, example_id string, field_role string, doc_position int, field_position int, size int, anchor long"
+
+
+def scan(documents: DataFrame, fields: DataFrame, answers: DataFrame, policy: OverlapPolicy) -> DataFrame:
+    """Everything of the benchmark that documents hold, in one pass over ``documents(doc_id, text)``.
+
+    One row each: ``doc_id, kind, field_id, example_id, field_role,
+    doc_position, field_position, size, anchor``. Kinds: ``anchor`` wherever a
+    document holds a run of ``anchor`` tokens of an anchored role, ``whole``
+    wherever it holds a whole field, ``answer`` wherever it holds an answer of
+    an item whose question it holds whole (field_id is NULL).
+
+    NULL text: no row. Repeated documents: rows of their own, which fall together in what is counted by document.
     """
-    runs = with_runs(documents, policy.anchor, "doc_id").withColumnRenamed("position", "doc_position")
-    met = runs.join(small_side(anchors_.withColumnRenamed("position", "field_position")), "hash")
-    # only documents with a hit are asked for their tokens
-    told = met.join(documents.select("doc_id", "tokens"), "doc_id").where(F.slice("tokens", F.col("doc_position") + 1, policy.anchor) == F.col("words"))
-    return told.select("doc_id", "field_id", "example_id", "doc_position", "field_position", "hash")
+    kind = dict(documents.dtypes)["doc_id"]
+    held = documents.sparkSession.sparkContext.broadcast(benchmark(fields, answers, policy))  # BENCHMARK_CHARACTERS at most
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        b: Benchmark = held.value
+        known: dict[str, int] = {}
+
+        def look(names: list, parts: list[np.ndarray]) -> pd.DataFrame:
+            ids = np.concatenate(parts)
+            starts = np.cumsum([0, *[len(x) for x in parts[:-1]]])
+            out: list[tuple] = []
+            posed: set[tuple[int, str]] = set()
+            for what, place, field, field_place, anchor in b.find(ids):
+                doc = np.searchsorted(starts, place, "right") - 1
+                for d, p, f, q, g in zip(doc.tolist(), place.tolist(), field.tolist(), field_place.tolist(), anchor.tolist(), strict=True):
+                    name, example, role, _ = b.fields[f]
+                    if what == "whole" and role == "question":
+                        posed.add((d, example))
+                    out.append((names[d], what, name, example, role, p - int(starts[d]), q, b.anchor if what == "anchor" else len(b.ids[f]), g))
+            for d, example in sorted(posed):
+                own = parts[d]
+                for a in b.answers.get(example, ()):
+                    for p in np.flatnonzero(own == a[0]).tolist():
+                        if np.array_equal(own[p : p + len(a)], a):
+                            out.append((names[d], "answer", None, example, "correct_answer", p, 0, len(a), -1))
+            return pd.DataFrame(out, columns=["doc_id", "kind", "field_id", "example_id", "field_role", "doc_position", "field_position", "size", "anchor"])
+
+        names, parts, total = [], [], 0
+        for batch in batches:
+            for name, text in zip(batch["doc_id"], batch["text"], strict=True):
+                if not isinstance(text, str):
+                    continue
+                codes = []
+                for w in raw_match_tokens(text):
+                    c = known.get(w)
+                    if c is None:
+                        if len(known) > 1_000_000:
+                            known.clear()
+                        c = known[w] = b.words.get(fold_match(w), 0)
+                    codes.append(c)
+                parts.append(np.array([*codes, 0], dtype=np.int64))
+                names.append(name)
+                total += len(codes)
+                if total >= CHUNK:
+                    yield look(names, parts)
+                    names, parts, total = [], [], 0
+        if names:
+            yield look(names, parts)
+
+    # ids travel as strings: pandas would turn whole numbers with NULLs among them into floats
+    found = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, f"doc_id string, {FOUND}")
+    return found.withColumn("doc_id", F.col("doc_id").cast(kind))
+
+
+def anchor_hits(found: DataFrame) -> DataFrame:
+    """``(doc_id, field_id, example_id, doc_position, field_position, hash)`` wherever a document holds an anchor; hash numbers the anchors."""
+    return found.where(F.col("kind") == "anchor").select("doc_id", "field_id", "example_id", "doc_position", "field_position", F.col("anchor").alias("hash")).distinct()
 
 
 def without_frequent(hits: DataFrame, policy: OverlapPolicy) -> DataFrame:
@@ -107,26 +262,9 @@ def without_frequent(hits: DataFrame, policy: OverlapPolicy) -> DataFrame:
     return hits.join(often, "hash", "left_anti")
 
 
-def exact_places(documents: DataFrame, fields: DataFrame, policy: OverlapPolicy) -> DataFrame:
-    """``(doc_id, field_id, example_id, field_role, start, size)``: every place where a document holds a whole field token by token.
-
-    The first ``seed`` tokens of a field (all, if it has fewer) find the
-    places, the whole field is compared there.
-    """
-    used = fields.where(F.size("tokens") > 0).select("field_id", "example_id", "field_role", F.col("tokens").alias("f"), F.least(F.size("tokens"), F.lit(policy.seed)).alias("k"))
-    lengths = [r.k for r in used.select("k").distinct().collect()]  # at most ``seed`` numbers
-    found = None
-    for k in sorted(lengths):
-        own = used.where(F.col("k") == k)
-        first = with_runs(own.withColumn("tokens", F.slice("f", 1, k)), k, "field_id", "example_id", "field_role", "f").drop("position")
-        runs = with_runs(documents, k, "doc_id").withColumnRenamed("position", "start")
-        met = runs.join(small_side(first), "hash").join(documents.select("doc_id", "tokens"), "doc_id")
-        same = met.where(F.slice("tokens", F.col("start") + 1, F.greatest(F.size("f"), F.lit(1))) == F.col("f"))
-        part = same.select("doc_id", "field_id", "example_id", "field_role", "start", F.size("f").alias("size"))
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = documents.select("doc_id", F.lit("").alias("field_id"), F.lit("").alias("example_id"), F.lit("").alias("field_role"), F.lit(0).alias("start"), F.lit(0).alias("size")).limit(0)
-    return found
+def exact_places(found: DataFrame) -> DataFrame:
+    """``(doc_id, field_id, example_id, field_role, start, size)``: every place where a document holds a whole field token by token."""
+    return found.where(F.col("kind") == "whole").select("doc_id", "field_id", "example_id", "field_role", F.col("doc_position").alias("start"), "size").distinct()
 
 
 def exact_fields(places: DataFrame) -> DataFrame:
@@ -134,19 +272,9 @@ def exact_fields(places: DataFrame) -> DataFrame:
     return places.groupBy("doc_id", "field_id", "example_id", "field_role").agg(F.min("start").alias("start"), F.first("size").alias("size"))
 
 
-def answer_places(documents: DataFrame, questions: DataFrame, answers: DataFrame) -> DataFrame:
-    """``(doc_id, example_id, start, size)``: every place of an item's answer in the documents that hold its question.
-
-    Only these documents are searched, each for the answers of its own items,
-    so an answer of one frequent word costs nothing elsewhere. Tokens are not
-    shuffled while what is asked of them is counted to be small.
-    """
-    told = answers.where(F.size("tokens") > 0).select("example_id", F.col("tokens").alias("f"))
-    asked = questions.select("doc_id", "example_id").distinct().join(small_side(told), "example_id")
-    met = documents.select("doc_id", "tokens").join(small_side(asked), "doc_id")
-    last = F.size("tokens") - F.size("f")
-    starts = F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: (F.element_at("tokens", i + 1) == F.col("f")[0]) & (F.slice("tokens", i + 1, F.size("f")) == F.col("f")))
-    return met.where(last >= 0).select("doc_id", "example_id", F.explode(starts).alias("start"), F.size("f").alias("size"))
+def answer_places(found: DataFrame) -> DataFrame:
+    """``(doc_id, example_id, start, size)``: every place of an item's answer in the documents that hold its question."""
+    return found.where(F.col("kind") == "answer").select("doc_id", "example_id", F.col("doc_position").alias("start"), "size").distinct()
 
 
 def runs(hits: DataFrame, policy: OverlapPolicy) -> DataFrame:
@@ -226,7 +354,7 @@ def coverage(hits: DataFrame, fields: DataFrame, distinctive: DataFrame, policy:
     told = distinctive.groupBy("field_id").agg(F.array_sort(F.collect_list("position")).alias("places"))  # a field's own places
     sizes = fields.select("field_id", F.size("tokens").alias("size")).join(told, "field_id")
     rows = rare.groupBy("doc_id", "field_id", "example_id").agg(F.collect_list(F.struct("field_position", "doc_position")).alias("hits"))
-    rows = rows.join(small_side(sizes), "field_id")
+    rows = rows.join(F.broadcast(sizes), "field_id")  # BENCHMARK_CHARACTERS at most
     kinds = dict(hits.dtypes)
     anchor, share = policy.anchor, policy.coverage
 
@@ -277,27 +405,28 @@ def hits_by_rule(documents: DataFrame, fields: DataFrame, policy: OverlapPolicy
     is removed from the documents: the result is a diagnosis.
     """
     p = policy or OverlapPolicy()
-    ws = Workspace(documents.sparkSession)  # tokens and hits are read several times, texts once
-    docs = ws.write(tokenized(documents, "text", "doc_id"))
+    ws = Workspace(documents.sparkSession)
     used = ws.write(tokenized(question_answers(fields).where("matchable"), "original_text", "field_id", "example_id", "field_role"))
-    answers = tokenized(fields.where(F.col("field_role") == "correct_answer"), "original_text", "field_id", "example_id", "field_role")
-    places = ws.write(exact_places(docs, used.where(F.col("field_role").isin(*p.whole_roles, "question")), p))
+    answers = tokenized(fields.where(F.col("field_role") == "correct_answer"), "original_text", "example_id")
+    found = ws.write(scan(documents.select("doc_id", "text"), used, answers, p))  # hits alone; texts are read once
+    places = exact_places(found).where(F.col("field_role").isin(*p.whole_roles, "question"))
     exact = exact_fields(places)
     whole = exact.where(F.col("field_role") != "question").select("doc_id", "example_id", "field_id", F.concat(F.lit("exact_"), "field_role").alias("rule"), "start")
+    # sides made of fields alone are bounded as the benchmark is
     question = used.where(F.col("field_role") == "question")
     long_enough = question.where(F.size("tokens") >= p.question_tokens).select("field_id")
-    posed = places.join(small_side(long_enough), "field_id", "left_semi")
-    near = near_answers(posed, answer_places(docs, posed, answers), p)
+    posed = places.join(F.broadcast(long_enough), "field_id", "left_semi")
+    near = near_answers(posed, answer_places(found), p)
     combined = used.where(F.col("field_role") == "question_plus_answer").select("example_id", "field_id")
-    beside = near.join(small_side(combined), "example_id").select("doc_id", "example_id", "field_id", F.lit("exact_question_plus_answer").alias("rule"), F.least("question_start", "answer_start").alias("start"))
+    beside = near.join(F.broadcast(combined), "example_id").select("doc_id", "example_id", "field_id", F.lit("exact_question_plus_answer").alias("rule"), F.least("question_start", "answer_start").alias("start"))
     whole = whole.unionByName(beside).groupBy("doc_id", "example_id", "field_id", "rule").agg(F.min("start").alias("start"))
     rare = question.groupBy("tokens").agg(F.count_distinct("example_id").alias("n")).where((F.col("n") <= p.item_frequency) & (F.size("tokens") >= p.question_tokens))
     rare = question.join(rare, "tokens", "left_semi").select("field_id")
-    asked = exact.where(F.col("field_role") == "question").join(small_side(rare), "field_id", "left_semi")
+    asked = exact.where(F.col("field_role") == "question").join(F.broadcast(rare), "field_id", "left_semi")
     common = asked.groupBy("field_id").agg(F.count_distinct("doc_id").alias("n")).where(F.col("n") > p.document_frequency)
     asked = asked.join(common, "field_id", "left_anti").select("doc_id", "example_id", "field_id", F.lit("exact_distinctive_question").alias("rule"), "start")
     marks = anchors(used, p)
-    hits = ws.write(without_frequent(ws.write(anchor_hits(docs, marks, p)), p))
+    hits = ws.write(without_frequent(anchor_hits(found), p))
     long = runs(hits, p).where(F.col("size") >= p.run).groupBy("doc_id", "example_id", "field_id").agg(F.min("start").alias("start"))
     share = coverage(hits, used, distinctive_positions(marks, p), p).where((F.col("share") >= p.coverage) & (F.col("anchors") >= p.least_anchors))
     share = share.join(long.select("doc_id", "field_id"), ["doc_id", "field_id"], "left_anti")

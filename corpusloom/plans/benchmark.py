@@ -12,17 +12,21 @@ from .base import read
 POLICY = O.OverlapPolicy()
 
 
-def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return O.tokenized(read(spark, d, "documents"), "text", "doc_id")
-
-
 def _fields(spark: SparkSession, d: str, matchable: bool = True) -> DataFrame:
     rows = read(spark, d, "benchmark_field")
     return O.tokenized(O.question_answers(rows).where("matchable") if matchable else rows, "original_text", "field_id", "example_id", "field_role")
 
 
+def _answers(spark: SparkSession, d: str) -> DataFrame:
+    return O.tokenized(read(spark, d, "benchmark_field").where("field_role = 'correct_answer'"), "original_text", "example_id")
+
+
+def _found(spark: SparkSession, d: str, fields: DataFrame | None = None) -> DataFrame:
+    return O.scan(read(spark, d, "documents").select("doc_id", "text"), _fields(spark, d) if fields is None else fields, _answers(spark, d), POLICY)
+
+
 def _hits(spark: SparkSession, d: str) -> DataFrame:
-    return O.anchor_hits(_docs(spark, d), O.anchors(_fields(spark, d), POLICY), POLICY)
+    return O.anchor_hits(_found(spark, d))
 
 
 def field_sizes(spark: SparkSession, d: str) -> DataFrame:
@@ -50,7 +54,7 @@ def anchor_documents(spark: SparkSession, d: str) -> DataFrame:
 
 def exact_items(spark: SparkSession, d: str) -> DataFrame:
     """Whole fields in documents."""
-    return O.exact_fields(O.exact_places(_docs(spark, d), _fields(spark, d), POLICY)).select("doc_id", "field_id", "field_role", F.col("start").cast("long").alias("start"), F.col("size").cast("long").alias("size"))
+    return O.exact_fields(O.exact_places(_found(spark, d))).select("doc_id", "field_id", "field_role", F.col("start").cast("long").alias("start"), F.col("size").cast("long").alias("size"))
 
 
 def token_runs(spark: SparkSession, d: str) -> DataFrame:
@@ -66,11 +70,8 @@ def distinctive_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 def near_answers(spark: SparkSession, d: str) -> DataFrame:
     """Answers near their questions."""
-    every = _fields(spark, d, matchable=False)
-    docs = _docs(spark, d)
-    q = Workspace(spark).write(O.exact_places(docs, every.where("field_role = 'question'"), POLICY))  # read twice, searched for once
-    a = O.answer_places(docs, q, every.where("field_role = 'correct_answer'"))
-    return O.near_answers(q, a, POLICY).select("doc_id", "example_id", *[F.col(c).cast("long").alias(c) for c in ("question_start", "answer_start", "distance")])
+    found = Workspace(spark).write(_found(spark, d, _fields(spark, d, matchable=False).where("field_role = 'question'")))  # read twice, searched for once
+    return O.near_answers(O.exact_places(found), O.answer_places(found), POLICY).select("doc_id", "example_id", *[F.col(c).cast("long").alias(c) for c in ("question_start", "answer_start", "distance")])
 
 
 def overlap_hits(spark: SparkSession, d: str) -> DataFrame:
@@ -102,7 +103,9 @@ def _tokens(column: str) -> str:
 
 _RUN = POLICY.anchor
 _BASE = f"""doc AS (SELECT doc_id, {_tokens("text")} AS t FROM documents),
-field AS (SELECT field_id, example_id, field_role, matchable, {_tokens("original_text")} AS t FROM benchmark_field),
+made AS (SELECT q.example_id || ':question_plus_answer' AS field_id, example_id, 'question_plus_answer' AS field_role, true AS matchable, q.original_text || ' ' || a.original_text AS original_text
+    FROM benchmark_field q JOIN benchmark_field a USING (example_id) WHERE q.field_role = 'question' AND a.field_role = 'correct_answer'),
+field AS (SELECT field_id, example_id, field_role, matchable, {_tokens("original_text")} AS t FROM (SELECT field_id, example_id, field_role, matchable, original_text FROM benchmark_field UNION ALL FROM made)),
 mark AS (SELECT field_id, example_id, i - 1 AS position, array_to_string(t[i:i + {_RUN - 1}], ' ') AS words FROM
     (SELECT *, unnest(range(1, len(t) - {_RUN} + 2)) AS i FROM field WHERE matchable AND field_role IN {POLICY.anchored_roles}))"""
 _HITS = f"""{_BASE}, place AS (SELECT doc_id, i - 1 AS position, array_to_string(t[i:i + {_RUN - 1}], ' ') AS words FROM (SELECT *, unnest(range(1, len(t) - {_RUN} + 2)) AS i FROM doc)),
@@ -121,10 +124,14 @@ SQL = {
     "anchor_documents": f"""WITH {_HITS}, often AS (SELECT words FROM hit GROUP BY words HAVING count(DISTINCT doc_id) > {POLICY.document_frequency})
         SELECT field_id, count(DISTINCT doc_id) AS documents FROM hit WHERE words NOT IN (SELECT words FROM often) GROUP BY field_id""",
     "exact_items": f"WITH {_EXACT} SELECT doc_id, field_id, field_role, start, size FROM exact JOIN (SELECT field_id FROM field WHERE matchable) USING (field_id)",
-    "token_runs": f"""WITH {_HITS}, i AS (SELECT *, doc_position - field_position AS o, field_position - row_number() OVER (PARTITION BY doc_id, field_id, doc_position - field_position ORDER BY field_position) AS k FROM hit)
-        SELECT doc_id, field_id, min(doc_position) AS start, min(field_position) AS field_start, count(*) + {_RUN - 1} AS size FROM i GROUP BY doc_id, field_id, o, k""",
-    "near_answers": f"""WITH {_EXACT}, n AS (SELECT q.doc_id, q.example_id, q.start AS question_start, a.start AS answer_start,
-            greatest(0, q.start - a.start - a.size, a.start - q.start - q.size) AS distance FROM exact q JOIN exact a USING (doc_id, example_id) WHERE q.field_role = 'question' AND a.field_role = 'correct_answer')
+    "token_runs": f"""WITH {_HITS}, g AS (SELECT DISTINCT doc_id, field_id, doc_position, field_position, doc_position - field_position AS o FROM hit),
+        n AS (SELECT *, CASE WHEN field_position - lag(field_position) OVER (PARTITION BY doc_id, field_id, o ORDER BY field_position) > {_RUN} THEN 1 ELSE 0 END AS new FROM g),
+        i AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, field_id, o ORDER BY field_position) AS k FROM n)
+        SELECT doc_id, field_id, min(doc_position) AS start, min(field_position) AS field_start, max(field_position) - min(field_position) + {_RUN} AS size FROM i GROUP BY doc_id, field_id, o, k""",
+    "near_answers": f"""WITH {_BASE}, q AS (SELECT doc_id, example_id, i - 1 AS s, len(f.t) AS n FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM doc) d JOIN field f ON d.t[i] = f.t[1] AND d.t[i:i + len(f.t) - 1] = f.t WHERE field_role = 'question'),
+        a AS (SELECT doc_id, example_id, i - 1 AS s, len(f.t) AS n FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM doc WHERE doc_id IN (SELECT doc_id FROM q)) d
+            JOIN field f ON d.t[i] = f.t[1] AND d.t[i:i + len(f.t) - 1] = f.t WHERE field_role = 'correct_answer'),
+        n AS (SELECT doc_id, example_id, q.s AS question_start, a.s AS answer_start, greatest(0, q.s - a.s - a.n, a.s - q.s - q.n) AS distance FROM q JOIN a USING (doc_id, example_id))
         SELECT doc_id, example_id, question_start, min(answer_start) AS answer_start, arg_min(distance, answer_start) AS distance FROM n WHERE distance <= {POLICY.gap} GROUP BY 1, 2, 3""",
     "scan_accounting": "SELECT source, count(*) AS rows, sum(('0x' || substr(sha256(doc_id::VARCHAR), 1, 15))::BIGINT)::VARCHAR AS digest FROM documents GROUP BY source",
 }
