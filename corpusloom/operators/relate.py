@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import content_hash, normalized_text
+from .current import latest_rows
+
 
 def containing_range(points: DataFrame, ranges: DataFrame, keys: Sequence[str], at: str, start: str, take: Sequence[str], cell: int) -> DataFrame:
     """Each point with columns of the last range that starts at or before it (as a bisection of starts would find).
@@ -61,3 +64,29 @@ def differences(actual: DataFrame, expected: DataFrame) -> DataFrame:
 def undone(work: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
     """What is left to do after a restart: rows whose key is not in ``done``; NULL keys are always left."""
     return work.join(done.select(*keys).distinct(), list(keys), "left_anti")
+
+
+def field_differences(rows: DataFrame, known: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+    """``(field, compared, differing)``: rows against the known row of the same key, field by field, NULL equal to NULL; ``no_record`` counts rows that have none.
+
+    ``known`` has one row a key. NULL keys have no known row.
+    """
+    other = known.select(F.col(key), *[F.col(f).alias(f"__{f}") for f in fields], F.lit(True).alias("__known"))
+    both = rows.select(key, *fields).join(other, key, "left")
+    have = F.coalesce("__known", F.lit(False))
+    counts = both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(have).alias("have"), *[F.count_if(have & ~F.col(f).eqNullSafe(F.col(f"__{f}"))).alias(f"d_{f}") for f in fields])
+    told = F.array(F.struct(F.lit("no_record").alias("field"), F.col("rows").alias("compared"), (F.col("rows") - F.col("have")).alias("differing")),
+                   *[F.struct(F.lit(f).alias("field"), F.col("have").alias("compared"), F.col(f"d_{f}").alias("differing")) for f in fields])
+    return counts.select(F.inline(told))
+
+
+def late_texts(chosen: DataFrame, texts: DataFrame, key: str, stamp: str, told: str) -> DataFrame:
+    """Chosen rows with the length of their current text and whether its hash is the one told for it: ``chosen columns, characters, hash_right``.
+
+    The choice is a semi-join before any text moves, so texts are read for
+    chosen keys alone. Chosen rows without a text have no row.
+    """
+    wanted = texts.join(chosen.select(key).distinct(), key, "left_semi")
+    current = latest_rows(wanted, [key], stamp, [told])
+    checked = current.select(key, F.coalesce(F.length(normalized_text("text")), F.lit(0)).cast("long").alias("characters"), content_hash("text").eqNullSafe(F.nullif(told, F.lit(""))).alias("hash_right"))
+    return chosen.join(checked, key)

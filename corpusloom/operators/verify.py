@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import hex_key
 from .exact_dedup import Ownership, resolve
 from .relate import differences
 from .sampling import greedy_fit, split_groups
@@ -65,3 +66,24 @@ def broken_rows(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     bad = df.agg(*[F.count_if(~F.coalesce(ok, F.lit(False))).alias(name) for name, ok in rules.items()])
     pairs = ", ".join(f"'{n}', `{n}`" for n in rules)
     return bad.select(F.expr(f"stack({len(rules)}, {pairs}) AS (check, n)")).where(F.col("n") > 0)
+
+
+def assignment_errors(assigned: DataFrame, groups: DataFrame) -> DataFrame:
+    """``(error, rows)`` for every rule that rows of ``assigned(group_id, split, rank_hash)`` break; groups in two splits count once.
+
+    ``groups(group_id)`` are the known ones, in bare form. Splits and ranks are
+    compared in comparable form, ids are expected in it.
+    """
+    bare = hex_key("group_id")
+    known = groups.select(F.col("group_id").alias("__g"), F.lit(True).alias("__known")).where(F.col("__g").isNotNull()).distinct()
+    rows = assigned.withColumn("__g", bare).join(known, "__g", "left")
+    wrong = [
+        ("group_missing", F.coalesce("__g", F.lit("")) == ""),
+        ("group_spelled_unevenly", F.col("group_id") != F.col("__g")),
+        ("split_unknown", ~F.coalesce(F.col("split").isin("train", "validation", "test"), F.lit(False))),
+        ("rank_malformed", ~F.coalesce(F.col("rank_hash").rlike("^[0-9a-f]{64}$"), F.lit(False))),
+        ("group_not_in_refs", (F.col("__g") != "") & F.col("__known").isNull()),
+    ]
+    each = rows.select(F.explode(F.array_compact(F.array(*[F.when(bad, name) for name, bad in wrong]))).alias("error"))
+    torn = rows.where(F.col("__g") != "").groupBy("__g").agg(F.count_distinct("split").alias("n")).where(F.col("n") > 1).select(F.lit("group_in_two_splits").alias("error"))
+    return each.unionByName(torn).groupBy("error").agg(F.count(F.lit(1)).alias("rows"))

@@ -68,9 +68,20 @@ def distinctive_coverage(spark: SparkSession, d: str) -> DataFrame:
     return O.coverage(O.without_frequent(_hits(spark, d), POLICY), _fields(spark, d), O.distinctive_positions(marks, POLICY), POLICY)
 
 
+def _with_controls(spark: SparkSession, d: str) -> DataFrame:
+    """All documents and a control for each item that has a question and an answer: both, 0 to 199 tokens apart. Controls have negative ids."""
+    f = read(spark, d, "benchmark_field")
+    q = f.where("field_role = 'question'").select("example_id", F.col("original_text").alias("q"))
+    a = f.where("field_role = 'correct_answer'").select("example_id", F.col("original_text").alias("a"))
+    number = F.conv(F.substring(F.sha2("example_id", 256), 1, 8), 16, 10).cast("long")
+    controls = q.join(a, "example_id").select((-number).alias("doc_id"), F.concat("q", F.lit(" "), F.repeat(F.lit("x "), (number % 200).cast("int")), F.col("a")).alias("text"))
+    return read(spark, d, "documents").select("doc_id", "text").unionByName(controls)
+
+
 def near_answers(spark: SparkSession, d: str) -> DataFrame:
-    """Answers near their questions."""
-    found = Workspace(spark).write(_found(spark, d, _fields(spark, d, matchable=False).where("field_role = 'question'")))  # read twice, searched for once
+    """Answers near their questions, in the documents and in controls."""
+    questions = _fields(spark, d, matchable=False).where("field_role = 'question'")
+    found = Workspace(spark).write(O.scan(_with_controls(spark, d), questions, _answers(spark, d), POLICY))  # read twice, searched for once
     return O.near_answers(O.exact_places(found), O.answer_places(found), POLICY).select("doc_id", "example_id", *[F.col(c).cast("long").alias(c) for c in ("question_start", "answer_start", "distance")])
 
 
@@ -128,8 +139,11 @@ SQL = {
         n AS (SELECT *, CASE WHEN field_position - lag(field_position) OVER (PARTITION BY doc_id, field_id, o ORDER BY field_position) > {_RUN} THEN 1 ELSE 0 END AS new FROM g),
         i AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, field_id, o ORDER BY field_position) AS k FROM n)
         SELECT doc_id, field_id, min(doc_position) AS start, min(field_position) AS field_start, max(field_position) - min(field_position) + {_RUN} AS size FROM i GROUP BY doc_id, field_id, o, k""",
-    "near_answers": f"""WITH {_BASE}, q AS (SELECT doc_id, example_id, i - 1 AS s, len(f.t) AS n FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM doc) d JOIN field f ON d.t[i] = f.t[1] AND d.t[i:i + len(f.t) - 1] = f.t WHERE field_role = 'question'),
-        a AS (SELECT doc_id, example_id, i - 1 AS s, len(f.t) AS n FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM doc WHERE doc_id IN (SELECT doc_id FROM q)) d
+    "near_answers": f"""WITH {_BASE}, num AS (SELECT q.example_id, ('0x' || substr(sha256(q.example_id), 1, 8))::BIGINT AS n, q.original_text AS q, a.original_text AS a
+            FROM benchmark_field q JOIN benchmark_field a USING (example_id) WHERE q.field_role = 'question' AND a.field_role = 'correct_answer'),
+        every AS (SELECT doc_id, t FROM doc UNION ALL SELECT -n, {_tokens("q || ' ' || repeat('x ', n % 200) || a")} FROM num),
+        q AS (SELECT doc_id, example_id, i - 1 AS s, len(f.t) AS n FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM every) d JOIN field f ON d.t[i] = f.t[1] AND d.t[i:i + len(f.t) - 1] = f.t WHERE field_role = 'question'),
+        a AS (SELECT doc_id, example_id, i - 1 AS s, len(f.t) AS n FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM every WHERE doc_id IN (SELECT doc_id FROM q)) d
             JOIN field f ON d.t[i] = f.t[1] AND d.t[i:i + len(f.t) - 1] = f.t WHERE field_role = 'correct_answer'),
         n AS (SELECT doc_id, example_id, q.s AS question_start, a.s AS answer_start, greatest(0, q.s - a.s - a.n, a.s - q.s - q.n) AS distance FROM q JOIN a USING (doc_id, example_id))
         SELECT doc_id, example_id, question_start, min(answer_start) AS answer_start, arg_min(distance, answer_start) AS distance FROM n WHERE distance <= {POLICY.gap} GROUP BY 1, 2, 3""",

@@ -15,7 +15,7 @@ from ..operators import relate as R
 from ..operators import sampling as S
 from ..operators import verify as V
 from ..operators.current import bottom_k, latest_rows
-from .base import REC, SEED, hex_sql, key_sql, read, records
+from .base import REC, SEED, TRIM_SQL, hex_sql, key_sql, read, records
 
 RANKS = {"split": "split-rank-v1", "sample": "sample-rank-v1"}
 
@@ -54,9 +54,12 @@ def split_accounting(spark: SparkSession, d: str) -> DataFrame:
 
 
 def split_check(spark: SparkSession, d: str) -> DataFrame:
-    """V3, V8: the splits rebuilt from shuffled input; no row if they agree."""
+    """V3, V8: what the check finds in splits damaged on purpose: ranks from 0... lost their split, ranks from 1... have a second one."""
     groups = _refs(spark, d).groupBy("group_id").agg(F.min("source").alias("source"), F.min("subset").alias("subset"))
-    return V.verify_splits(S.split_groups(groups, SEED), groups, SEED)
+    made = S.split_groups(groups, SEED)
+    lost = made.withColumn("split", F.when(F.col("rank_hash").startswith("0"), "lost").otherwise(F.col("split")))
+    second = made.where(F.col("rank_hash").startswith("1")).withColumn("split", F.when(F.col("split") == "train", "test").otherwise("train"))
+    return V.verify_splits(lost.unionByName(second), groups, SEED)
 
 
 def bottom_k_per_stratum(spark: SparkSession, d: str) -> DataFrame:
@@ -92,9 +95,10 @@ def quota_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sample_check(spark: SparkSession, d: str) -> DataFrame:
-    """V4: the fitted sample drawn again from shuffled input; no row if they agree."""
+    """V4: what the check finds in a fitted sample damaged on purpose: ranks from 0... are missing, ranks from 1... are there twice."""
     c, t = _candidates(spark, d), _targets(spark, d)
-    return V.verify_sample(S.greedy_fit(c, t, SEED), c, t, SEED)
+    made = S.greedy_fit(c, t, SEED)
+    return V.verify_sample(made.where(~F.col("rank_hash").startswith("0")).unionByName(made.where(F.col("rank_hash").startswith("1"))), c, t, SEED)
 
 
 def frame_groups(spark: SparkSession, d: str) -> DataFrame:
@@ -106,6 +110,33 @@ def frame_groups(spark: SparkSession, d: str) -> DataFrame:
     return S.frame(groups, ["bucket"], "rank", "piece", "words", F.col("target_words") * 10).select("bucket", "piece", "words", "words_before")
 
 
+def frame_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that lie in the frame, by bucket, shard and row group."""
+    rows = _candidates(spark, d).withColumn("piece", F.concat_ws(":", "source_shard", F.col("source_row_group").cast("string")))
+    return rows.where(F.col("words") > 0).join(frame_groups(spark, d).select("bucket", "piece"), ["bucket", "piece"], "left_semi").select("doc_id", "bucket", "piece", "words")
+
+
+def reference_differences(spark: SparkSession, d: str) -> DataFrame:
+    """PF19, PF20: references against the records they name, field by field: compared rows and how many differ (NULL equals NULL); and references without a record."""
+    r = latest_rows(
+        read(spark, d, "refs").select(hex_key("doc_id").alias("doc_id"), label_key("source").alias("source"), label_key("subset").alias("subset"), label_key("original_id").alias("original_id"),
+                                      hex_key("content_sha256").alias("content_sha256"), F.col("normalized_words").alias("words"), "loaded_at"), ["doc_id"], "loaded_at", ["content_sha256"])
+    known = records(spark, d, label_key("original_id").alias("original_key")).select("record_id", "source", "subset", F.col("original_key").alias("original_id"), "content_sha256", "words")
+    return R.field_differences(r.drop("loaded_at"), known.withColumnRenamed("record_id", "doc_id"), "doc_id", ("source", "subset", "original_id", "content_sha256", "words"))
+
+
+def assignment_errors(spark: SparkSession, d: str) -> DataFrame:
+    """PF18: which rules rows of split_groups break, and how often."""
+    rows = read(spark, d, "split_groups").select("group_id", label_key("split").alias("split"), hex_key("rank_hash").alias("rank_hash"), "assigned_at")
+    return V.assignment_errors(rows, _refs(spark, d).select("group_id").distinct())
+
+
+def late_texts(spark: SparkSession, d: str) -> DataFrame:
+    """J20, SM7: from the fitted sample back to the records and texts it stands for; texts are read for chosen rows alone and checked by their hash."""
+    texts = read(spark, d, "normalized_document").select(hex_key("record_id").alias("doc_id"), "text", hex_key("content_sha256").alias("told"), "loaded_at")
+    return R.late_texts(greedy_quota_sample(spark, d).select("doc_id", "bucket"), texts, "doc_id", "loaded_at", "told")
+
+
 def neighbour_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Documents that follow one another in a row group."""
     return S.neighbours(_candidates(spark, d), ["subset", "source_shard", "source_row_group"], "source_row_ordinal", "doc_id")
@@ -118,7 +149,7 @@ def circular_pick(spark: SparkSession, d: str) -> DataFrame:
 
 def round_robin_order(spark: SparkSession, d: str) -> DataFrame:
     """An order that visits the subsets in turns."""
-    rows = _refs(spark, d).where(F.col("subset").isNotNull()).select("doc_id", "subset", stable_rank(RANKS["sample"], SEED, "doc_id").alias("rank"))
+    rows = _refs(spark, d).select("doc_id", F.coalesce("subset", F.lit("")).alias("subset"), stable_rank(RANKS["sample"], SEED, "doc_id").alias("rank"))
     return S.round_robin(rows, "subset", "rank", "doc_id").select("doc_id", "subset", "turn")
 
 
@@ -181,7 +212,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         split_assignments, split_accounting, split_check, bottom_k_per_stratum, reservoir_sample, largest_remainder, quota_words, greedy_quota_sample, quota_report, sample_check,
-        frame_groups, neighbour_pairs, circular_pick, round_robin_order, stratified_pilot, marginal_sample, metadata_families, mixture_capacity, row_group_of, left_over, occurrence_match,
+        frame_groups, frame_documents, reference_differences, assignment_errors, late_texts, neighbour_pairs, circular_pick, round_robin_order, stratified_pilot, marginal_sample, metadata_families, mixture_capacity, row_group_of, left_over, occurrence_match,
     )
 }
 
@@ -220,7 +251,8 @@ SQL = {
     "split_assignments": f"WITH {_SPLIT} SELECT * FROM split",
     "split_accounting": f"""WITH {_SPLIT} SELECT split.source, split, count(*) AS documents, count(DISTINCT group_id) AS groups, sum(normalized_words)::BIGINT AS words,
         count(*) FILTER (WHERE is_long) AS long_documents FROM refs1 JOIN split USING (group_id) GROUP BY 1, 2""",
-    "split_check": "SELECT 'x' AS check, 0::BIGINT AS n WHERE false",
+    "split_check": f"""WITH {_SPLIT}, n AS (SELECT count(*) FILTER (WHERE starts_with(rank_hash, '0')) AS lost, count(*) FILTER (WHERE starts_with(rank_hash, '1')) AS twice FROM split)
+        SELECT unnest(['differs_from_rebuild', 'unknown_split', 'group_in_two_splits']) AS check, unnest([2 * lost + twice, lost, twice]) AS n FROM n""",
     "bottom_k_per_stratum": f"""WITH {_REFS} SELECT doc_id, source, coalesce(domain_category, 'unknown') AS domain FROM refs1
         QUALIFY row_number() OVER (PARTITION BY source, coalesce(domain_category, 'unknown') ORDER BY {_rank(RANKS["sample"], "doc_id")}, doc_id) <= 32""",
     "largest_remainder": f"WITH {_SIZES} SELECT subset, (base + CASE WHEN row_number() OVER (ORDER BY rest DESC, subset) <= 10000 - sum(base) OVER () THEN 1 ELSE 0 END)::BIGINT AS allocated FROM b",
@@ -232,14 +264,42 @@ SQL = {
         FROM r GROUP BY GROUPING SETS ((bucket), ()))
         SELECT *, actual_words - target_words AS deviation, coalesce((target_words - actual_words) * 10000 // nullif(target_words, 0), 0) AS shortfall_bp,
         CASE WHEN abs(coalesce((target_words - actual_words) * 10000 // nullif(target_words, 0), 0)) <= 100 THEN 'PASS' ELSE 'FAIL' END AS status FROM s""",
-    "sample_check": "SELECT 'x' AS check, 0::BIGINT AS n WHERE false",
+    "sample_check": f"""WITH RECURSIVE {_GREEDY}, r AS (SELECT bucket, words, left({_rank(RANKS["sample"], "doc_id")}, 1) AS c FROM greedy),
+        over_target AS (SELECT bucket FROM r JOIN target USING (bucket) GROUP BY bucket, target_words HAVING sum(CASE c WHEN '0' THEN 0 WHEN '1' THEN 2 * words ELSE words END) > target_words),
+        n AS (SELECT 'differs_from_rebuild' AS check, (SELECT count(*) FROM r WHERE c IN ('0', '1')) AS n UNION ALL SELECT 'bucket_above_target', (SELECT count(*) FROM over_target))
+        SELECT * FROM n WHERE n > 0""",
     "frame_groups": f"""WITH {_CAND}, {_TARGET}, g AS (SELECT bucket, concat_ws(':', source_shard, source_row_group::VARCHAR) AS piece, sum(words)::BIGINT AS words FROM cand WHERE words > 0 AND bucket IS NOT NULL GROUP BY 1, 2),
         r AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY bucket ORDER BY {_rank("frame-rank-v1", "concat_ws('|', bucket, piece)")}, piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS words_before FROM g)
-        SELECT bucket, piece, words, words_before FROM r JOIN target USING (bucket) WHERE words_before < target_words * 2""",
+        SELECT bucket, piece, words, words_before FROM r JOIN target USING (bucket) WHERE words_before < target_words * 10""",
+    "frame_documents": f"""WITH {_CAND}, {_TARGET}, p AS (SELECT *, concat_ws(':', source_shard, source_row_group::VARCHAR) AS piece FROM cand WHERE words > 0 AND bucket IS NOT NULL),
+        g AS (SELECT bucket, piece, sum(words) AS words FROM p GROUP BY 1, 2),
+        r AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY bucket ORDER BY {_rank("frame-rank-v1", "concat_ws('|', bucket, piece)")}, piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS words_before FROM g)
+        SELECT doc_id, bucket, piece, words FROM p WHERE (bucket, piece) IN (SELECT (bucket, piece) FROM r JOIN target USING (bucket) WHERE words_before < target_words * 10)""",
+    "reference_differences": f"""WITH {REC}, f AS (SELECT {hex_sql("doc_id")} AS doc_id, {key_sql("source")} AS source, {key_sql("subset")} AS subset, {key_sql("original_id")} AS original_id,
+            {hex_sql("content_sha256")} AS content_sha256, normalized_words AS words FROM refs
+            QUALIFY row_number() OVER (PARTITION BY {hex_sql("refs.doc_id")} ORDER BY loaded_at DESC NULLS LAST, {hex_sql("refs.content_sha256")} DESC NULLS LAST) = 1),
+        j AS (SELECT f.*, r.record_id, r.source AS source2, r.subset AS subset2, {key_sql("r.original_id")} AS original_id2, r.content_sha256 AS content2, r.words AS words2 FROM f LEFT JOIN rec r ON r.record_id = f.doc_id)
+        SELECT 'no_record' AS field, count(*) AS compared, count(*) FILTER (WHERE record_id IS NULL) AS differing FROM j
+        UNION ALL SELECT 'source', count(*), count(*) FILTER (WHERE source IS DISTINCT FROM source2) FROM j WHERE record_id IS NOT NULL
+        UNION ALL SELECT 'subset', count(*), count(*) FILTER (WHERE subset IS DISTINCT FROM subset2) FROM j WHERE record_id IS NOT NULL
+        UNION ALL SELECT 'original_id', count(*), count(*) FILTER (WHERE original_id IS DISTINCT FROM original_id2) FROM j WHERE record_id IS NOT NULL
+        UNION ALL SELECT 'content_sha256', count(*), count(*) FILTER (WHERE content_sha256 IS DISTINCT FROM content2) FROM j WHERE record_id IS NOT NULL
+        UNION ALL SELECT 'words', count(*), count(*) FILTER (WHERE words IS DISTINCT FROM words2) FROM j WHERE record_id IS NOT NULL""",
+    "assignment_errors": f"""WITH {_REFS}, a AS (SELECT {hex_sql("group_id")} AS g, group_id, {key_sql("split")} AS split, {hex_sql("rank_hash")} AS rank_hash, assigned_at FROM split_groups),
+        e AS (SELECT CASE WHEN coalesce(g, '') = '' THEN 'group_missing' END AS error FROM a UNION ALL SELECT CASE WHEN group_id <> g THEN 'group_spelled_unevenly' END FROM a
+            UNION ALL SELECT CASE WHEN coalesce(split, '') NOT IN ('train', 'validation', 'test') THEN 'split_unknown' END FROM a
+            UNION ALL SELECT CASE WHEN rank_hash IS NULL OR NOT regexp_full_match(rank_hash, '[0-9a-f]{{64}}') THEN 'rank_malformed' END FROM a
+            UNION ALL SELECT CASE WHEN g <> '' AND g NOT IN (SELECT group_id FROM refs1 WHERE group_id IS NOT NULL) THEN 'group_not_in_refs' END FROM a
+            UNION ALL SELECT CASE WHEN count(DISTINCT split) > 1 THEN 'group_in_two_splits' END FROM a WHERE g <> '' GROUP BY g)
+        SELECT error, count(*) AS rows FROM e WHERE error IS NOT NULL GROUP BY error""",
+    "late_texts": f"""WITH RECURSIVE {_GREEDY}, t AS (SELECT {hex_sql("record_id")} AS doc_id, text, {hex_sql("content_sha256")} AS told FROM normalized_document
+            QUALIFY row_number() OVER (PARTITION BY {hex_sql("normalized_document.record_id")} ORDER BY loaded_at DESC NULLS LAST) = 1),
+        n AS (SELECT doc_id, told, trim(nfc_normalize(regexp_replace(text, '\\r\\n?', chr(10), 'g')), {TRIM_SQL}) AS x FROM t)
+        SELECT doc_id, bucket, coalesce(length(x), 0) AS characters, CASE WHEN x <> '' THEN sha256(x) END IS NOT DISTINCT FROM told AS hash_right FROM greedy JOIN n USING (doc_id)""",
     "neighbour_pairs": f"""WITH {_CAND}, n AS (SELECT subset, source_shard, source_row_group, lag(doc_id) OVER (PARTITION BY subset, source_shard, source_row_group ORDER BY source_row_ordinal, doc_id) AS doc_id_before, doc_id FROM cand)
         SELECT * FROM n WHERE doc_id_before IS NOT NULL""",
     "circular_pick": f"WITH {_REFS} SELECT doc_id FROM refs1 ORDER BY doc_id < 'f8', doc_id LIMIT 400",
-    "round_robin_order": f"""WITH {_REFS} SELECT doc_id, subset, row_number() OVER (PARTITION BY subset ORDER BY {_rank(RANKS["sample"], "doc_id")}, doc_id) AS turn FROM refs1 WHERE subset IS NOT NULL""",
+    "round_robin_order": f"""WITH {_REFS} SELECT doc_id, coalesce(subset, '') AS subset, row_number() OVER (PARTITION BY coalesce(subset, '') ORDER BY {_rank(RANKS["sample"], "doc_id")}, doc_id) AS turn FROM refs1""",
     "stratified_pilot": f"""WITH {REC}, s AS (SELECT record_id, {_rank(RANKS["sample"], "record_id")} AS rank,
         CASE WHEN words < 20 THEN 'short' WHEN words < 1000 THEN 'medium' WHEN words < 100000 THEN 'long' WHEN words IS NOT NULL THEN 'giant' END AS stratum FROM rec),
         n AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY rank, record_id) <= CASE stratum WHEN 'short' THEN 60 WHEN 'long' THEN 30 WHEN 'medium' THEN 210 ELSE 0 END AS first FROM s WHERE stratum IS NOT NULL)

@@ -50,14 +50,17 @@ def packing_accounting(spark: SparkSession, d: str) -> DataFrame:
 
 
 def packing_check(spark: SparkSession, d: str) -> DataFrame:
-    """K5, K6: what breaks the rules of packing; no row if nothing does."""
+    """K5, K6: what the check finds in windows damaged on purpose: a token outside the vocabulary in each first window, padding in each second one, documents whose id hashes to 0... given twice."""
     t = _tokens(spark, d)
-    return K.violations(t, K.windows(t, POLICY), POLICY)
+    w = K.windows(t, POLICY)
+    ids = F.when(F.col("window") == 0, F.concat(F.array(F.lit(POLICY.vocabulary)), F.slice("input_ids", 2, POLICY.context - 1))).otherwise(F.col("input_ids"))
+    w = w.withColumns({"input_ids": ids, "padding": F.when(F.col("window") == 1, F.lit(1).cast("long")).otherwise(F.col("padding"))})
+    return K.violations(t.unionByName(t.where(F.sha2("document_id", 256).startswith("0"))), w, POLICY)
 
 
 def fragmentation(spark: SparkSession, d: str) -> DataFrame:
     """Pieces per word by source."""
-    return T.fragmentation(web(spark, d).where(F.col("source").isNotNull()), FILE, ["source"])
+    return T.fragmentation(web(spark, d).withColumn("source", F.coalesce("source", F.lit(""))), FILE, ["source"])
 
 
 def macro_fragmentation(spark: SparkSession, d: str) -> DataFrame:
@@ -85,5 +88,8 @@ SQL = {
         WHERE greatest(stream_start, w * {_C} + 1) < least(stream_end, (w + 1) * {_C} + 1)""",
     "packing_accounting": f"""WITH {_OFFSETS}, a AS (SELECT split, count(*) AS documents, sum(n_tokens)::BIGINT AS payload, max(stream_end) AS stream FROM off GROUP BY split)
         SELECT *, documents AS end_tokens, stream - 1 AS targets, (stream - 1 + {_C - 1}) // {_C} AS windows, (stream - 1 + {_C - 1}) // {_C} * {_C} - stream + 1 AS padding FROM a""",
-    "packing_check": "SELECT 'x' AS check, 0::BIGINT AS n WHERE false",
+    "packing_check": f"""WITH {_OFFSETS}, l AS (SELECT split, (max(stream_end) - 2) // {_C} AS last FROM off GROUP BY split),
+        n AS (SELECT 'repeated_document' AS check, (SELECT count(*) FROM tok WHERE starts_with(sha256(document_id), '0')) AS n UNION ALL SELECT 'malformed_window', (SELECT count(*) FROM l)
+            UNION ALL SELECT 'unfilled_inner_window', (SELECT count(*) FROM l WHERE last > 1))
+        SELECT * FROM n WHERE n > 0""",
 }
