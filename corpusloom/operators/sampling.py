@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import fast_hash, stable_rank, unsigned_order
-from ..runtime import Workspace, prefix_sums
+from ..runtime import Workspace, bounded_side, prefix_sums
 from .current import bottom_k
 
 #: Hex digits of a rank that cut a stratum into cells (4,096), so that no task sorts a whole stratum.
 CELL_DIGITS = 3
+#: Most buckets of a plan; what has one row a bucket is broadcast.
+PLAN_ROWS = 10_000
 
 
 def numbered(df: DataFrame, strata: Sequence[str], rank: str, key: str, name: str = "place") -> DataFrame:
@@ -79,12 +81,14 @@ def greedy_fit(documents: DataFrame, targets: DataFrame, seed: int, namespace: s
     what can never fit again and goes on behind the one that did not fit. The
     room left shrinks below that document's size each round, so rounds are few.
 
+    More than ``PLAN_ROWS`` buckets are an error.
+
     NULL keys, words NULL or not positive: never taken. Repeated doc_ids: the
     smallest words once. Ties of rank: by doc_id. Empty inputs: empty result.
     """
     ws = Workspace(documents.sparkSession)
     rows = documents.where((F.col("words") > 0) & F.col("bucket").isNotNull() & F.col("doc_id").isNotNull()).groupBy("bucket", "doc_id").agg(F.min("words").cast("long").alias("words"))
-    room = targets.groupBy("bucket").agg(F.max("target_words").cast("long").alias("room"))
+    room = bounded_side(targets.groupBy("bucket").agg(F.max("target_words").cast("long").alias("room")), PLAN_ROWS, "a plan")
     open_ones = ws.write(rows.join(room, "bucket").where(F.col("words") <= F.col("room")).withColumn("rank_hash", stable_rank(namespace, seed, "doc_id")))
     taken: list[DataFrame] = []
     for _ in range(max_rounds):
@@ -95,11 +99,11 @@ def greedy_fit(documents: DataFrame, targets: DataFrame, seed: int, namespace: s
         fits = F.col("before") + F.col("words") <= F.col("room")
         run = ws.write(run.withColumn("fits", fits))
         stop = run.where(~F.col("fits")).groupBy("bucket").agg(F.min(place).alias("stop"))
-        marked = run.join(stop, "bucket", "left").withColumn("now", F.col("stop").isNull() | (place < F.col("stop")))
+        marked = run.join(F.broadcast(stop), "bucket", "left")  # one row a bucket of the plan.withColumn("now", F.col("stop").isNull() | (place < F.col("stop")))
         marked = ws.write(marked)
         taken.append(marked.where("now").select("doc_id", "bucket", "words", "rank_hash"))
         used = marked.groupBy("bucket").agg((F.max("room") - F.sum(F.when(F.col("now"), F.col("words")).otherwise(0))).alias("left"))
-        rest = marked.where(~F.col("now") & (place > F.col("stop"))).join(used, "bucket").where(F.col("words") <= F.col("left"))
+        rest = marked.where(~F.col("now") & (place > F.col("stop"))).join(F.broadcast(used), "bucket").where(F.col("words") <= F.col("left"))
         following = ws.write(rest.select("bucket", "doc_id", "words", F.col("left").alias("room"), "rank_hash"))
         ws.drop(open_ones, run)
         open_ones = following

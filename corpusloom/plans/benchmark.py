@@ -74,8 +74,9 @@ def _with_controls(spark: SparkSession, d: str) -> DataFrame:
     q = f.where("field_role = 'question'").select("example_id", F.col("original_text").alias("q"))
     a = f.where("field_role = 'correct_answer'").select("example_id", F.col("original_text").alias("a"))
     number = F.conv(F.substring(F.sha2("example_id", 256), 1, 8), 16, 10).cast("long")
-    controls = q.join(a, "example_id").select((-number).alias("doc_id"), F.concat("q", F.lit(" "), F.repeat(F.lit("x "), (number % 200).cast("int")), F.col("a")).alias("text"))
-    return read(spark, d, "documents").select("doc_id", "text").unionByName(controls)
+    docs = read(spark, d, "documents").select("doc_id", "text")
+    controls = q.join(a, "example_id").select((-number).cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.concat("q", F.lit(" "), F.repeat(F.lit("x "), (number % 200).cast("int")), F.col("a")).alias("text"))
+    return docs.unionByName(controls)
 
 
 def near_answers(spark: SparkSession, d: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Session-level helpers: lineage cuts, bounded broadcasts, distributed prefix sums."""
+"""Session-level helpers: lineage cuts, joins on hot keys, bounded broadcasts, distributed prefix sums."""
 
 from __future__ import annotations
 
@@ -10,8 +10,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows up to which a side may be broadcast after it was counted.
-BROADCAST_ROWS = 200_000
 #: A key is hot when it holds more than this part of all rows, so there are never more hot keys than this number, and more rows than any task minds.
 HOT_PART = 1000
 HOT_ROWS = 10_000
@@ -77,11 +75,6 @@ class Workspace:
             path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it is counted to hold ``max_rows`` rows at most, else as it is."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def bounded_side(df: DataFrame, rows: int, what: str) -> DataFrame:
     """``df`` to be broadcast: a plan or a table of names that may hold ``rows`` rows at most; more are an error, never another plan."""
     if df.limit(rows + 1).count() > rows:
