@@ -254,6 +254,11 @@ def test_held_out_samples(samples):
     got, confidence = judge(machine, [t for _, t in held])
     assert np.mean([a == b for a, (b, _) in zip(got, held, strict=True)]) >= 0.99
     assert ((confidence >= 0.5) & (confidence <= 1)).all()
+    machine.calibrate(held)
+    views = [(x, v) for x, t in held for v in language._views(t) if v]
+    got, confidence = judge(machine, [" ".join(v) for _, v in views])
+    right = np.array([a == b for a, (b, _) in zip(got, views, strict=True)])
+    assert abs(confidence.mean() - right.mean()) < 0.03  # said and true agree
     bare = ["".join(c for c in unicodedata.normalize("NFD", t) if not unicodedata.combining(c)).upper() for _, t in held]
     assert np.mean([a == b for a, (b, _) in zip(judge(machine, bare)[0], held, strict=True)]) >= 0.98
     broken = [t.encode().decode("latin-1") for _, t in held]
