@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import benchmark, collection, pairs, selection, windows
+from . import benchmark, collection, pairs, selection, stores, windows
 
-MODULES = (collection, selection, pairs, benchmark, windows)
+MODULES = (collection, selection, pairs, benchmark, windows, stores)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -55,18 +55,31 @@ class Workspace:
         self._spark = spark
         self._root = f"{checkpoint_folder(spark)}/run-{uuid.uuid4().hex}"
         self._written = 0
+        self._marked = False
 
     def write(self, df: DataFrame) -> DataFrame:
         path = f"{self._root}/{self._written:04d}"
         self._written += 1
+        self._delete_on_exit()  # what the last plan still reads goes when the application ends
         df.write.parquet(path)
-        if self._written == 1:  # what the last plan still reads goes when the application ends
-            root = self._spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._root)
-            root.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(root)
         table = self._spark.read.schema(df.schema).parquet(path)
         table._written_at = path
         return table
 
+    def path(self, name: str) -> str:
+        """A path under the run's folder for a writer of its own; it goes when the application ends."""
+        self._delete_on_exit()
+        return f"{self._root}/{name}"
+
+    def _delete_on_exit(self) -> None:
+        if not self._marked:
+            sc = self._spark.sparkContext
+            root = sc._jvm.org.apache.hadoop.fs.Path(self._root)
+            fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+            fs.mkdirs(root)
+            fs.deleteOnExit(root)
+            self._marked = True
+
     def drop(self, *tables: DataFrame) -> None:
         """Deletes written tables; nothing lazy may still read them."""
         sc = self._spark.sparkContext

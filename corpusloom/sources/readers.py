@@ -17,8 +17,8 @@ from ..functions.text import strip_wrapper
 from ..operators.normalize import titled
 
 #: Lines that open and close the body of a book.
-BOOK_START = r"\*{3} ?START OF (?:THE|THIS) PROJECT"
-BOOK_END = r"\*{3} ?END OF (?:THE|THIS) PROJECT"
+BOOK_START = r"(?i)\*{3} ?START OF (?:THE|THIS) PROJECT"
+BOOK_END = r"(?i)\*{3} ?END OF (?:THE|THIS) PROJECT"
 #: Fixed value: elements of an encoded text whose content is one block of its body.
 BLOCKS = ("p", "head", "l", "item", "ab", "u")
 
@@ -102,7 +102,7 @@ def read_partitioned(spark: SparkSession, path: str, known: tuple[str, ...], sou
 def parse_encoded(content: bytes) -> Iterator[tuple[str, str, str]]:
     """(id, body, metadata as JSON) of every encoded text in a file, read as a stream; blocks of the body are parted by blank lines."""
     local = lambda tag: tag.rsplit("}", 1)[-1]
-    stream = io.BytesIO(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content)
+    stream = gzip.open(io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
     for _, node in ElementTree.iterparse(stream, events=("end",)):
         if local(node.tag) != "TEI":
             continue
@@ -173,10 +173,49 @@ def reader(kind: str) -> Callable:
     return REGISTRY[kind]
 
 
-def discover(folder: str, skip: tuple[str, ...] = ("test", "smoke")) -> list[str]:
-    """All Parquet files under a folder, in order, without those in folders whose names hold a word of ``skip``."""
-    root = Path(folder)
-    return sorted(str(p) for p in root.rglob("*.parquet") if not any(s in part.lower() for part in p.relative_to(root).parts[:-1] for s in skip))
+def discover(spark: SparkSession, folder: str, skip: tuple[str, ...] = ("test", "smoke"), ending: str = ".parquet") -> list[str]:
+    """All files of an ending under a folder of any file system, in order, without those in folders below it whose names hold a word of ``skip``."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    base = fs.makeQualified(root).toString().rstrip("/") + "/"
+    found, names = fs.listFiles(root, True), []
+    while found.hasNext():
+        names.append(found.next().getPath().toString())
+    return sorted(n for n in names if n.endswith(ending) and not any(s in part.lower() for part in n.removeprefix(base).split("/")[:-1] for s in skip))
+
+
+def open_path(path: str):
+    """A binary stream over a file of any file system that Arrow knows, for tasks."""
+    from pyarrow import fs
+
+    system, name = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    return system.open_input_file(name)
+
+
+def constant_columns(spark: SparkSession, files: list[str]) -> DataFrame:
+    """``(file, column, value)`` of columns that hold one value and no NULL, from the statistics of all row groups of a file; columns whose statistics do not tell are left out, so are files without rows."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            rows = []
+            for file in batch["file"]:
+                with open_path(file) as f:
+                    meta = pq.read_metadata(f)
+                told: dict[str, set] = {}
+                groups = [meta.row_group(g) for g in range(meta.num_row_groups)]
+                for group in (g for g in groups if g.num_rows):
+                    for c in (group.column(i) for i in range(group.num_columns)):
+                        s = c.statistics
+                        sure = s is not None and s.has_min_max and s.has_null_count and s.null_count == 0 and s.min == s.max
+                        told.setdefault(c.path_in_schema, set()).add(s.min if sure else ...)
+                rows += [(file, c, str(next(iter(v)))) for c, v in told.items() if len(v) == 1 and ... not in v]
+            yield pd.DataFrame(rows, columns=["file", "column", "value"])
+
+    listed = spark.createDataFrame([(f,) for f in files], "file string")
+    return listed.repartition(max(1, min(len(files), 200))).mapInPandas(read, "file string, column string, value string")
 
 
 def row_groups(spark: SparkSession, files: list[str], columns: tuple[str, ...] = ()) -> DataFrame:
@@ -189,7 +228,8 @@ def row_groups(spark: SparkSession, files: list[str], columns: tuple[str, ...] =
         for batch in batches:
             rows = []
             for file in batch["file"]:
-                meta, start = pq.read_metadata(file), 0
+                with open_path(file) as f:
+                    meta, start = pq.read_metadata(f), 0
                 for g in range(meta.num_row_groups):
                     group = meta.row_group(g)
                     parts = [group.column(i) for i in range(group.num_columns)]

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Sequence
-from pathlib import Path
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.text import word_count
 from ..schema import assert_schema
+from .readers import discover, open_path
 
 
 def write_table(df: DataFrame, path: str, sort_within: Sequence[str] = (), partition_by: Sequence[str] = (), rows_a_file: int = 0) -> None:
@@ -69,32 +70,52 @@ def load_sample(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     return assert_schema(spark.read.parquet(path), schema)
 
 
-def inventory(folder: str) -> list[dict]:
-    """Name, bytes and SHA-256 of every file under a local folder, in order; marks of the writer are left out."""
-    root = Path(folder)
-    out = []
-    for p in sorted(x for x in root.rglob("*") if x.is_file() and x.name[0] not in "._"):
-        digest = hashlib.sha256()
-        with p.open("rb") as f:
-            while part := f.read(2**20):
-                digest.update(part)
-        out.append({"path": p.relative_to(root).as_posix(), "bytes": p.stat().st_size, "sha256": digest.hexdigest()})
-    return out
+def inventory(spark: SparkSession, folder: str) -> DataFrame:
+    """``(path, bytes, sha256)`` of every file under a folder of any file system, hashed in tasks; marks of the writer and the manifest are left out."""
+    root = files_root(spark, folder)
+    names = [n for n in discover(spark, folder, (), "") if n.rsplit("/", 1)[-1][0] not in "._" and n != f"{root}manifest.json"]
 
+    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for name in batch["file"]:
+                h, size = hashlib.sha256(), 0
+                with open_path(name) as f:
+                    while part := f.read(2**20):
+                        h.update(part)
+                        size += len(part)
+                rows.append((name.removeprefix(root), size, h.hexdigest()))
+            yield pd.DataFrame(rows, columns=["path", "bytes", "sha256"])
 
-def write_manifest(folder: str, told: dict) -> str:
+    listed = spark.createDataFrame([(n,) for n in names], "file string")
+    return listed.repartition(max(1, min(len(names), 200))).mapInPandas(digest, "path string, bytes long, sha256 string")
+
+
+def files_root(spark: SparkSession, folder: str) -> str:
+    """A folder's full name with its file system, ending in a slash."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(root).toString().rstrip("/") + "/"
+
+
+def write_manifest(spark: SparkSession, folder: str, told: dict) -> str:
     """``manifest.json`` beside the files of a folder: what was told and the inventory; gives its own SHA-256. An existing one is an error."""
-    text = json.dumps(told | {"files": inventory(folder)}, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
-    with (Path(folder) / "manifest.json").open("x", encoding="utf-8") as f:
-        f.write(text)
+    files = [r.asDict() for r in inventory(spark, folder).orderBy("path").collect()]  # names and digests, one a file
+    text = json.dumps(told | {"files": files}, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/manifest.json")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def manifest_errors(folder: str) -> list[str]:
+def manifest_errors(spark: SparkSession, folder: str) -> list[str]:
     """What differs between a folder and its manifest: files missing, not listed, or changed; paths that leave the folder."""
-    told = json.loads((Path(folder) / "manifest.json").read_text(encoding="utf-8"))
+    with open_path(f"{files_root(spark, folder)}manifest.json") as f:
+        told = json.loads(f.read())
     listed = {f["path"]: f for f in told["files"]}
-    have = {f["path"]: f for f in inventory(folder) if f["path"] != "manifest.json"}
+    have = {r.path: r.asDict() for r in inventory(spark, folder).collect()}
     errors = [f"{p}: path leaves the folder" for p in listed if p.startswith("/") or ".." in p.split("/")]
     errors += [f"{p}: missing" for p in listed.keys() - have.keys()] + [f"{p}: not listed" for p in have.keys() - listed.keys()]
     errors += [f"{p}: changed" for p in listed.keys() & have.keys() if listed[p] != have[p]]

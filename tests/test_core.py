@@ -437,14 +437,14 @@ def test_sources_and_sinks(spark, tmp_path):
     writers.write_by_subset(df, str(table), {"origin": "here"})
     with pytest.raises(Exception):  # noqa: B017
         writers.write_by_subset(df, str(table), {"origin": "here"})
-    writers.write_manifest(str(table), {"rows": 2})
-    assert writers.manifest_errors(str(table)) == []
+    writers.write_manifest(spark, str(table), {"rows": 2})
+    assert writers.manifest_errors(spark, str(table)) == []
     known, _ = readers.read_partitioned(spark, str(table), ("text",))
     assert sorted((r.text, r.subset, r.upstream_metadata_json) for r in known.collect())[0] == ("a", "x", '{"n":1,"origin":"here"}')
-    files = readers.discover(str(table))
+    files = readers.discover(spark, str(table))
     assert len(files) == 2 and readers.row_groups(spark, files, ("text",)).agg(F.sum("rows")).first()[0] == 2
     next(table.rglob("*.parquet")).write_bytes(b"x")
-    assert any("changed" in e for e in writers.manifest_errors(str(table)))
+    assert any("changed" in e for e in writers.manifest_errors(spark, str(table)))
     bench = tmp_path / "b.jsonl"
     bench.write_text(json.dumps({"id": "1", "sentence": "s", "last_word": "w"}) + "\n")
     fields = readers.read_benchmark(spark, str(bench), {"sentence": "context", "last_word": "target_word"}, "n", ("id",), ("target_word",))
