@@ -88,12 +88,13 @@ def duplicate_edges(resolution: DataFrame) -> DataFrame:
 
 
 def cluster_index(resolution: DataFrame) -> DataFrame:
-    """One row a cluster, single ones too: ``content_sha256, records, duplicates, sources, source_counts`` (``name=count`` pairs in order)."""
-    per = resolution.where(F.col("content_sha256").isNotNull()).groupBy("content_sha256", "source").agg(F.count(F.lit(1)).alias("n"))
-    told = F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "source", F.col("n").cast("string")))), ",")
-    return per.groupBy("content_sha256").agg(
-        F.sum("n").alias("records"), (F.sum("n") - 1).alias("duplicates"), F.count(F.lit(1)).alias("sources"), told.alias("source_counts")
-    )
+    """One row a cluster, single ones too: ``content_sha256, records, duplicates, sources, source_counts, subset_counts`` (``name=count`` pairs in order; subsets with their source)."""
+    rows = resolution.where(F.col("content_sha256").isNotNull()).groupBy("content_sha256", "source", "subset").agg(F.count(F.lit(1)).alias("n"))
+    told = F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", F.col("k"), F.col("n").cast("string")))), ",")
+    per = rows.groupBy("content_sha256", F.col("source").alias("k")).agg(F.sum("n").alias("n"))
+    by_source = per.groupBy("content_sha256").agg(F.sum("n").alias("records"), (F.sum("n") - 1).alias("duplicates"), F.count(F.lit(1)).alias("sources"), told.alias("source_counts"))
+    by_subset = rows.withColumn("k", F.concat_ws("/", "source", "subset")).groupBy("content_sha256", "k").agg(F.sum("n").alias("n")).groupBy("content_sha256").agg(told.alias("subset_counts"))
+    return by_source.join(by_subset, "content_sha256")
 
 
 def accounting(resolution: DataFrame) -> DataFrame:

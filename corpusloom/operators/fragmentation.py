@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -49,7 +49,7 @@ def word_pieces(documents: DataFrame, path: str, by: Sequence[str]) -> DataFrame
 
 
 def fragmentation(documents: DataFrame, path: str, by: Sequence[str]) -> DataFrame:
-    """Tokens per word, percentiles of pieces per word, and pieces of accented and rare words, by the given columns."""
+    """Tokens per word, nearest-rank percentiles of pieces over all occurrences of words, the most pieces of a word, and pieces of accented and rare words, by the given columns."""
     texts = documents.withColumn("tokens", token_count("text", path)).groupBy(*by).agg(
         F.count(F.lit(1)).alias("documents"), F.sum("tokens").alias("tokens"), F.sum(word_count("text")).alias("words"),
         F.sum(F.size(number_spans("text"))).alias("numbers"), F.sum(F.size(scientific_spans("text"))).alias("scientific"),
@@ -63,10 +63,27 @@ def fragmentation(documents: DataFrame, path: str, by: Sequence[str]) -> DataFra
         F.round(F.sum(F.when(accent, t)) / F.sum(F.when(accent, n)), 6).alias("pieces_per_accented_word"),
         F.round(F.sum(F.when(rare, t)) / F.sum(F.when(rare, n)), 6).alias("pieces_per_rare_word"),
     )
+    counts = pieces.groupBy(*by, "pieces").agg(F.sum("occurrences").alias("__n"))
+    w = Window.partitionBy(*by)
+    run = counts.withColumn("__upto", F.sum("__n").over(w.orderBy("pieces"))).withColumn("__all", F.sum("__n").over(w))
+    ranks = [F.min(F.when(F.col("__upto") >= F.ceil(F.lit(p) * F.col("__all")), F.col("pieces"))).alias(f"pieces_p{round(p * 100)}") for p in (0.5, 0.9, 0.99)]
+    ranks = run.groupBy(*by).agg(*ranks)
+    told = told.join(ranks, list(by), "left") if by else told.crossJoin(F.broadcast(ranks))  # one row each
     out = texts.join(told, list(by), "left") if by else texts.crossJoin(F.broadcast(told))
     return out.withColumn("tokens_per_word", F.round(F.col("tokens") / F.nullif(F.col("words"), F.lit(0)), 6))
 
 
+def compare(documents: DataFrame, paths: dict[str, str], by: Sequence[str]) -> DataFrame:
+    """:func:`fragmentation` of several vocabularies side by side, ``candidate`` first; none is declared the best. Names must be distinct, an empty choice is an error."""
+    if not paths:
+        raise ValueError("there is nothing to compare")
+    parts = [fragmentation(documents, path, by).select(F.lit(name).alias("candidate"), "*") for name, path in sorted(paths.items())]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def macro_average(metrics: DataFrame, value: str, source: str = "source") -> DataFrame:
     """Unweighted mean over sources of each source's mean; NULLs are left out at both levels."""
     return metrics.groupBy(source).agg(F.avg(value).alias("__m")).agg(F.round(F.avg("__m"), 6).alias(f"macro_{value}"), F.count("__m").alias("sources"))

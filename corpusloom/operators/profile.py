@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import filled
-from ..functions.text import letters, repeated_line_ratio, strip, word_count
+from ..functions.text import content_hash, letters, repeated_line_ratio, strip, word_count
 
 #: Below these a document is nearly empty; from this share on its lines repeat.
 NEAR_EMPTY_CHARACTERS, NEAR_EMPTY_WORDS, HIGH_REPETITION = 100, 20, 0.2
@@ -29,9 +29,9 @@ def measured(documents: DataFrame) -> DataFrame:
 
 
 def corpus_profile(documents: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Documents, sizes, letters per character, nearly empty documents, repeating lines and surplus copies by the given columns."""
+    """Documents, sizes, letters per character, nearly empty documents, repeating lines, distinct contents and surplus copies of them (within the group) by the given columns."""
     near_empty = (F.col("characters") < NEAR_EMPTY_CHARACTERS) | (F.col("words") < NEAR_EMPTY_WORDS)
-    rows = measured(documents)
+    rows = measured(documents).withColumn("__h", content_hash("text"))
     return rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("documents"),
         F.sum("characters").alias("characters"),
@@ -39,6 +39,8 @@ def corpus_profile(documents: DataFrame, by: Sequence[str]) -> DataFrame:
         F.round(F.coalesce(F.sum("letters") / F.nullif(F.sum("characters"), F.lit(0)), F.lit(0.0)), 6).alias("letter_ratio"),
         F.count_if(near_empty).alias("near_empty"),
         F.count_if(F.col("repeated_lines") >= HIGH_REPETITION).alias("repeating"),
+        F.count_distinct("__h").alias("contents"),
+        (F.count("__h") - F.count_distinct("__h")).alias("surplus_copies"),
     )
 
 

@@ -87,3 +87,24 @@ def assignment_errors(assigned: DataFrame, groups: DataFrame) -> DataFrame:
     each = rows.select(F.explode(F.array_compact(F.array(*[F.when(bad, name) for name, bad in wrong]))).alias("error"))
     torn = rows.where(F.col("__g") != "").groupBy("__g").agg(F.count_distinct("split").alias("n")).where(F.col("n") > 1).select(F.lit("group_in_two_splits").alias("error"))
     return each.unionByName(torn).groupBy("error").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def pair_errors(pairs: DataFrame, records: DataFrame) -> DataFrame:
+    """``(error, rows)`` for every rule that rows of ``pairs(a, b, estimated_similarity, bucket_hits, max_bucket_size, config_mask)`` break; a pair given repeatedly counts once. Ids are in bare form; NULL counts as missing."""
+    known = records.select(F.col("record_id").alias("__k"), F.lit(True).alias("__known")).where(F.col("__k").isNotNull()).distinct()
+    rows = pairs
+    for end in "ab":
+        rows = rows.join(known.withColumnsRenamed({"__k": end, "__known": f"__known_{end}"}), end, "left")
+    unknown = ((F.col("a") != "") & F.col("__known_a").isNull()) | ((F.col("b") != "") & F.col("__known_b").isNull())
+    s = F.col("estimated_similarity")
+    wrong = [
+        ("id_missing", (F.coalesce("a", F.lit("")) == "") | (F.coalesce("b", F.lit("")) == "")),
+        ("record_with_itself", F.col("a") == F.col("b")),
+        ("order_reversed", F.col("a") > F.col("b")),
+        ("similarity_unusable", ~F.coalesce(s.between(0, 1) & ~F.isnan(s), F.lit(False))),
+        ("record_unknown", unknown),
+        ("evidence_impossible", (F.col("bucket_hits") < 1) | (F.col("max_bucket_size") < 2) | (F.col("config_mask") < 1)),
+    ]
+    each = rows.select(F.explode(F.array_compact(F.array(*[F.when(bad, name) for name, bad in wrong]))).alias("error"))
+    again = pairs.groupBy(F.least("a", "b"), F.greatest("a", "b")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(F.lit("pair_repeated").alias("error"))
+    return each.unionByName(again).groupBy("error").agg(F.count(F.lit(1)).alias("rows"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import overlap as O
+from ..operators.current import bottom_k
 from ..runtime import Workspace
 from .base import read
 
@@ -86,6 +87,12 @@ def near_answers(spark: SparkSession, d: str) -> DataFrame:
     return O.near_answers(O.exact_places(found), O.answer_places(found), POLICY).select("doc_id", "example_id", *[F.col(c).cast("long").alias(c) for c in ("question_start", "answer_start", "distance")])
 
 
+def control_panel(spark: SparkSession, d: str) -> DataFrame:
+    """SM13: the eight items of smallest rank of each benchmark and role, to make controls of."""
+    rows = read(spark, d, "benchmark_field").where("matchable").select("benchmark_name", "field_role", "field_id", F.sha2(F.concat(F.lit("panel-v1\0"), "field_id"), 256).alias("rank"))
+    return bottom_k(rows, ["benchmark_name", "field_role"], "rank", "field_id", 8)
+
+
 def overlap_hits(spark: SparkSession, d: str) -> DataFrame:
     """Every hit with its rule."""
     return O.hits_by_rule(read(spark, d, "documents"), read(spark, d, "benchmark_field"), POLICY)
@@ -104,7 +111,7 @@ def scan_accounting(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        field_sizes, anchor_frequency, anchor_hits, anchor_documents, exact_items, token_runs, distinctive_coverage, near_answers, overlap_hits, overlap_summary, scan_accounting,
+        field_sizes, anchor_frequency, anchor_hits, anchor_documents, exact_items, token_runs, distinctive_coverage, near_answers, control_panel, overlap_hits, overlap_summary, scan_accounting,
     )
 }
 
@@ -148,5 +155,7 @@ SQL = {
             JOIN field f ON d.t[i] = f.t[1] AND d.t[i:i + len(f.t) - 1] = f.t WHERE field_role = 'correct_answer'),
         n AS (SELECT doc_id, example_id, q.s AS question_start, a.s AS answer_start, greatest(0, q.s - a.s - a.n, a.s - q.s - q.n) AS distance FROM q JOIN a USING (doc_id, example_id))
         SELECT doc_id, example_id, question_start, min(answer_start) AS answer_start, arg_min(distance, answer_start) AS distance FROM n WHERE distance <= {POLICY.gap} GROUP BY 1, 2, 3""",
+    "control_panel": """SELECT benchmark_name, field_role, field_id, sha256('panel-v1' || chr(0) || field_id) AS rank FROM benchmark_field WHERE matchable
+        QUALIFY row_number() OVER (PARTITION BY benchmark_name, field_role ORDER BY sha256('panel-v1' || chr(0) || field_id), field_id) <= 8""",
     "scan_accounting": "SELECT source, count(*) AS rows, sum(('0x' || substr(sha256(doc_id::VARCHAR), 1, 15))::BIGINT)::VARCHAR AS digest FROM documents GROUP BY source",
 }

@@ -13,7 +13,11 @@ from ..operators import normalize as N
 from ..operators import profile as P
 from .base import ND, REC, RESOLVED, RULE, TRIM_SQL, WEB, documents, filled_sql, read, records, web, words_sql
 
-FIELDS = ("title", "original_id", "original_url", "license", "publication_date", "domain_category")
+#: Every column of a normalized document but the text and the source it is grouped by.
+FIELDS = (
+    "source_revision", "subset", "original_id", "original_url", "license", "language", "language_score", "variety", "quality_score", "publication_date", "domain_category", "content_sha256",
+    "title", "raw_source_file", "raw_record_identifier", "normalization_version", "_gv2_upstream_shard", "_gv2_upstream_row_group", "_gv2_upstream_commit", "upstream_metadata_json",
+)
 BLOCKED = ("culturax", "hplt1")
 PATTERNS = (("web_crawl", ("*crawl*", "mc4*")), ("blog", ("blog?et",)), ("common", ("[op]*r*",)))
 
@@ -92,7 +96,7 @@ def word_shares(spark: SparkSession, d: str) -> DataFrame:
 
 def metadata_coverage(spark: SparkSession, d: str) -> DataFrame:
     """Filled metadata by source."""
-    return P.coverage(documents(spark, d, *FIELDS), FIELDS, ["source"])
+    return P.coverage(documents(spark, d, *[f for f in FIELDS if f not in ("subset", "content_sha256")]), FIELDS, ["source"])
 
 
 def top_dates(spark: SparkSession, d: str) -> DataFrame:
@@ -189,7 +193,7 @@ _HOST = r"""nullif(regexp_replace(regexp_replace(lower(regexp_replace(regexp_rep
     regexp_extract(trim(original_url), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', '')), '^www\.', ''), '\.$', ''), '')"""
 _PATH = r"""regexp_replace(regexp_replace(regexp_extract(trim(original_url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/{2,}', '/', 'g'), '/$', '')"""
 _COVERAGE = " UNION ALL ".join(
-    f"SELECT source, count(*) AS documents, '{c}' AS field, count(*) FILTER (WHERE {filled_sql(c)}) AS filled, round((count(*) - count(*) FILTER (WHERE {filled_sql(c)})) / count(*), 6) AS missing_rate FROM nd GROUP BY source"
+    f"SELECT source, count(*) AS documents, '{c}' AS field, count(*) FILTER (WHERE {filled_sql(c + "::VARCHAR")}) AS filled, round((count(*) - count(*) FILTER (WHERE {filled_sql(c + "::VARCHAR")})) / count(*), 6) AS missing_rate FROM nd GROUP BY source"
     for c in FIELDS
 )
 
@@ -214,9 +218,10 @@ SQL = {
     "url_forms": f"SELECT doc_id, {_HOST} AS host, {_HOST} || {_PATH} AS url FROM documents",
     "line_ratios": f"""WITH n AS (SELECT doc_id, {_LINES} AS l FROM documents)
         SELECT doc_id, coalesce(len(l), 0) AS lines, CASE WHEN len(l) > 0 THEN round((len(l) - len(list_distinct(l))) / len(l), 9) ELSE 0.0 END AS ratio FROM n""",
-    "corpus_profile": f"""WITH {WEB}, n AS (SELECT source, subset, coalesce(length(text), 0) AS c, {words_sql("text")} AS w, {_LETTERS} AS a, {_LINES} AS l FROM web)
+    "corpus_profile": f"""WITH {WEB}, n AS (SELECT source, subset, CASE WHEN {_NORM} <> '' THEN sha256({_NORM}) END AS h, coalesce(length(text), 0) AS c, {words_sql("text")} AS w, {_LETTERS} AS a, {_LINES} AS l FROM web)
         SELECT source, subset, count(*) AS documents, sum(c)::BIGINT AS characters, sum(w)::BIGINT AS words, round(coalesce(sum(a) / nullif(sum(c), 0), 0), 6) AS letter_ratio,
-        count(*) FILTER (WHERE c < 100 OR w < 20) AS near_empty, count(*) FILTER (WHERE len(l) > 0 AND (len(l) - len(list_distinct(l))) / len(l) >= 0.2) AS repeating FROM n GROUP BY ALL""",
+        count(*) FILTER (WHERE c < 100 OR w < 20) AS near_empty, count(*) FILTER (WHERE len(l) > 0 AND (len(l) - len(list_distinct(l))) / len(l) >= 0.2) AS repeating,
+        count(DISTINCT h) AS contents, count(h) - count(DISTINCT h) AS surplus_copies FROM n GROUP BY source, subset""",
     "length_percentiles": f"""WITH {WEB}, n AS (SELECT source, {words_sql("text")} AS w FROM web)
         SELECT source, count(*) AS documents, min(w) AS least, quantile_disc(w, 0.5) AS p50, quantile_disc(w, 0.9) AS p90, quantile_disc(w, 0.95) AS p95, quantile_disc(w, 0.99) AS p99, max(w) AS greatest
         FROM n GROUP BY source""",
@@ -251,8 +256,11 @@ SQL = {
     "exact_dedup_summary": f"""WITH {RESOLVED}, g AS (SELECT content_sha256, count(*) AS n, count(*) FILTER (WHERE disposition = 'dropped') AS d, count(DISTINCT source) AS s FROM resolved WHERE content_sha256 IS NOT NULL GROUP BY 1)
         SELECT count(*) FILTER (WHERE n > 1) AS duplicate_groups, sum(d)::BIGINT AS dropped, count(*) FILTER (WHERE s > 1) AS cross_source_groups FROM g""",
     "duplicate_edges": f"WITH {RESOLVED} SELECT record_id AS dropped_id, owner_id, content_sha256 FROM resolved WHERE disposition = 'dropped'",
-    "cluster_index": f"""WITH {RESOLVED}, p AS (SELECT content_sha256, source, count(*) AS n FROM resolved WHERE content_sha256 IS NOT NULL GROUP BY ALL)
-        SELECT content_sha256, sum(n)::BIGINT AS records, (sum(n) - 1)::BIGINT AS duplicates, count(*) AS sources, string_agg(source || '=' || n, ',' ORDER BY source || '=' || n) AS source_counts FROM p GROUP BY 1""",
+    "cluster_index": f"""WITH {RESOLVED}, p AS (SELECT content_sha256, source, count(*) AS n FROM resolved WHERE content_sha256 IS NOT NULL GROUP BY ALL),
+        u AS (SELECT content_sha256, string_agg(k || '=' || n, ',' ORDER BY k || '=' || n) AS subset_counts FROM
+            (SELECT content_sha256, concat_ws('/', source, subset) AS k, count(*) AS n FROM resolved WHERE content_sha256 IS NOT NULL GROUP BY 1, 2) GROUP BY 1),
+        c AS (SELECT content_sha256, sum(n)::BIGINT AS records, (sum(n) - 1)::BIGINT AS duplicates, count(*) AS sources, string_agg(source || '=' || n, ',' ORDER BY source || '=' || n) AS source_counts FROM p GROUP BY 1)
+        SELECT * FROM c JOIN u USING (content_sha256)""",
     "source_pairs": f"""WITH {REC}, p AS (SELECT content_sha256, source, count(*) AS n FROM rec WHERE content_sha256 IS NOT NULL AND source IS NOT NULL GROUP BY ALL)
         SELECT source AS source_a, source AS source_b, 'within_source' AS relation, count(*) AS contents, sum(n)::BIGINT AS records FROM p WHERE n > 1 GROUP BY source
         UNION ALL SELECT a.source, b.source, 'cross_source', count(*), sum(a.n + b.n)::BIGINT FROM p a JOIN p b USING (content_sha256) WHERE a.source < b.source GROUP BY ALL""",

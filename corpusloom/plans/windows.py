@@ -12,6 +12,7 @@ from .base import WORD_SQL, read, web
 
 POLICY = K.PackingPolicy(context=1024)
 FILE = "/opt/tokenizers/piece_bpe_32k.model"
+CANDIDATES = {"piece_bpe_32k": FILE, "byte_bpe_50k": "/opt/tokenizers/byte_bpe_50k.json"}
 
 
 def _tokens(spark: SparkSession, d: str) -> DataFrame:
@@ -63,12 +64,17 @@ def fragmentation(spark: SparkSession, d: str) -> DataFrame:
     return T.fragmentation(web(spark, d).withColumn("source", F.coalesce("source", F.lit(""))), FILE, ["source"])
 
 
+def tokenizer_comparison(spark: SparkSession, d: str) -> DataFrame:
+    """Vocabularies side by side, by source."""
+    return T.compare(web(spark, d).withColumn("source", F.coalesce("source", F.lit(""))), CANDIDATES, ["source"])
+
+
 def macro_fragmentation(spark: SparkSession, d: str) -> DataFrame:
     """Mean over sources."""
     return T.macro_average(T.fragmentation(web(spark, d), FILE, ["source", "subset"]), "tokens_per_word")
 
 
-QUERIES = {f.__name__: f for f in (stream_offsets, packed_windows, window_provenance, packing_accounting, packing_check, fragmentation, macro_fragmentation)}
+QUERIES = {f.__name__: f for f in (stream_offsets, packed_windows, window_provenance, packing_accounting, packing_check, fragmentation, tokenizer_comparison, macro_fragmentation)}
 
 _C = POLICY.context
 _OFFSETS = f"""tok AS (SELECT doc_id::VARCHAR AS document_id, CASE WHEN doc_id % 10 = 0 THEN 'validation' ELSE 'train' END AS split,
