@@ -98,6 +98,11 @@ def overlap_hits(spark: SparkSession, d: str) -> DataFrame:
     return O.hits_by_rule(read(spark, d, "documents"), read(spark, d, "benchmark_field"), POLICY)
 
 
+def overlap_exact_rules(spark: SparkSession, d: str) -> DataFrame:
+    """The hits of all rules but the alignment, which SQL cannot express."""
+    return overlap_hits(spark, d).where("rule <> 'distinctive_anchor_coverage'").withColumn("start", F.col("start").cast("long"))
+
+
 def overlap_summary(spark: SparkSession, d: str) -> DataFrame:
     """Documents and items by rule; nothing is excluded."""
     return overlap_hits(spark, d).groupBy("rule").agg(F.count_distinct("doc_id").alias("documents"), F.count_distinct("example_id").alias("items"), F.lit(0).cast("long").alias("excluded"))
@@ -111,7 +116,7 @@ def scan_accounting(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        field_sizes, anchor_frequency, anchor_hits, anchor_documents, exact_items, token_runs, distinctive_coverage, near_answers, control_panel, overlap_hits, overlap_summary, scan_accounting,
+        field_sizes, anchor_frequency, anchor_hits, anchor_documents, exact_items, token_runs, distinctive_coverage, near_answers, control_panel, overlap_hits, overlap_exact_rules, overlap_summary, scan_accounting,
     )
 }
 
@@ -155,6 +160,25 @@ SQL = {
             JOIN field f ON d.t[i] = f.t[1] AND d.t[i:i + len(f.t) - 1] = f.t WHERE field_role = 'correct_answer'),
         n AS (SELECT doc_id, example_id, q.s AS question_start, a.s AS answer_start, greatest(0, q.s - a.s - a.n, a.s - q.s - q.n) AS distance FROM q JOIN a USING (doc_id, example_id))
         SELECT doc_id, example_id, question_start, min(answer_start) AS answer_start, arg_min(distance, answer_start) AS distance FROM n WHERE distance <= {POLICY.gap} GROUP BY 1, 2, 3""",
+    "overlap_exact_rules": f"""WITH {_HITS}, place_of AS (SELECT doc_id, field_id, example_id, field_role, i - 1 AS s, len(f.t) AS n
+            FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM doc) d JOIN field f ON d.t[i] = f.t[1] AND d.t[i:i + len(f.t) - 1] = f.t
+            WHERE matchable AND field_role IN ('complete_item', 'context', 'passage', 'question_plus_answer', 'question')),
+        first_place AS (SELECT doc_id, field_id, example_id, field_role, min(s) AS start FROM place_of GROUP BY ALL),
+        ans AS (SELECT doc_id, example_id, i - 1 AS s, len(f.t) AS n FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM doc WHERE doc_id IN (SELECT doc_id FROM place_of WHERE field_role = 'question')) d
+            JOIN field f ON d.t[i] = f.t[1] AND d.t[i:i + len(f.t) - 1] = f.t WHERE field_role = 'correct_answer'),
+        beside AS (SELECT q.doc_id, q.example_id, least(q.s, ans.s) AS start FROM place_of q JOIN ans USING (doc_id, example_id)
+            WHERE q.field_role = 'question' AND q.n >= 6 AND greatest(0, q.s - ans.s - ans.n, ans.s - q.s - q.n) <= 128),
+        whole AS (SELECT doc_id, example_id, field_id, 'exact_' || field_role AS rule, start FROM first_place WHERE field_role <> 'question'
+            UNION ALL SELECT b.doc_id, b.example_id, f.field_id, 'exact_question_plus_answer', b.start FROM beside b JOIN field f ON f.example_id = b.example_id AND f.field_role = 'question_plus_answer'),
+        rare AS (SELECT t FROM field WHERE matchable AND field_role = 'question' AND len(t) >= 6 GROUP BY t HAVING count(DISTINCT example_id) <= 2),
+        posed AS (SELECT p.* FROM first_place p JOIN field f USING (field_id) WHERE p.field_role = 'question' AND f.t IN (SELECT t FROM rare)),
+        asked AS (SELECT doc_id, example_id, field_id, 'exact_distinctive_question' AS rule, start FROM posed WHERE field_id NOT IN (SELECT field_id FROM posed GROUP BY field_id HAVING count(DISTINCT doc_id) > 100)),
+        kept AS (SELECT DISTINCT doc_id, field_id, example_id, doc_position, field_position, doc_position - field_position AS o FROM hit WHERE words NOT IN (SELECT words FROM hit GROUP BY words HAVING count(DISTINCT doc_id) > 100)),
+        new AS (SELECT *, CASE WHEN field_position - lag(field_position) OVER (PARTITION BY doc_id, field_id, o ORDER BY field_position) > 13 THEN 1 ELSE 0 END AS new FROM kept),
+        island AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, field_id, o ORDER BY field_position) AS k FROM new),
+        run AS (SELECT doc_id, example_id, field_id, min(doc_position) AS start FROM island GROUP BY doc_id, example_id, field_id, o, k HAVING max(field_position) - min(field_position) + 13 >= 50)
+        SELECT doc_id, example_id, field_id, rule, min(start) AS start FROM whole GROUP BY 1, 2, 3, 4 UNION ALL SELECT * FROM asked
+        UNION ALL SELECT doc_id, example_id, field_id, 'contiguous_token_run', min(start) FROM run GROUP BY 1, 2, 3""",
     "control_panel": """SELECT benchmark_name, field_role, field_id, sha256('panel-v1' || chr(0) || field_id) AS rank FROM benchmark_field WHERE matchable
         QUALIFY row_number() OVER (PARTITION BY benchmark_name, field_role ORDER BY sha256('panel-v1' || chr(0) || field_id), field_id) <= 8""",
     "scan_accounting": "SELECT source, count(*) AS rows, sum(('0x' || substr(sha256(doc_id::VARCHAR), 1, 15))::BIGINT)::VARCHAR AS digest FROM documents GROUP BY source",
