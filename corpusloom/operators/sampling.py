@@ -99,13 +99,12 @@ def greedy_fit(documents: DataFrame, targets: DataFrame, seed: int, namespace: s
         fits = F.col("before") + F.col("words") <= F.col("room")
         run = ws.write(run.withColumn("fits", fits))
         stop = run.where(~F.col("fits")).groupBy("bucket").agg(F.min(place).alias("stop"))
-        marked = run.join(F.broadcast(stop), "bucket", "left")  # one row a bucket of the plan.withColumn("now", F.col("stop").isNull() | (place < F.col("stop")))
-        marked = ws.write(marked)
+        marked = run.join(F.broadcast(stop), "bucket", "left").withColumn("now", F.col("stop").isNull() | (place < F.col("stop")))  # one row a bucket of the plan
         taken.append(marked.where("now").select("doc_id", "bucket", "words", "rank_hash"))
         used = marked.groupBy("bucket").agg((F.max("room") - F.sum(F.when(F.col("now"), F.col("words")).otherwise(0))).alias("left"))
         rest = marked.where(~F.col("now") & (place > F.col("stop"))).join(F.broadcast(used), "bucket").where(F.col("words") <= F.col("left"))
         following = ws.write(rest.select("bucket", "doc_id", "words", F.col("left").alias("room"), "rank_hash"))
-        ws.drop(open_ones, run)
+        ws.drop(open_ones)  # what was taken is still read from run
         open_ones = following
     else:
         raise RuntimeError(f"not filled after {max_rounds} rounds")
