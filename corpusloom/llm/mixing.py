@@ -21,8 +21,8 @@ from ..functions.keys import fold_key, label_key
 from ..runtime import Workspace, prefix_sums
 from .tokenizer import public_tokens, white_space_tokens
 
-#: Most rows of a plan; it is read by the driver.
-PLAN_ROWS = 10_000
+#: Most rows of a plan; it is read by the driver, which makes one period of the schedule for each component that runs out.
+PLAN_ROWS = 500
 #: Tokens of a block of the schedule.
 BLOCK_TOKENS = 2048
 ORDER_SALT = "mix-v1"
