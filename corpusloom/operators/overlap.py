@@ -436,6 +436,19 @@ def hits_by_rule(documents: DataFrame, fields: DataFrame, policy: OverlapPolicy
     return whole.unionByName(asked).unionByName(approx)
 
 
+def preflight(documents: DataFrame, fields: DataFrame) -> DataFrame:
+    """``(measure, n)`` of what a scan would read, without looking for anything: documents, those without text, repeated ids, characters; fields, matchable ones, items, those without text, characters of matchable fields."""
+    repeated = documents.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("repeated_ids"))
+    texts = documents.agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("text").isNull()).alias("documents_without_text"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("characters"))
+    used = F.coalesce("matchable", F.lit(False))
+    told = fields.agg(
+        F.count(F.lit(1)).alias("fields"), F.count_if(used).alias("matchable_fields"), F.count_distinct("example_id").alias("items"), F.count_if(F.col("original_text").isNull()).alias("fields_without_text"),
+        F.coalesce(F.sum(F.when(used, F.length("original_text"))), F.lit(0)).alias("benchmark_characters"),
+    )
+    row = texts.crossJoin(F.broadcast(repeated)).crossJoin(F.broadcast(told))  # one row each
+    return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("long").alias("n")) for c in row.columns])))
+
+
 def confusion(cases: DataFrame) -> DataFrame:
     """TP, FN, FP, TN of controls by split: ``cases(split, expected, predicted)``; NULL counts as false."""
     e, p = F.coalesce("expected", F.lit(False)), F.coalesce("predicted", F.lit(False))

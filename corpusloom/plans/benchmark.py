@@ -87,6 +87,11 @@ def near_answers(spark: SparkSession, d: str) -> DataFrame:
     return O.near_answers(O.exact_places(found), O.answer_places(found), POLICY).select("doc_id", "example_id", *[F.col(c).cast("long").alias(c) for c in ("question_start", "answer_start", "distance")])
 
 
+def overlap_preflight(spark: SparkSession, d: str) -> DataFrame:
+    """What a scan would read."""
+    return O.preflight(read(spark, d, "documents"), read(spark, d, "benchmark_field"))
+
+
 def control_panel(spark: SparkSession, d: str) -> DataFrame:
     """SM13: the eight items of smallest rank of each benchmark and role, to make controls of."""
     rows = read(spark, d, "benchmark_field").where("matchable").select("benchmark_name", "field_role", "field_id", F.sha2(F.concat(F.lit("panel-v1\0"), "field_id"), 256).alias("rank"))
@@ -116,7 +121,7 @@ def scan_accounting(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        field_sizes, anchor_frequency, anchor_hits, anchor_documents, exact_items, token_runs, distinctive_coverage, near_answers, control_panel, overlap_hits, overlap_exact_rules, overlap_summary, scan_accounting,
+        field_sizes, anchor_frequency, anchor_hits, anchor_documents, exact_items, token_runs, distinctive_coverage, near_answers, overlap_preflight, control_panel, overlap_hits, overlap_exact_rules, overlap_summary, scan_accounting,
     )
 }
 
@@ -160,6 +165,10 @@ SQL = {
             JOIN field f ON d.t[i] = f.t[1] AND d.t[i:i + len(f.t) - 1] = f.t WHERE field_role = 'correct_answer'),
         n AS (SELECT doc_id, example_id, q.s AS question_start, a.s AS answer_start, greatest(0, q.s - a.s - a.n, a.s - q.s - q.n) AS distance FROM q JOIN a USING (doc_id, example_id))
         SELECT doc_id, example_id, question_start, min(answer_start) AS answer_start, arg_min(distance, answer_start) AS distance FROM n WHERE distance <= {POLICY.gap} GROUP BY 1, 2, 3""",
+    "overlap_preflight": """SELECT 'documents' AS measure, count(*) AS n FROM documents UNION ALL SELECT 'documents_without_text', count(*) - count(text) FROM documents
+        UNION ALL SELECT 'characters', sum(length(text))::BIGINT FROM documents UNION ALL SELECT 'repeated_ids', count(*) FROM (SELECT doc_id FROM documents GROUP BY doc_id HAVING count(*) > 1)
+        UNION ALL SELECT 'fields', count(*) FROM benchmark_field UNION ALL SELECT 'matchable_fields', count(*) FILTER (WHERE matchable) FROM benchmark_field UNION ALL SELECT 'items', count(DISTINCT example_id) FROM benchmark_field
+        UNION ALL SELECT 'fields_without_text', count(*) - count(original_text) FROM benchmark_field UNION ALL SELECT 'benchmark_characters', sum(length(original_text)) FILTER (WHERE matchable)::BIGINT FROM benchmark_field""",
     "overlap_exact_rules": f"""WITH {_HITS}, place_of AS (SELECT doc_id, field_id, example_id, field_role, i - 1 AS s, len(f.t) AS n
             FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM doc) d JOIN field f ON d.t[i] = f.t[1] AND d.t[i:i + len(f.t) - 1] = f.t
             WHERE matchable AND field_role IN ('complete_item', 'context', 'passage', 'question_plus_answer', 'question')),
