@@ -83,7 +83,8 @@ def frontier_components(edges: DataFrame, max_levels: int = 40, max_steps: int =
     found = names.select("id", F.col("v").alias("component"))
     for labels in levels:
         up = labels.select(F.col("v").alias("component"), "label")
-        found = spread_join(found, up, ["component"], "id", "left").select("id", F.coalesce("label", "component").alias("component"))
+        # written down each level: the join reads its sides several times
+        found = ws.write(spread_join(found, up, ["component"], "id", "left").select("id", F.coalesce("label", "component").alias("component")))
     return found.select(F.col("id").alias("v"), "component")
 
 
