@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,10 @@ from .graph import connected_components
 
 #: Documents from which a shingle counts as frequent in the order of prefixes.
 FREQUENT = 50
+#: Configurations of bands, by the bit of a mask that stands for them.
+MASK_NAMES = ("word5_128_32x4", "word5_128_8x16")
+#: Members, and elements of their sets, of a block of a bucket.
+BLOCK, BLOCK_ELEMENTS = 512, 2_000_000
 
 
 def shingle_sets(documents: DataFrame, n: int, *keep: str) -> DataFrame:
@@ -58,30 +64,89 @@ def shingle_frequency(documents: DataFrame, n: int, least: int = 1) -> DataFrame
     return counts.where(F.col("documents") >= least)
 
 
+def met_in_blocks(postings: DataFrame, weight: str, carry: Sequence[str] = (), block: int = BLOCK, block_weight: int = BLOCK_ELEMENTS) -> DataFrame:
+    """``(x, y, cell, size)`` and the carried columns with both suffixes for each two members of a bucket; ``postings(key, id, weight, carry...)``.
+
+    A bucket is dealt out over blocks by the hash of the member, one for each
+    ``block`` members or ``block_weight`` of weight, and each two of its blocks
+    meet in a cell of their own: no task holds a bucket and no pair is left
+    out. Buckets of one are dropped first. A pair comes once for each bucket;
+    ``size`` is the bucket's.
+    """
+    sizes = postings.groupBy("key").agg(F.count(F.lit(1)).alias("__n"), F.sum(weight).alias("__w")).where(F.col("__n") > 1)
+    blocks = F.greatest(F.ceil(F.col("__n") / block), F.ceil(F.col("__w") / block_weight)).cast("int")
+    live = spread_join(postings, sizes.select("key", "__n", blocks.alias("__blocks")), ["key"], "id", size="__n")
+    live = Workspace(postings.sparkSession).write(live.withColumn("own", F.pmod(F.xxhash64("id"), F.col("__blocks")).cast("int")))  # read twice
+    left = live.select("key", F.col("id").alias("x"), F.col("__n").alias("size"), *[F.col(c).alias(f"{c}_x") for c in carry], F.col("own").alias("i"), F.explode(F.sequence(F.col("own"), F.col("__blocks") - 1)).alias("j"))
+    right = live.select("key", F.col("id").alias("y"), *[F.col(c).alias(f"{c}_y") for c in carry], F.explode(F.sequence(F.lit(0), F.col("own"))).alias("i"), F.col("own").alias("j"))
+    both = left.join(right, ["key", "i", "j"]).where((F.col("x") < F.col("y")) | ((F.col("x") > F.col("y")) & (F.col("i") < F.col("j"))))
+    return both.withColumn("cell", F.xxhash64("key", "i", "j")).drop("key", "i", "j")
+
+
+def shared_in_cells(asked: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(a, b, shared, na, nb)``: sizes of two sets and of what they share, for ``asked(a, b, cell)`` and ``sets(id, runs)`` of whole numbers.
+
+    The sets of a cell travel to it once, not once for every pair, and go
+    before its pairs; a task keeps the sets of one cell at a time.
+    """
+    kind = dict(asked.dtypes)["a"]
+    ends = asked.select("cell", F.col("a").alias("id")).union(asked.select("cell", "b")).distinct()
+    first = ends.join(sets.select("id", "runs"), "id").select("cell", F.lit(0).alias("turn"), F.col("id").cast("string").alias("a"), F.lit(None).cast("string").alias("b"), F.array_sort("runs").alias("runs"))
+    then = asked.select("cell", F.lit(1).alias("turn"), F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), F.lit(None).cast("array<long>").alias("runs"))
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cell, held = None, {}
+        for batch in batches:
+            out = []
+            for c, turn, a, b, r in zip(batch["cell"], batch["turn"], batch["a"], batch["b"], batch["runs"], strict=True):
+                if c != cell:
+                    cell, held = c, {}
+                if turn == 0:
+                    held[a] = np.asarray(r, dtype=np.int64)
+                    continue
+                x, y = held[a], held[b]
+                few, many = (x, y) if len(x) <= len(y) else (y, x)
+                shared = int((many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few).sum()) if len(few) else 0
+                out.append((a, b, shared, len(x), len(y)))
+            yield pd.DataFrame(out, columns=["a", "b", "shared", "na", "nb"])
+
+    tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = first.unionByName(then).repartition(tasks, "cell").sortWithinPartitions("cell", "turn")
+    found = dealt.mapInPandas(compare, "a string, b string, shared long, na long, nb long")
+    return found.withColumns({"a": F.col("a").cast(kind), "b": F.col("b").cast(kind)})
+
+
 def similar_pairs(sets: DataFrame, least: float, key: str = "doc_id", frequent: int = FREQUENT) -> DataFrame:
-    """All pairs of sets with Jaccard similarity ``least`` or more: ```a, b, similarity``, representative sets only.
+    """All pairs of sets with Jaccard similarity ``least`` or more: ``a, b, similarity, cell``, representative sets only.
 
     Exact, by prefix filtering: in any common order of elements, two sets that
-    alike share an element among the first |s| - ceil(least |s|) + 1 of each.
-    Rare elements come first in the order, so prefixes hold few frequent ones.
-    Equal sets are one class: the result has pairs of classes' smallest keys;
-    :func:`set_classes` has their members.
+    are alike share an element among the first |s| - ceil(least |s|) + 1 of
+    each. Rare elements come first in the order, so prefixes hold few frequent
+    ones; sizes and the places of a shared element rule out most of the rest,
+    and an element that many prefixes hold is met in blocks. Equal sets are one
+    class: the result has pairs of classes' smallest keys; :func:`set_classes`
+    has their members. ``cell`` tells where a pair met, for further comparisons.
     """
-    ws = Workspace(sets.sparkSession)  # sets are read five times, texts once
+    ws = Workspace(sets.sparkSession)  # sets are read several times, texts once
     classes = set_classes(ws.write(sets.select(key, "shingles")), key)
-    reps = ws.write(classes.where(F.col(key) == F.col("class_id")).select(F.col(key).alias("id"), "shingles"))
+    # rows are full of ids: representatives are numbered, which moves a fraction of what their names would
+    reps = classes.where(F.col(key) == F.col("class_id")).select(F.col(key).alias("name"), "shingles")
+    reps = ws.write(reps.select(F.monotonically_increasing_id().alias("id"), "name", "shingles"))
     counts = reps.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= frequent)
     ranked = reps.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("s")).join(counts, "s", "left")
     order = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "s")
     prefix = ranked.groupBy("id", "n").agg(F.array_sort(F.collect_list(order)).alias("o"))  # a document's own elements
     keep = F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1
-    prefix = prefix.select("id", "n", F.explode(F.slice("o.s", F.lit(1), keep.cast("int"))).alias("s"))
-    a, b = prefix.select(F.col("id").alias("a"), F.col("n").alias("na"), "s"), prefix.select(F.col("id").alias("b"), F.col("n").alias("nb"), "s")
-    near = (F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(least) - 1e-9) & (F.col("a") < F.col("b"))
-    asked = a.join(b, "s").where(near).select("a", "b").distinct()
-    left, right = reps.select(F.col("id").alias("a"), F.col("shingles").alias("x")), reps.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    scored = asked.join(left, "a").join(right, "b").select("a", "b", jaccard("x", "y").alias("similarity"))
-    return scored.where(F.col("similarity") >= least - 1e-12)
+    prefix = prefix.select("id", "n", F.posexplode(F.slice("o.s", F.lit(1), keep.cast("int"))).alias("at", "key"))
+    met = met_in_blocks(prefix, "n", ("n", "at"))
+    short, long = F.least("n_x", "n_y"), F.greatest("n_x", "n_y")
+    most = F.least("at_x", "at_y") + 1 + F.least(F.col("n_x") - F.col("at_x") - 1, F.col("n_y") - F.col("at_y") - 1)
+    may = (short >= long * F.lit(least) - 1e-9) & (most >= (F.col("n_x") + F.col("n_y")) * F.lit(least / (1 + least)) - 1e-9)
+    asked = ws.write(met.where(may).groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.min("cell").alias("cell")))
+    found = shared_in_cells(asked, reps.select("id", F.col("shingles").alias("runs"))).withColumn("similarity", F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared")))
+    found = ws.write(found.where(F.col("similarity") >= least - 1e-12).select("a", "b", "similarity")).join(asked, ["a", "b"])
+    x, y = (reps.select(F.col("id").alias(k), F.col("name").alias(f"n{k}")) for k in "ab")
+    return found.join(x, "a").join(y, "b").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"), "similarity", "cell")
 
 
 def set_classes(sets: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -108,12 +173,12 @@ def bucket_metrics(postings: DataFrame) -> DataFrame:
 
 
 def candidate_pairs(postings: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Pairs that share a bucket: ``a, b, hits, largest_bucket, configs``. Every member of a bucket is paired; none is left out for its size."""
-    sizes = postings.groupBy("config", "band", "bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
-    live = postings.join(sizes, ["config", "band", "bucket"])
-    a, b = live.withColumnRenamed(key, "a"), live.select("config", "band", "bucket", F.col(key).alias("b"))
-    met = a.join(b, ["config", "band", "bucket"]).where(F.col("a") < F.col("b"))
-    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"), F.max("size").alias("largest_bucket"), F.array_sort(F.collect_set("config")).alias("configs"))
+    """Pairs that share a bucket: ``a, b, hits, largest_bucket, configs``. Every member of a bucket is paired, in blocks; none is left out for its size."""
+    told = postings.select(F.xxhash64("config", "band", "bucket").alias("key"), F.col(key).alias("id"), "config", F.lit(1).alias("one"))
+    met = met_in_blocks(told, "one", ("config",))
+    return met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(
+        F.count(F.lit(1)).alias("hits"), F.max("size").alias("largest_bucket"), F.array_sort(F.collect_set("config_x")).alias("configs")
+    )
 
 
 def merged_pairs(pairs: DataFrame) -> DataFrame:
@@ -133,7 +198,9 @@ def with_endpoints(pairs: DataFrame, records: DataFrame, columns: Sequence[str])
 
 
 def described_pairs(pairs: DataFrame) -> DataFrame:
-    """Pairs with endpoints ``source, subset, words`` described by bands and relations. Nothing is ever marked for removal."""
+    """Pairs with endpoints ``source, subset, words`` described by bands, relations and the names of the configurations that found them. Nothing is ever marked for removal."""
+    names = F.array_compact(F.array(*[F.when(F.col("config_mask").bitwiseAND(1 << i) > 0, n) for i, n in enumerate(MASK_NAMES)]))
+    pairs = pairs.withColumns({"configs": names, "removal_eligible": F.lit(False)})
     return pairs.withColumns(
         {
             "similarity_band": B.similarity_band("estimated_similarity"), "tail_band": B.tail_band("estimated_similarity"), "bucket_band": B.bucket_band("max_bucket_size"),
@@ -151,22 +218,44 @@ def pair_summary(described: DataFrame, by: Sequence[str]) -> DataFrame:
     return rows.join(ends, list(by))
 
 
+def pair_summaries(described: DataFrame, preserved: Sequence[str]) -> DataFrame:
+    """All summaries of candidates in one table: ``scope, value, pairs, mean_similarity, records``.
+
+    Scopes: each side's source and subset, each side's source, unordered pair by
+    length ratio, similarity by partition (with or without preserved sources)
+    and length, length, ratio, relation. A pair counts once for a value that
+    both of its sides have.
+    """
+    partition = F.when(F.col("source_a").isin(*preserved) | F.col("source_b").isin(*preserved), "with_preserved").otherwise("without_preserved")
+    one = lambda *c: F.array(F.concat_ws(" : ", *c))
+    scopes = {
+        "source_subset": F.array_distinct(F.array(B.source_subset("source_a", "subset_a"), B.source_subset("source_b", "subset_b"))), "source": F.array_distinct(F.array("source_a", "source_b")),
+        "pair_ratio": one("pair_key", "ratio_band"), "similarity_partition_length": one("similarity_band", partition, "length_band"), "length": F.array("length_band"), "ratio": F.array("ratio_band"),
+        "relation": F.array("relation"),
+    }
+    told = F.explode(F.array(*[F.struct(F.lit(n).alias("scope"), F.array_compact(v).alias("values")) for n, v in scopes.items()]))
+    rows = described.select("id_a", "id_b", "estimated_similarity", told.alias("s")).select("id_a", "id_b", "estimated_similarity", "s.scope", F.explode("s.values").alias("value"))
+    return pair_summary(rows, ["scope", "value"])
+
+
 def scored_pairs(pairs: DataFrame, documents: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
     """Exact scores of given pairs ``(a, b)`` on n-grams: jaccard, containment in both directions and the smaller, shared, only in one.
 
-    Texts of the pairs' documents only are read into sets.
+    Texts of the pairs' documents only are read into sets. Pairs with a
+    ``cell`` (from :func:`similar_pairs`) are compared there; others at their
+    first document. Texts without words share nothing with any.
     """
-    wanted = pairs.select(F.col("a").alias(key)).union(pairs.select("b")).distinct()
-    sets = shingle_sets(documents.join(wanted, key, "left_semi"), n, key).withColumnRenamed("shingles", "s")
-    both = pairs.join(sets.select(F.col(key).alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col(key).alias("b"), F.col("s").alias("y")), "b")
-    shared, nx, ny = F.size(F.array_intersect("x", "y")), F.size("x"), F.size("y")
-    # the intersection is made once, the scores are made of sizes
-    both = both.select(*pairs.columns, shared.alias("shared"), nx.alias("nx"), ny.alias("ny"))
+    ws = Workspace(documents.sparkSession)
+    placed = ws.write(pairs.select("a", "b", "cell" if "cell" in pairs.columns else F.xxhash64("a").alias("cell")))
+    wanted = placed.select(F.col("a").alias(key)).union(placed.select("b")).distinct()
+    texts = documents.join(wanted, key, "left_semi")
+    sets = wanted.join(shingled(texts, n, key), key, "left").select(F.col(key).alias("id"), F.coalesce("shingles", F.array().cast("array<long>")).alias("runs"))
+    both = shared_in_cells(placed, ws.write(sets)).withColumnsRenamed({"na": "nx", "nb": "ny"})
     shared, nx, ny = F.col("shared"), F.col("nx"), F.col("ny")
     whole, low = nx + ny - shared, F.least("nx", "ny")
     rows = both.withColumns(
         {
-            "jaccard": F.when(whole > 0, shared / whole).otherwise(0.0), "containment": F.when(low > 0, shared / low).otherwise(0.0), "shared": shared.cast("long"), "only_a": (nx - shared).cast("long"), "only_b": (ny - shared).cast("long"),
+            "jaccard": F.when(whole > 0, shared / whole).otherwise(0.0), "containment": F.when(low > 0, shared / low).otherwise(0.0), "only_a": nx - shared, "only_b": ny - shared,
             "a_in_b": F.when(nx > 0, shared / nx).otherwise(0.0), "b_in_a": F.when(ny > 0, shared / ny).otherwise(0.0), "length_ratio": B.ratio(nx, ny),
         }
     )
@@ -174,20 +263,24 @@ def scored_pairs(pairs: DataFrame, documents: DataFrame, n: int, key: str = "doc
 
 
 def distinctive_scores(pairs: DataFrame, documents: DataFrame, n: int, least: int = 3, key: str = "doc_id") -> DataFrame:
-    """Jaccard and containment on n-grams that occur in fewer than ``least`` documents, and the frequent part of the n-grams that a pair shares (0 if it shares none)."""
-    common = shingle_frequency(documents, n, least).select(F.col("shingle").alias("s"))
-    wanted = pairs.select(F.col("a").alias(key)).union(pairs.select("b")).distinct()
-    each = shingle_sets(documents.join(wanted, key, "left_semi"), n, key).select(key, F.explode_outer("shingles").alias("s")).where(F.col("s").isNotNull())
-    flagged = each.join(common.withColumn("c", F.lit(True)), "s", "left").groupBy(key).agg(
-        F.collect_list(F.when(F.col("c").isNull(), F.xxhash64("s"))).alias("rare"), F.collect_list(F.when(F.col("c"), F.xxhash64("s"))).alias("common")
-    )  # a document's own n-grams
-    x, y = (flagged.select(F.col(key).alias(k), F.col("rare").alias(f"r{k}"), F.col("common").alias(f"c{k}")) for k in "ab")
-    both = pairs.join(x, "a").join(y, "b").select(
-        "a", "b", F.size(F.array_intersect("ra", "rb")).alias("rare"), F.size(F.array_intersect("ca", "cb")).alias("common"), F.size("ra").alias("na"), F.size("rb").alias("nb")
-    )
-    whole, low, shared = F.col("na") + F.col("nb") - F.col("rare"), F.least("na", "nb"), F.col("rare") + F.col("common")
+    """Jaccard and containment on n-grams that occur in fewer than ``least`` documents, and the frequent part of the n-grams that a pair shares (0 if it shares none).
+
+    Frequencies are counted over all documents. Pairs meet as in :func:`scored_pairs`.
+    """
+    ws = Workspace(documents.sparkSession)
+    placed = ws.write(pairs.select("a", "b", "cell" if "cell" in pairs.columns else F.xxhash64("a").alias("cell")))
+    sets = ws.write(shingled(documents, n, key))
+    common = sets.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("s", F.lit(True).alias("c"))
+    wanted = placed.select(F.col("a").alias(key)).union(placed.select("b")).distinct()
+    each = sets.join(wanted, key, "left_semi").select(key, F.explode("shingles").alias("s")).join(common, "s", "left")
+    told = each.groupBy(key).agg(F.collect_list(F.when(F.col("c").isNull(), F.col("s"))).alias("rare"), F.collect_list(F.when(F.col("c"), F.col("s"))).alias("common"))  # a document's own n-grams
+    told = ws.write(wanted.join(told, key, "left").select(F.col(key).alias("id"), *[F.coalesce(c, F.array().cast("array<long>")).alias(c) for c in ("rare", "common")]))
+    rare = shared_in_cells(placed, told.select("id", F.col("rare").alias("runs")))
+    often = shared_in_cells(placed, told.select("id", F.col("common").alias("runs"))).select("a", "b", F.col("shared").alias("common"))
+    both = rare.join(often, ["a", "b"])
+    whole, low, shared = F.col("na") + F.col("nb") - F.col("shared"), F.least("na", "nb"), F.col("shared") + F.col("common")
     return both.select(
-        "a", "b", F.when(whole > 0, F.col("rare") / whole).otherwise(0.0).alias("distinctive_jaccard"), F.when(low > 0, F.col("rare") / low).otherwise(0.0).alias("distinctive_containment"),
+        "a", "b", F.when(whole > 0, F.col("shared") / whole).otherwise(0.0).alias("distinctive_jaccard"), F.when(low > 0, F.col("shared") / low).otherwise(0.0).alias("distinctive_containment"),
         F.when(shared > 0, F.col("common") / shared).otherwise(0.0).alias("common_share"),
     )
 
@@ -201,12 +294,12 @@ def judged_pairs(pairs: DataFrame, documents: DataFrame, n: int, boundaries: Seq
     300 characters.
     """
     ws = Workspace(documents.sparkSession)
-    scores = ws.write(scored_pairs(pairs.select("a", "b"), documents, n).drop("length_ratio", "flags"))
+    scores = ws.write(scored_pairs(pairs, documents, n).drop("length_ratio", "flags"))
     told = documents.select(
         F.col("doc_id").alias("record_id"), "source", "words", F.substring("text", 1, 300).alias("head"), normalized_title("title").alias("full_title"), title_tokens("title").alias("title"),
         url_host("original_url").alias("host"),
     )
-    rows = scores.join(distinctive_scores(scores.select("a", "b"), documents, n, least), ["a", "b"])
+    rows = scores.join(distinctive_scores(pairs, documents, n, least), ["a", "b"])
     rows = with_endpoints(rows.withColumnsRenamed({"a": "id_a", "b": "id_b"}), told, ("source", "words", "head", "full_title", "title", "host")).withColumnsRenamed({"id_a": "a", "id_b": "b"})
     edge = closest_to(scores.select("a", "b", "jaccard"), "jaccard", boundaries, nearest, ("a", "b")).select("a", "b", F.lit(True).alias("boundary"))
     rows = rows.join(F.broadcast(edge), ["a", "b"], "left").withColumn("boundary", F.coalesce("boundary", F.lit(False)))  # nearest x boundaries rows

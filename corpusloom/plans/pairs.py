@@ -10,6 +10,7 @@ from ..functions.keys import hex_key
 from ..functions.shingles import PRIME, fast_minhash, jaccard, portable_coefficients
 from ..functions.text import title_tokens
 from ..operators import similarity as S
+from ..operators import verify as V
 from ..operators.graph import connected_components
 from ..runtime import Workspace
 from .base import ND, REC, RULE, SUBSET_TIER, documents, hex_sql, read, records
@@ -41,7 +42,8 @@ def merged_pairs(spark: SparkSession, d: str) -> DataFrame:
 def described_pairs(spark: SparkSession, d: str) -> DataFrame:
     """J6, PF8, PF16, PF17: pairs with their records' bands and relations."""
     return _described(spark, d).select(
-        "id_a", "id_b", "similarity_band", "tail_band", "bucket_band", "length_band", "ratio_band", "relation", "pair_key", F.round("length_ratio", 9).alias("length_ratio")
+        "id_a", "id_b", "similarity_band", "tail_band", "bucket_band", "length_band", "ratio_band", "relation", "pair_key", F.round("length_ratio", 9).alias("length_ratio"),
+        F.array_join("configs", ";").alias("configs"), "removal_eligible",
     )
 
 
@@ -50,6 +52,17 @@ def candidate_summary(spark: SparkSession, d: str) -> DataFrame:
     return S.pair_summary(_described(spark, d), ["similarity_band", "relation"])
 
 
+def candidate_summaries(spark: SparkSession, d: str) -> DataFrame:
+    """All summaries of candidates."""
+    return S.pair_summaries(_described(spark, d), RULE.preserved)
+
+
+def pair_errors(spark: SparkSession, d: str) -> DataFrame:
+    """V5: which rules rows of pairs break, and how often."""
+    rows = read(spark, d, "pairs").select(hex_key("id_a").alias("a"), hex_key("id_b").alias("b"), "estimated_similarity", "bucket_hits", "max_bucket_size", "config_mask")
+    return V.pair_errors(rows, records(spark, d).select("record_id"))
+
+
 def source_pair_summary(spark: SparkSession, d: str) -> DataFrame:
     """Pairs and endpoints by unordered pair of collections and length ratio."""
     return S.pair_summary(_described(spark, d), ["pair_key", "ratio_band"])
@@ -106,7 +119,7 @@ def similar_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
-    near = S.similar_pairs(S.shingled(_texts(spark, d), 5), 0.5).select("a", "b")
+    near = S.similar_pairs(S.shingled(_texts(spark, d), 5), 0.5).select("a", "b", "cell")
     return S.scored_pairs(near, _texts(spark, d), 3)
 
 
@@ -119,7 +132,7 @@ def scored_pairs(spark: SparkSession, d: str) -> DataFrame:
 def _judged(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of 0.5 or more on 5-grams, judged on these."""
     told = documents(spark, d, "text", "title", "original_url").withColumnRenamed("record_id", "doc_id")
-    near = S.similar_pairs(S.shingled(_texts(spark, d), 5), 0.5).select("a", "b")
+    near = S.similar_pairs(S.shingled(_texts(spark, d), 5), 0.5).select("a", "b", "cell")
     return S.judged_pairs(near, told, 5, THRESHOLDS, RULE.preserved)
 
 
@@ -151,7 +164,7 @@ def lsh_configurations(spark: SparkSession, d: str) -> DataFrame:
 
 def distinctive_scores(spark: SparkSession, d: str) -> DataFrame:
     """Scores on n-grams of few documents."""
-    near = S.similar_pairs(S.shingled(_texts(spark, d), 5), 0.8).select("a", "b")
+    near = S.similar_pairs(S.shingled(_texts(spark, d), 5), 0.8).select("a", "b", "cell")
     out = S.distinctive_scores(near, _texts(spark, d), 5, 3)
     return out.select("a", "b", *[F.round(c, 9).alias(c) for c in ("distinctive_jaccard", "distinctive_containment", "common_share")])
 
@@ -177,13 +190,13 @@ def lsh_recall(spark: SparkSession, d: str) -> DataFrame:
     reps = S.set_classes(sets).where(F.col("doc_id") == F.col("class_id")).select("doc_id")
     signed = S.shingle_sets(_texts(spark, d).join(reps, "doc_id", "left_semi"), 5, "doc_id").select("doc_id", fast_minhash("shingles", 128).alias("signature"))
     made = S.candidate_pairs(S.bucket_postings(signed, 16, 8))
-    gold = S.scored_pairs(S.similar_pairs(sets, 0.5).select("a", "b"), _texts(spark, d), 5)
+    gold = S.scored_pairs(S.similar_pairs(sets, 0.5).select("a", "b", "cell"), _texts(spark, d), 5)
     return S.recall_table(gold, made, THRESHOLDS)
 
 
 def minhash_error(spark: SparkSession, d: str) -> DataFrame:
     """Mean error of portable signatures on pairs that are alike."""
-    gold = S.scored_pairs(S.similar_pairs(S.shingled(_texts(spark, d), 5), 0.5).select("a", "b"), _texts(spark, d), 5)
+    gold = S.scored_pairs(S.similar_pairs(S.shingled(_texts(spark, d), 5), 0.5).select("a", "b", "cell"), _texts(spark, d), 5)
     out = S.estimate_error(gold.select("a", "b", "jaccard"), _signatures(spark, d))
     return out.select("a", "b", F.round("jaccard", 9).alias("jaccard"), F.round("estimated", 9).alias("estimated"))
 
@@ -191,7 +204,7 @@ def minhash_error(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        merged_pairs, described_pairs, candidate_summary, source_pair_summary, pair_components, threshold_sweep, cluster_owners, pair_owners, review_panel, title_similarity,
+        merged_pairs, described_pairs, candidate_summary, candidate_summaries, pair_errors, source_pair_summary, pair_components, threshold_sweep, cluster_owners, pair_owners, review_panel, title_similarity,
         shingle_frequency, similar_pairs, scored_pairs, pair_labels, policy_matrix, exact_tail_summary, review_pool, lsh_configurations, distinctive_scores, minhash_signatures, bucket_metrics, lsh_recall, minhash_error,
     )
 }
@@ -293,7 +306,21 @@ signed AS (SELECT doc_id, [{_MINIMA}] AS sig FROM hashed)"""
 
 SQL = {
     "merged_pairs": f"WITH {_MERGED} SELECT * FROM merged",
-    "described_pairs": f"WITH {_DESCRIBED} SELECT id_a, id_b, similarity_band, tail_band, bucket_band, length_band, ratio_band, relation, pair_key, round(ratio, 9) AS length_ratio FROM described",
+    "described_pairs": f"WITH {_DESCRIBED} SELECT id_a, id_b, similarity_band, tail_band, bucket_band, length_band, ratio_band, relation, pair_key, round(ratio, 9) AS length_ratio, concat_ws(';', CASE WHEN config_mask & 1 > 0 THEN 'word5_128_32x4' END, CASE WHEN config_mask & 2 > 0 THEN 'word5_128_8x16' END) AS configs, false AS removal_eligible FROM described",
+    "candidate_summaries": f"""WITH {_DESCRIBED}, p AS (SELECT *, CASE WHEN coalesce(sa, '') = 'parlamentopt' OR coalesce(sb, '') = 'parlamentopt' THEN 'with_preserved' ELSE 'without_preserved' END AS part FROM described),
+        v AS (SELECT id_a, id_b, estimated_similarity, 'source_subset' AS scope, ka AS value FROM p UNION ALL SELECT id_a, id_b, estimated_similarity, 'source_subset', kb FROM p WHERE kb IS DISTINCT FROM ka
+            UNION ALL SELECT id_a, id_b, estimated_similarity, 'source', sa FROM p UNION ALL SELECT id_a, id_b, estimated_similarity, 'source', sb FROM p WHERE sb IS DISTINCT FROM sa
+            UNION ALL SELECT id_a, id_b, estimated_similarity, 'pair_ratio', concat_ws(' : ', pair_key, ratio_band) FROM p UNION ALL SELECT id_a, id_b, estimated_similarity, 'similarity_partition_length', concat_ws(' : ', similarity_band, part, length_band) FROM p
+            UNION ALL SELECT id_a, id_b, estimated_similarity, 'length', length_band FROM p UNION ALL SELECT id_a, id_b, estimated_similarity, 'ratio', ratio_band FROM p UNION ALL SELECT id_a, id_b, estimated_similarity, 'relation', relation FROM p),
+        e AS (SELECT scope, value, count(DISTINCT id) AS records FROM (SELECT scope, value, id_a AS id FROM v UNION ALL SELECT scope, value, id_b FROM v) GROUP BY 1, 2)
+        SELECT scope, value, count(*) AS pairs, round(avg(estimated_similarity), 9) AS mean_similarity, any_value(records) AS records FROM v JOIN e USING (scope, value) WHERE value IS NOT NULL GROUP BY 1, 2""",
+    "pair_errors": f"""WITH {REC}, k AS (SELECT record_id FROM rec), p AS (SELECT {hex_sql("id_a")} AS a, {hex_sql("id_b")} AS b, * FROM pairs),
+        e AS (SELECT CASE WHEN coalesce(a, '') = '' OR coalesce(b, '') = '' THEN 'id_missing' END AS error FROM p UNION ALL SELECT CASE WHEN a = b THEN 'record_with_itself' END FROM p
+            UNION ALL SELECT CASE WHEN a > b THEN 'order_reversed' END FROM p UNION ALL SELECT CASE WHEN NOT coalesce(estimated_similarity BETWEEN 0 AND 1 AND NOT isnan(estimated_similarity), false) THEN 'similarity_unusable' END FROM p
+            UNION ALL SELECT CASE WHEN a <> '' AND a NOT IN (SELECT record_id FROM k) OR b <> '' AND b NOT IN (SELECT record_id FROM k) THEN 'record_unknown' END FROM p
+            UNION ALL SELECT CASE WHEN bucket_hits < 1 OR max_bucket_size < 2 OR config_mask < 1 THEN 'evidence_impossible' END FROM p
+            UNION ALL SELECT CASE WHEN count(*) > 1 THEN 'pair_repeated' END FROM p GROUP BY least(a, b), greatest(a, b))
+        SELECT error, count(*) AS rows FROM e WHERE error IS NOT NULL GROUP BY error""",
     "candidate_summary": f"""WITH {_DESCRIBED}, e AS (SELECT similarity_band, relation, id_a AS id FROM described UNION SELECT similarity_band, relation, id_b FROM described)
         SELECT similarity_band, relation, count(*) AS pairs, round(avg(estimated_similarity), 9) AS mean_similarity, any_value(n) AS records
         FROM described JOIN (SELECT similarity_band, relation, count(*) AS n FROM e GROUP BY 1, 2) USING (similarity_band, relation) GROUP BY 1, 2""",
