@@ -38,7 +38,10 @@ def stored_by_subset(spark: SparkSession, d: str) -> DataFrame:
 def stream_first_deliveries(spark: SparkSession, d: str) -> DataFrame:
     """Streams: contents of normalized documents as a stream delivers them, each once."""
     schema = read(spark, d, "normalized_document").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "normalized_document.parquet").parquet(d).select("text", F.coalesce("loaded_at", F.timestamp_seconds(F.lit(0))).alias("at"))
+    # A stream takes a single file only by a pattern, which finds a folder of parts too. Its first batch drops rows
+    # at or before 1970-01-01 00:00:00 as late, so those without a time and older ones stand a second behind it.
+    table = spark.readStream.schema(schema).option("basePath", d).parquet(f"{d}/normalized_document.parque[t]")
+    stream = table.select("text", F.greatest("loaded_at", F.timestamp_seconds(F.lit(1))).alias("at"))
     ws = Workspace(spark)
     path = ws.path("fresh")
     T.write_batches(T.first_deliveries(stream, "at", "36500 days"), path, ws.path("progress")).awaitTermination()

@@ -23,7 +23,7 @@ from corpusloom.functions.urls import canonical_url, url_host
 from corpusloom.operators import exact_dedup, mixture, normalize, overlap, packing, profile, relate, sampling, similarity, verify
 from corpusloom.operators.current import latest_rows
 from corpusloom.operators.graph import connected_components
-from corpusloom.plans import benchmark, selection
+from corpusloom.plans import benchmark, selection, stores
 from corpusloom.plans import pairs as plan_pairs
 from corpusloom import runtime
 from corpusloom.runtime import prefix_sums, spread_join
@@ -476,3 +476,19 @@ def test_streams(spark, tmp_path):
     fresh = streams.first_deliveries(spark.readStream.schema(docs).parquet(str(tmp_path / "docs")), "at", "1 day")
     streams.write_batches(fresh, str(tmp_path / "fresh"), str(tmp_path / "c2")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "fresh")).count() == 1
+
+
+def test_first_deliveries_of_a_file_and_of_folders(spark, tmp_path):
+    """One file, a folder of parts and a partitioned folder give the same; no row is late, whatever its time."""
+    times = [None, dt.datetime(1950, 1, 1), dt.datetime(1970, 1, 1), dt.datetime(2026, 1, 1), dt.datetime(2300, 1, 1)]
+    rows = [(f"t{i}", t, i % 2) for i, t in enumerate(times)] + [("t0\r\n", times[3], 1), ("t3", None, 0), (" ", times[3], 0), (None, times[3], 1)]
+    docs = spark.createDataFrame(rows, "text string, loaded_at timestamp_ntz, part int")
+    name = "normalized_document.parquet"
+    docs.repartition(3).write.parquet(str(tmp_path / "parts" / name))
+    docs.write.partitionBy("part").parquet(str(tmp_path / "partitioned" / name))
+    docs.coalesce(1).write.parquet(str(tmp_path / "written"))
+    (tmp_path / "file").mkdir()
+    next((tmp_path / "written").glob("*.parquet")).rename(tmp_path / "file" / name)
+    for kind in ("file", "parts", "partitioned"):
+        found = stores.stream_first_deliveries(spark, str(tmp_path / kind)).collect()
+        assert sorted(r.content_sha256 for r in found) == sorted(hashlib.sha256(f"t{i}".encode()).hexdigest() for i in range(5)), kind
